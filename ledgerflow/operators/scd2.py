@@ -45,7 +45,8 @@ def build(df: DataFrame, key: str, version: str, tie: str | None = None, skew_sa
     return nb.select(*df.columns, nxt.isNull().alias(IS_CURRENT), F.col(version).alias(START), nxt.alias(END))
 
 
-def _latest(batch: DataFrame, key: str, version: str, tie: str | None) -> DataFrame:
+def latest_versions(batch: DataFrame, key: str, version: str, tie: str | None = None) -> DataFrame:
+    """Newest row per non-null key (what one incremental batch contributes in ``latest`` mode)."""
     return latest_per_key(batch.where(F.col(key).isNotNull()), key, _order(version, tie))
 
 
@@ -56,7 +57,7 @@ def stage(batch: DataFrame, current: DataFrame, key: str, version: str, tie: str
     new keys (merge_key = key -> no match -> insert) ∪ changed rows (merge_key null -> insert) ∪
     triggers (merge_key = key -> match -> close). Only the newest batch row per key takes part.
     """
-    latest = _latest(batch, key, version, tie)
+    latest = latest_versions(batch, key, version, tie)
     cur = current.where(F.col(IS_CURRENT)).select(key, F.col(version).alias("__cur_v"))
     j = latest.join(cur, on=key, how="left")
     new = j.where(F.col("__cur_v").isNull()).drop("__cur_v").withColumn(merge_key, F.col(key))
@@ -76,7 +77,7 @@ def apply_changes(current: DataFrame, batch: DataFrame, key: str, version: str,
     """
     attrs = [c for c in current.columns if c not in (IS_CURRENT, START, END)]
     if mode == "latest":
-        incoming = _latest(batch.select(*attrs), key, version, tie)
+        incoming = latest_versions(batch.select(*attrs), key, version, tie)
     elif mode == "all":
         incoming = batch.select(*attrs).where(F.col(key).isNotNull())
     else:

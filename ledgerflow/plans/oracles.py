@@ -18,6 +18,14 @@ _SNAP_ALL = "select user_id, max(ts) as lm from events group by user_id"
 _SNAP_BEFORE = "select user_id, max(ts) as lm from events where ts < timestamp '{t}' group by user_id"
 _TOKENS = "select p_partkey, trim(t) as label from (select p_partkey, unnest(string_split(p_name, ' ')) as t from part) s"
 
+_BATCHES = (
+    f"with p as (select *, case when ts < timestamp '2024-01-10' then 0 when ts < timestamp '2024-01-20' then 1 "
+    f"  else 2 end as bt from ({_PURCH}) q), "
+    "v as (select * from (select *, row_number() over (partition by user_id, bt order by ts desc, event_id desc) "
+    "  as rn from p) z where rn = 1) "
+    "select user_id, event_id, ts, value, lead(ts) over w is null as is_current, ts as start_date, "
+    "lead(ts) over w as end_date from v window w as (partition by user_id order by ts, event_id)")
+
 ORACLES: dict[str, str] = {
     "logical_day":
         "select cast(ts - interval 16 hours as date) as logical_day, count(*) as n from events group by 1",
@@ -80,13 +88,8 @@ ORACLES: dict[str, str] = {
         "union all "
         "select l.user_id, l.event_id, l.ts, l.value, true, l.ts, null from latest l "
         "left join cur c on c.user_id = l.user_id where c.user_id is null or l.ts > c.ts",
-    "scd2_batches":
-        f"with p as (select *, case when ts < timestamp '2024-01-10' then 0 when ts < timestamp '2024-01-20' then 1 "
-        f"  else 2 end as bt from ({_PURCH}) q), "
-        "v as (select * from (select *, row_number() over (partition by user_id, bt order by ts desc, event_id desc) "
-        "  as rn from p) z where rn = 1) "
-        "select user_id, event_id, ts, value, lead(ts) over w is null as is_current, ts as start_date, "
-        "lead(ts) over w as end_date from v window w as (partition by user_id order by ts, event_id)",
+    "scd2_batches": _BATCHES,
+    "scd2_published": _BATCHES,
     "latest_per_key":
         "select * exclude (rn) from (select *, row_number() over (partition by user_id order by ts desc, event_id desc) "
         "as rn from events) z where rn = 1",

@@ -172,6 +172,21 @@ def q_scd2_batches(spark, sf_dir):
     return dim_
 
 
+def q_scd2_published(spark, sf_dir):
+    """The three batches of ``scd2_batches`` through the on-disk publish protocol (commit log + partitions)."""
+    from ledgerflow.plans.publish import VersionedDimension
+
+    base = _purchases(spark, sf_dir)
+    lo, hi = _ntz(BATCH_CUTS[0]), _ntz(BATCH_CUTS[1])
+    batches = [base.where(F.col("ts") < lo), base.where((F.col("ts") >= lo) & (F.col("ts") < hi)),
+               base.where(F.col("ts") >= hi)]
+    schema = scd2.build(base.limit(0), "user_id", "ts", tie="event_id", skew_safe=False).schema
+    target = VersionedDimension(fresh_dir(spark, "scd2-published"), schema, "user_id", "ts", tie="event_id")
+    for i, b in enumerate(batches):
+        target.apply_batch(spark, b, src=f"purchases:{i}")
+    return target.read(spark)
+
+
 def q_latest_per_key(spark, sf_dir):
     return latest_per_key(read_table(spark, sf_dir, "events"), "user_id", ["ts", "event_id"])
 
@@ -309,6 +324,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "scd2_build": q_scd2_build,
     "scd2_incremental": q_scd2_incremental,
     "scd2_batches": q_scd2_batches,
+    "scd2_published": q_scd2_published,
     "latest_per_key": q_latest_per_key,
     "price_as_of": q_price_as_of,
     "price_moves": q_price_moves,
