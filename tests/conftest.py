@@ -16,8 +16,9 @@ SF_CHECK = "/root/testdata/sf0.01"
 def spark():
     # tests own their checkpoint folder (the setting is unset in local test sessions)
     ckpt = tempfile.mkdtemp(prefix="ledgerflow-test-ckpt-")
+    wh = tempfile.mkdtemp(prefix="ledgerflow-test-wh-")
     s = local_session(cores="*", shuffle_partitions=8, app="ledgerflow-tests",
-                      extra={"spark.checkpoint.dir": ckpt})
+                      extra={"spark.checkpoint.dir": ckpt, "spark.sql.warehouse.dir": wh})
     yield s
     s.stop()
 
