@@ -34,30 +34,43 @@ def _as_text(field_value: Column, t: T.DataType) -> Column:
     return field_value.cast("string")
 
 
-def _rescue(raw_map: Column, typed: Column, schema: T.StructType, prefix: str) -> Column:
+def _typed_map(typed: Column, schema: T.StructType) -> Column:
+    return F.create_map(*[x for f in schema.fields for x in (F.lit(f.name), _as_text(typed[f.name], f.dataType))])
+
+
+def _rescue(raw_map: Column, typed_map: Column, schema: T.StructType, prefix: str) -> Column:
     """Entries of ``raw_map`` the schema could not hold: unknown keys, or a non-null raw value whose typed
     value came out null (wrong type, overflow). Keys are prefixed with the parent path."""
-    names = [f.name for f in schema.fields]
-    typed_map = F.create_map(*[x for f in schema.fields for x in (F.lit(f.name), _as_text(typed[f.name], f.dataType))])
-    kept = F.map_filter(raw_map, lambda k, v: ~F.array_contains(F.array(*[F.lit(n) for n in names]), k)
+    names = F.array(*[F.lit(f.name) for f in schema.fields])
+    kept = F.map_filter(raw_map, lambda k, v: ~F.array_contains(names, k)
                         | (v.isNotNull() & F.element_at(typed_map, k).isNull()))
     if prefix:
         kept = F.transform_keys(kept, lambda k, v: F.concat(F.lit(prefix), k))
     return kept
 
 
-def _rescued_column(raw: Column, schema: T.StructType) -> tuple[Column, Column]:
-    parsed = F.from_json(raw, schema, {"mode": "PERMISSIVE"})
-    raw_map = F.from_json(raw, "map<string,string>")
-    parts = [_rescue(raw_map, parsed, schema, "")]
-    for f in schema.fields:   # one nested level: fields of struct columns
-        if isinstance(f.dataType, T.StructType):
-            sub = F.from_json(F.element_at(raw_map, F.lit(f.name)), "map<string,string>")
-            parts.append(F.coalesce(_rescue(sub, parsed[f.name], f.dataType, f"{f.name}."),
-                                    F.create_map().cast("map<string,string>")))
+def _attach_rescued(records: DataFrame, raw: str, schema: T.StructType, column: str) -> DataFrame:
+    """Typed struct + rescued JSON for each raw record text.
+
+    Staged projections: each record is parsed once (typed struct, raw key/value map) and its typed map is built
+    once; the per-entry filter then only looks values up. (Referencing the parse inside the filter lambda would
+    re-parse the record for every entry.)
+    """
+    nested = [f for f in schema.fields if isinstance(f.dataType, T.StructType)]   # one nested level
+    parsed = records.select(F.from_json(F.col(raw), schema, {"mode": "PERMISSIVE"}).alias("__r"),
+                            F.from_json(F.col(raw), "map<string,string>").alias("__m"))
+    parsed = parsed.select("__r", "__m", _typed_map(F.col("__r"), schema).alias("__t0"),
+                           *[F.from_json(F.element_at("__m", F.lit(f.name)), "map<string,string>").alias(f"__m{i}")
+                             for i, f in enumerate(nested, 1)],
+                           *[_typed_map(F.col("__r")[f.name], f.dataType).alias(f"__t{i}")
+                             for i, f in enumerate(nested, 1)])
+    parts = [_rescue(F.col("__m"), F.col("__t0"), schema, "")]
+    for i, f in enumerate(nested, 1):
+        parts.append(F.coalesce(_rescue(F.col(f"__m{i}"), F.col(f"__t{i}"), f.dataType, f"{f.name}."),
+                                F.create_map().cast("map<string,string>")))
     merged = F.map_concat(*parts) if len(parts) > 1 else parts[0]
-    rescued = F.when(F.size(merged) > 0, F.to_json(merged))
-    return parsed, rescued
+    return parsed.select("__r", merged.alias("__x")).select(
+        "__r.*", F.when(F.size("__x") > 0, F.to_json("__x")).alias(column))
 
 
 def with_rescued(spark: SparkSession, path: str, schema: T.StructType, layout: str = "array",
@@ -78,8 +91,7 @@ def with_rescued(spark: SparkSession, path: str, schema: T.StructType, layout: s
                                      .otherwise(F.array(v))).alias("__raw")))
     else:
         raise ValueError(f"layout must be 'array' or 'lines', not {layout!r}")
-    parsed, rescued = _rescued_column(F.col("__raw"), schema)
-    return records.select(parsed.alias("__r"), rescued.alias(column)).select("__r.*", column)
+    return _attach_rescued(records, "__raw", schema, column)
 
 
 # Full-precision timestamp text (Spark's JSON writer otherwise cuts to milliseconds).
