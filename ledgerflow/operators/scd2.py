@@ -36,11 +36,12 @@ def null_keys(df: DataFrame, key: str) -> DataFrame:
     return df.where(F.col(key).isNull())
 
 
-def build(df: DataFrame, key: str, version: str, tie: str | None = None, skew_safe: bool = True) -> DataFrame:
+def build(df: DataFrame, key: str, version: str, tie: str | None = None, skew_safe: bool = True,
+          rows_per_slice: int | None = None) -> DataFrame:
     """Initial build over every version in ``df``: one shuffle by key (hot keys split, see ``with_neighbours``)."""
     rows = df.where(F.col(key).isNotNull())
     nb = with_neighbours(rows, key, _order(version, tie), [version], prev=None, nxt="__next_",
-                         skew_safe=skew_safe)
+                         skew_safe=skew_safe, rows_per_slice=rows_per_slice)
     nxt = F.col(f"__next_{version}")
     return nb.select(*df.columns, nxt.isNull().alias(IS_CURRENT), F.col(version).alias(START), nxt.alias(END))
 

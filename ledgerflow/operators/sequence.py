@@ -55,11 +55,14 @@ def latest_per_key(df: DataFrame, key, order: Sequence[str], desc: bool = True)
 
 
 def _position(df: DataFrame, col: str) -> Column:
-    """A DOUBLE that orders like ``col`` (cut points are quantiles of it)."""
+    """A DOUBLE that never decreases along ``col``'s order (cut points are quantiles of it; equal values share a
+    range, so ranges stay contiguous in the window order)."""
     t = df.schema[col].dataType
     c = F.col(col)
     if isinstance(t, T.TimestampNTZType):
-        return F.timestamp_diff("MICROSECOND", F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"), c).cast("double")
+        # wall-clock seconds, no time zone involved (a zone-dependent cast could fold at DST changes)
+        return (F.unix_date(F.to_date(c)).cast("double") * 86400 + F.hour(c) * 3600 + F.minute(c) * 60
+                + F.date_part(F.lit("SECOND"), c).cast("double"))
     if isinstance(t, T.TimestampType):
         return F.unix_micros(c).cast("double")
     if isinstance(t, T.DateType):
