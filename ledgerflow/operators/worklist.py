@@ -38,10 +38,12 @@ def pending(catalog: DataFrame, changes: DataFrame, details: DataFrame, key: str
     When a key is pending for several reasons/times, the newest ``at`` wins and a change entry beats a new-key
     entry at the same time; older change entries of that key count as covered by the newer fetch.
     """
-    done = details.select(key, at)
+    # de-duplicate the anti-join build sides first (partial aggregation): an item fetched many times would
+    # otherwise land in one task, and AQE cannot split the build side of an anti join
+    done = details.select(key, at).distinct()
+    known = details.select(key).distinct()
     chg = changes.select(key, at).join(done, on=[key, at], how="left_anti").withColumn(why, F.lit("changed"))
-    new = (catalog.select(key, at).join(details.select(key), on=key, how="left_anti")
-           .withColumn(why, F.lit("new")))
+    new = catalog.select(key, at).join(known, on=key, how="left_anti").withColumn(why, F.lit("new"))
     both = chg.unionByName(new, allowMissingColumns=True)
     ranked = both.withColumn("__prio", F.when(F.col(why) == "changed", 1).otherwise(0))
     return latest_per_key(ranked, key, [at, "__prio"]).drop("__prio")

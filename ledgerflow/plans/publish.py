@@ -89,10 +89,11 @@ class VersionedDimension:
     def apply_batch(self, spark: SparkSession, batch: DataFrame, src: str, mode: str = "latest",
                     stop_before_commit: bool = False) -> bool:
         """Apply one batch; returns False when ``src`` was already committed (replay = no-op)."""
-        log = self.commits(spark)
-        if log.where(F.col("src") == src).limit(1).count():
+        # the commit log has one row per batch ever published: read it once, on the driver
+        log = self.commits(spark).select("batch_id", "src").collect()
+        if any(r["src"] == src for r in log):
             return False
-        n = self.last_batch(spark) + 1
+        n = max((r["batch_id"] for r in log), default=0) + 1
         attrs = [c for c in self.schema.names if c not in (scd2.IS_CURRENT, scd2.START, scd2.END)]
         if n == 1:
             first = scd2.latest_versions(batch.select(*attrs), self.key, self.version, self.tie) if mode == "latest" \

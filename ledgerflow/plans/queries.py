@@ -214,7 +214,8 @@ def q_peak_activity(spark, sf_dir):
 
 def q_anti_single(spark, sf_dir):
     c, o = read_table(spark, sf_dir, "customer"), read_table(spark, sf_dir, "orders")
-    recent = o.where(F.col("o_orderdate") >= _ntz(ORDERS_SINCE)).select(F.col("o_custkey").alias("c_custkey"))
+    recent = (o.where(F.col("o_orderdate") >= _ntz(ORDERS_SINCE)).select(F.col("o_custkey").alias("c_custkey"))
+              .distinct())   # one row per customer on the build side, whatever the order count
     return c.select("c_custkey").join(recent, on="c_custkey", how="left_anti")
 
 
