@@ -117,7 +117,11 @@ def apply_changes(current: DataFrame, batch: DataFrame, key: str, version: str,
 
 def apply(dim: DataFrame, batch: DataFrame, key: str, version: str, tie: str | None = None,
           mode: str = "latest", skew_safe: bool = True) -> DataFrame:
-    """Whole dimension after one batch: closed history as it was, plus :func:`apply_changes` of the current rows."""
+    """Whole dimension after one batch: closed history as it was, plus :func:`apply_changes` of the current rows.
+
+    ``dim`` is read twice (history, current). Pass a stored dimension (a table, or ``VersionedDimension.read``) or a
+    ``checkpoint()``-ed one when applying batches in a loop; otherwise each batch recomputes all earlier ones.
+    """
     history = dim.where(~F.col(IS_CURRENT))
     current = dim.where(F.col(IS_CURRENT))
     return history.unionByName(apply_changes(current, batch, key, version, tie, mode, skew_safe))

@@ -8,7 +8,7 @@ if one key holds a third of the data, one task holds a third of the data. The op
 * :func:`with_neighbours` (lead/lag) first counts rows per key (key columns only, partial aggregation). Keys above
   ``rows_per_slice`` are *hot*: their rows are cut into contiguous ranges of the ordering at approximate quantiles,
   so a hot key becomes many window partitions. Rows at a range edge take their neighbour from a per-(key, range)
-  summary that has one row per range. The cut points are written once with ``checkpoint()`` (into
+  summary that has one row per range. The cut points are written once (a small table under
   ``spark.checkpoint.dir``) so that every branch of the plan, and every retried task, slices identically.
 """
 
@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ledgerflow.session import work_dir
+from ledgerflow.session import materialize
 
 _REC = "__rec"
 _SLICE = "__slice"
@@ -94,8 +94,9 @@ def hot_key_cuts(df: DataFrame, keys: list[str], first_order: str, rows_per_slic
             .join(hot, on=keys, how="left_semi")
             .groupBy(*keys)
             .agg(F.array_distinct(F.percentile_approx(_POS, pct, max(10_000, 10 * n_slices))).alias(_CUTS)))
-    work_dir(df.sparkSession)  # makes sure a checkpoint folder is configured
-    return cuts.checkpoint(eager=True), stats["hot"] * (n_slices - 1)
+    # written once: percentile_approx merges partial sketches in task-completion order, so recomputing it could
+    # move the cuts; every branch and retry must slice identically
+    return materialize(cuts, "hot-key-cuts"), stats["hot"] * (n_slices - 1)
 
 
 def with_neighbours(df: DataFrame, key, order: Sequence[str], fields: Sequence[str],

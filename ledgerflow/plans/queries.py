@@ -23,7 +23,7 @@ from ledgerflow.functions.scalars import (epoch_seconds_to_ts_ntz, hour_of, iso_
 from ledgerflow.operators import analytics, bridge, dim, facts, responses, scd2, worklist
 from ledgerflow.operators.flatten import FlattenSpec, flatten
 from ledgerflow.operators.sequence import latest_per_key
-from ledgerflow.session import fresh_dir
+from ledgerflow.session import fresh_dir, materialize
 from ledgerflow.sources.landing import with_rescued, write_batches
 from ledgerflow.sources.tables import read_table
 from ledgerflow.streaming.ingest import append_available_now, file_stream
@@ -168,7 +168,9 @@ def q_scd2_batches(spark, sf_dir):
     dim_ = scd2.build(scd2.latest_per_key(batches[0], "user_id", ["ts", "event_id"]), "user_id", "ts",
                       tie="event_id")
     for b in batches[1:]:
-        dim_ = scd2.apply(dim_, b, "user_id", "ts", tie="event_id")
+        # cut the lineage between batches (a written table in the shared folder): without it every earlier batch
+        # is recomputed by each later one
+        dim_ = scd2.apply(materialize(dim_, "scd2-batch"), b, "user_id", "ts", tie="event_id")
     return dim_
 
 

@@ -53,6 +53,17 @@ def work_dir(spark: SparkSession, *parts: str) -> str:
     return path
 
 
+def materialize(df, name: str):
+    """Cut the lineage of ``df``: write it once as parquet under :func:`fresh_dir` and read it back.
+
+    Unlike an eager ``checkpoint()`` (which runs the plan once to count and again to write), this computes the
+    plan once, and the result survives executor loss (it lives in the shared checkpoint folder).
+    """
+    path = fresh_dir(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def fresh_dir(spark: SparkSession, name: str) -> str:
     """A new, unique folder under :func:`work_dir` (one per run; nothing is ever cleared in place)."""
     return work_dir(spark, "runs", f"{name}-{uuid.uuid4().hex[:12]}")
