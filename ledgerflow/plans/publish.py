@@ -26,6 +26,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, StringType, StructField, StructType
 
 from ledgerflow.operators import scd2
+from ledgerflow.session import path_exists
 
 _COMMITS = StructType([StructField("batch_id", IntegerType()), StructField("src", StringType()),
                        StructField("committed_at", StringType())])
@@ -41,12 +42,10 @@ class VersionedDimension:
 
     # -- reading --------------------------------------------------------------------------------------------------
     def commits(self, spark: SparkSession) -> DataFrame:
-        try:
-            return spark.read.schema(_COMMITS).parquet(f"{self.root}/commits")
-        except Exception as e:  # noqa: BLE001 - no commit yet: an empty log
-            if "PATH_NOT_FOUND" not in str(e) and "Path does not exist" not in str(e):
-                raise
+        path = f"{self.root}/commits"
+        if not path_exists(spark, path):       # nothing committed yet: an empty log
             return spark.createDataFrame([], _COMMITS)
+        return spark.read.schema(_COMMITS).parquet(path)
 
     def last_batch(self, spark: SparkSession) -> int:
         """Highest committed batch id (0 = nothing published). One scalar aggregate over the tiny commit log."""

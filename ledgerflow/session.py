@@ -40,19 +40,44 @@ def work_dir(spark: SparkSession, *parts: str) -> str:
     The setting is read from the session. Only when it is unset *and* the master is local (tests, bench, one
     machine) do we create our own; on a cluster an unset checkpoint dir is an error, never a machine-local path.
     """
-    sc = spark.sparkContext
-    base = sc.getConf().get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
+    try:
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001 - Spark Connect sessions expose no SparkContext
+        sc = None
+    if sc is not None:
+        base = sc.getConf().get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
+        master = sc.master
+    else:
+        base = spark.conf.get("spark.checkpoint.dir", None)
+        master = spark.conf.get("spark.master", "")
     if not base:
-        if not sc.master.startswith("local"):
+        if not master.startswith("local"):
             raise RuntimeError("spark.checkpoint.dir is unset: point it at a shared folder (HDFS/object store)")
         base = tempfile.mkdtemp(prefix="ledgerflow-")
-        sc.setCheckpointDir(base)
+        if sc is not None:
+            sc.setCheckpointDir(base)
+        else:
+            spark.conf.set("spark.checkpoint.dir", base)
     path = base.rstrip("/")
     for p in parts:
         path = f"{path}/{p}"
     return path
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Existence check on any Hadoop file system (HDFS, object stores, local), without a failing read."""
+    try:
+        jvm = spark._jvm
+        p = jvm.org.apache.hadoop.fs.Path(path)
+        return bool(p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p))
+    except AttributeError:  # Spark Connect: no JVM handle; probe by reading
+        try:
+            spark.read.format("binaryFile").load(path).limit(1).count()
+            return True
+        except Exception:  # noqa: BLE001
+            return False
+
+
 def materialize(df, name: str):
     """Cut the lineage of ``df``: write it once as parquet under :func:`fresh_dir` and read it back.
 
