@@ -22,7 +22,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerflow.operators.sequence import latest_per_key, with_neighbours
+from ledgerflow.operators.sequence import carry_forward, latest_per_key, with_neighbours
 
 IS_CURRENT, START, END = "is_current", "start_date", "end_date"
 
@@ -133,6 +133,31 @@ def as_of(dim: DataFrame, at) -> DataFrame:
     return dim.where((F.col(START) <= at_c) & (F.col(END).isNull() | (F.col(END) > at_c)))
 
 
+def as_of_join(lookups: DataFrame, dim: DataFrame, key: str, at: str, fields: Sequence[str],
+               tie: str | None = None, prefix: str = "", rows_per_slice: int | None = None) -> DataFrame:
+    """Point-in-time lookup: every ``lookups`` row gets ``fields`` of the version valid at its ``at``
+    (``start_date <= at < end_date``); nulls when no version was valid (left semantics).
+
+    Not a range join: a range join pairs each lookup with every version of its key, which explodes for a key with
+    a long history and many lookups. Versions and lookups are merged into one ordered stream per key and each
+    lookup carries forward the latest version that started at or before it (hot keys range-split).
+    """
+    out_cols = lookups.columns
+    src = dim.select(F.col(key), F.col(START).alias("__t"), F.lit(0).alias("__rank"),
+                     (F.col(tie) if tie else F.lit(None)).cast("long").alias("__tie"),
+                     F.col(END).alias("__end"), *[F.col(f).alias(f"__f_{f}") for f in fields],
+                     F.lit(True).alias("__src"))
+    probe = lookups.select(*[F.col(c) for c in out_cols], F.col(at).cast(dim.schema[START].dataType).alias("__t"),
+                           F.lit(1).alias("__rank"), F.lit(None).cast("long").alias("__tie"),
+                           F.lit(False).alias("__src"))
+    both = probe.unionByName(src, allowMissingColumns=True)
+    carried = carry_forward(both, key, ["__t", "__rank", "__tie"], "__src", ["__end"] + [f"__f_{f}" for f in fields],
+                            prefix="__c", rows_per_slice=rows_per_slice)
+    valid = F.col("__c__end").isNull() | (F.col("__t") < F.col("__c__end"))
+    return (carried.where(~F.col("__src"))
+            .select(*out_cols, *[F.when(valid, F.col(f"__c__f_{f}")).alias(f"{prefix}{f}") for f in fields]))
+
+
 def current_rows(dim: DataFrame) -> DataFrame:
     return dim.where(F.col(IS_CURRENT))
 

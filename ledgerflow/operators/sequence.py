@@ -153,3 +153,48 @@ def with_neighbours(df: DataFrame, key, order: Sequence[str], fields: Sequence[s
                          F.lead("__first").over(ew).alias("__ne"))
     joined = inner.join(edges, on=[*keys, _SLICE], how="left")
     return _emit(joined, F.coalesce("__p", "__pe"), F.coalesce("__n", "__ne"))
+
+
+def carry_forward(df: DataFrame, key, order: Sequence[str], source: str, fields: Sequence[str],
+                  prefix: str = "last_", rows_per_slice: int | None = None, skew_safe: bool = True) -> DataFrame:
+    """For every row: ``fields`` of the latest row at or before it (by ``order``, same key) whose ``source``
+    column is true, as ``<prefix><f>``. Rows before any source row get nulls.
+
+    Put a rank column in ``order`` to decide ties between a source row and another row at the same time. Hot keys are
+    range-split as in :func:`with_neighbours`; a range with no source row of its own takes the last source row of the
+    ranges before it, from a summary with one row per range.
+    """
+    keys = _names(key)
+    order = _names(order)
+    fields = list(fields)
+    rec = F.when(F.col(source), F.struct(*[F.col(c).alias(f"o{i}") for i, c in enumerate(order)],
+                                         *[F.col(f).alias(f) for f in fields]))
+
+    def _emit(frame: DataFrame, got: Column) -> DataFrame:
+        return frame.select(*df.columns, *[got.getField(f).alias(f"{prefix}{f}") for f in fields])
+
+    cut_info = None
+    if skew_safe:
+        cut_info = hot_key_cuts(df, keys, order[0],
+                                rows_per_slice or _conf_int(df, "ledgerflow.sequence.rowsPerSlice", ROWS_PER_SLICE),
+                                _conf_int(df, "ledgerflow.sequence.maxSlicesPerKey", MAX_SLICES_PER_KEY))
+    upto_here = Window.unboundedPreceding, Window.currentRow
+    if cut_info is None:
+        w = Window.partitionBy(*keys).orderBy(*order).rowsBetween(*upto_here)
+        return _emit(df.withColumn(_REC, rec), F.last(_REC, ignorenulls=True).over(w))
+
+    cuts, n_values = cut_info
+    if n_values <= BROADCAST_CUT_VALUES:
+        cuts = F.broadcast(cuts)
+    pos = _position(df, order[0])
+    sliced = (df.join(cuts, on=keys, how="left")
+              .withColumn(_SLICE, F.coalesce(F.size(F.filter(F.col(_CUTS), lambda c: c <= pos)), F.lit(0)))
+              .withColumn(_REC, rec))
+    w = Window.partitionBy(*keys, _SLICE).orderBy(*order).rowsBetween(*upto_here)
+    inner = sliced.withColumn("__l", F.last(_REC, ignorenulls=True).over(w))
+    # every range of a hot key: its own last source row (max ignores nulls), then the last one of earlier ranges
+    edges = (sliced.where(F.col(_CUTS).isNotNull()).groupBy(*keys, _SLICE).agg(F.max(_REC).alias("__own")))
+    ew = Window.partitionBy(*keys).orderBy(_SLICE).rowsBetween(Window.unboundedPreceding, -1)
+    edges = edges.select(*keys, _SLICE, F.last("__own", ignorenulls=True).over(ew).alias("__before"))
+    joined = inner.join(edges, on=[*keys, _SLICE], how="left")
+    return _emit(joined, F.coalesce("__l", "__before"))

@@ -96,6 +96,10 @@ ORACLES: dict[str, str] = {
     "price_as_of":
         f"select user_id, value, ts from ({_BUILD}) h where ts <= timestamp '2024-01-15 00:00:00' "
         "and (end_date is null or end_date > timestamp '2024-01-15 00:00:00')",
+    "price_as_of_join":
+        f"select v.event_id, v.user_id, v.ts, b.value from events v left join ({_BUILD}) b "
+        "on v.user_id = b.user_id and b.start_date <= v.ts and (b.end_date is null or v.ts < b.end_date) "
+        "where v.event_type = 'view'",
     "price_moves":
         f"select user_id, ts, round(value - prev, 2) as delta from (select user_id, ts, value, "
         f"lag(value) over (partition by user_id order by ts, event_id) as prev from ({_PURCH}) p) z "

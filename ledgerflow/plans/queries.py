@@ -198,6 +198,14 @@ def q_price_as_of(spark, sf_dir):
     return scd2.as_of(hist, _ntz(AS_OF)).select("user_id", "value", "ts")
 
 
+def q_price_as_of_join(spark, sf_dir):
+    """Price valid at every product view (point-in-time lookup of each view against the purchase history)."""
+    ev = read_table(spark, sf_dir, "events")
+    hist = scd2.build(_purchases(spark, sf_dir), "user_id", "ts", tie="event_id")
+    views = ev.where(F.col("event_type") == "view").select("event_id", "user_id", "ts")
+    return scd2.as_of_join(views, hist, "user_id", "ts", ["value"], tie="event_id")
+
+
 def q_price_moves(spark, sf_dir):
     return analytics.price_moves(_purchases(spark, sf_dir), "user_id", "ts", "value", tie="event_id")
 
@@ -330,6 +338,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "scd2_published": q_scd2_published,
     "latest_per_key": q_latest_per_key,
     "price_as_of": q_price_as_of,
+    "price_as_of_join": q_price_as_of_join,
     "price_moves": q_price_moves,
     "score_shift": q_score_shift,
     "peak_activity": q_peak_activity,

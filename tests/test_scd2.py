@@ -103,3 +103,26 @@ def test_as_of(spark):
     dim = _dim(spark, [(1, T(1), 1, 100), (1, T(5), 2, 90)])
     assert rows(scd2.as_of(dim, T(3)), "price") == [(100,)]
     assert rows(scd2.as_of(dim, T(5)), "price") == [(90,)]
+
+
+def test_as_of_join_matches_range_join(spark):
+    ev = spark.read.parquet(f"{SF_CHECK}/events.parquet")
+    hist = scd2.build(ev.where("event_type = 'purchase'").select("user_id", "event_id", "ts", "value"),
+                      "user_id", "ts", tie="event_id")
+    views = ev.where("event_type = 'view'").select("event_id", "user_id", "ts")
+    brute = (views.alias("v").join(hist.alias("h"), (F.col("v.user_id") == F.col("h.user_id"))
+                                   & (F.col("h.start_date") <= F.col("v.ts"))
+                                   & (F.col("h.end_date").isNull() | (F.col("v.ts") < F.col("h.end_date"))), "left")
+             .select("v.event_id", "v.user_id", "v.ts", "h.value"))
+    for rps in (None, 40):      # plain window, and hot keys forced to split
+        got = scd2.as_of_join(views, hist, "user_id", "ts", ["value"], tie="event_id", rows_per_slice=rps)
+        assert rows(got) == rows(brute)
+
+
+def test_as_of_join_edges(spark):
+    dim = _dim(spark, [(1, T(1), 1, 100), (1, T(5), 2, 90), (1, T(5), 3, 80)])   # tie at T(5): id 3 wins
+    look = spark.createDataFrame([(1, T(1)), (1, T(4)), (1, T(5)), (1, T(9)), (2, T(3)),
+                                  (1, dt.datetime(2023, 12, 31))], "k int, at timestamp_ntz")
+    got = rows(scd2.as_of_join(look, dim, "k", "at", ["price"], tie="id"))
+    assert got == sorted([(1, T(1), 100), (1, T(4), 100), (1, T(5), 80), (1, T(9), 80), (2, T(3), None),
+                          (1, dt.datetime(2023, 12, 31), None)], key=repr)
