@@ -162,8 +162,7 @@ def current_rows(dim: DataFrame) -> DataFrame:
     return dim.where(F.col(IS_CURRENT))
 
 
-def batches_build(versions: DataFrame, key: str, version: str, batch_col: str, tie: str | None = None,
-                  batch_order: Sequence | None = None) -> DataFrame:
+def batches_build(versions: DataFrame, key: str, version: str, batch_col: str, tie: str | None = None) -> DataFrame:
     """Closed form of applying batches one after another in ``latest`` mode: newest row per (key, batch),
     then chained by version. Used to check :func:`apply` and the publish protocol against one query."""
     per_batch = latest_per_key(versions.where(F.col(key).isNotNull()), [key, batch_col], _order(version, tie))

@@ -46,10 +46,6 @@ def _ntz(v: dt.datetime):
     return F.lit(v.isoformat(sep=" ")).cast("timestamp_ntz")
 
 
-def _t(spark, sf_dir):
-    return lambda name: read_table(spark, sf_dir, name)
-
-
 def _purchases(spark, sf_dir) -> DataFrame:
     ev = read_table(spark, sf_dir, "events")
     return ev.where(F.col("event_type") == "purchase").select("user_id", "event_id", "ts", "value")
