@@ -6,11 +6,16 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerflow.llm import (lang_id, line_rules, orc_tokens, sentencepiece_codec, simhash_gray, source_mix,
-                            token_counts)
+from ledgerflow.llm import (kn_quality, lang_id, line_rules, orc_tokens, sentencepiece_codec, simhash_gray, source_mix,
+                            spot_signatures, suffix_dedup, token_counts)
 from ledgerflow.llm.common import read_documents
 
 
+def op1_kn_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = kn_quality.classify(read_documents(spark, sf_dir), kn_quality.read_labels(spark, sf_dir))
+    return found.drop("tie")
+
+
 def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(read_documents(spark, sf_dir))
 
@@ -19,6 +24,14 @@ def op3_line_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_rules.clean_lines(read_documents(spark, sf_dir), with_text=False)
 
 
+def op4_spot_signatures(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spot_signatures.compare_with_edited(read_documents(spark, sf_dir))
+
+
+def op5_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.dedup(read_documents(spark, sf_dir)).drop("tie")
+
+
 def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lang_id.learn_and_identify(read_documents(spark, sf_dir))
 
@@ -41,7 +54,7 @@ def op10_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op2_token_counts, op3_line_rules, op6_language_id, op7_sentencepiece, op8_orc_token_ids,
+    f.__name__: f for f in (op1_kn_quality, op2_token_counts, op3_line_rules, op4_spot_signatures, op5_suffix_dedup, op6_language_id, op7_sentencepiece, op8_orc_token_ids,
                             op9_simhash_gray, op10_source_mix)}
 
 ORACLES = {"op3_line_rules": line_rules.LINE_RULES_SQL}

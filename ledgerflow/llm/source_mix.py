@@ -124,13 +124,14 @@ def cell_copies(cells: DataFrame, targets: DataFrame, tilts: DataFrame, most: in
     return head.unionByName(tail.select("src", "size", "n", "rate", copies.alias("copies")))
 
 
-def mix(docs: DataFrame, text: str = "text", source: str = "source") -> DataFrame:
-    """(doc_id, size, source_size, target, taken, copies, rate) for every row."""
+def mix(docs: DataFrame, text: str = "text", source: str = "source", keep: tuple[str, ...] = ()) -> DataFrame:
+    """(doc_id, size, source_size, target, taken, copies, rate) for every row; ``keep``: also of src (struct of missing
+    and name) and tie (hash of the text)."""
     src = F.struct(F.col(source).isNull().alias("missing"), F.coalesce(F.col(source).cast("string"), F.lit("")).alias("name"))
     body = F.col(text).cast("string")
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), src.alias("src"),
                        F.coalesce(F.regexp_count(body, F.lit(WORD)), F.lit(0)).cast("long").alias("size"),
-                       F.xxhash64("doc_id", body).alias("order"))
+                       F.xxhash64("doc_id", body).alias("order"), F.xxhash64(body).alias("tie"))
     rows = rows.withColumn("bucket", F.pmod(F.col("order"), F.lit(BUCKETS)).cast("int"))
     rows = materialize(rows, "mix-sizes")
     fine = materialize(rows.groupBy("src", "size", "bucket").agg(F.count("*").alias("n")), "mix-cells")
@@ -147,5 +148,5 @@ def mix(docs: DataFrame, text: str = "text", source: str = "source") -> DataFram
     nth = F.row_number().over(Window.partitionBy("src", "size", "bucket").orderBy("order", F.col("doc_id").asc_nulls_first()))
     ranked = rows.withColumn("nth", nth).join(share, ["src", "size", "bucket"])
     copies = F.coalesce(F.col("base") + F.when(F.col("nth") <= F.col("more"), 1).otherwise(0), F.lit(0)).cast("long")
-    return (ranked.select("doc_id", "size", "source_size", "target", copies.alias("copies"), F.coalesce("rate", F.lit(0.0)).alias("rate"))
-            .select("doc_id", "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken"), "copies", "rate"))
+    return (ranked.select("doc_id", "size", "source_size", "target", copies.alias("copies"), F.coalesce("rate", F.lit(0.0)).alias("rate"), *keep)
+            .select("doc_id", "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken"), "copies", "rate", *keep))
