@@ -25,6 +25,7 @@ table gives no rows. Other columns are not read.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -33,12 +34,12 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ledgerflow.llm.common import ship, texts_of
-from ledgerflow.session import materialize
+from ledgerflow.session import fresh_dir, materialize
 
 ORDER = 5
-BLOCK_BYTES = 16 << 20
-GROUP_CHARS = 3_000_000
-DENSE = 1 << 25
+BLOCK_BYTES = 32 << 20
+GROUP_CHARS = 1_500_000
+DENSE = 1 << 23
 STEP = 0.005
 LOW_QUANTILE = 0.01
 HIGH_QUANTILE = 0.99
@@ -60,7 +61,7 @@ def _char_classes(codes: np.ndarray) -> np.ndarray:
 
 def _ranks(keys: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
     """(sorted distinct keys, rank of each key), by a table while the keys' range allows one."""
-    if size > max(DENSE, 8 * len(keys)):
+    if size > DENSE:
         return np.unique(keys, return_inverse=True)
     there = np.zeros(size, bool)
     there[keys] = True
@@ -183,41 +184,47 @@ def probabilities(asked: DataFrame, tables: list[tuple[DataFrame, DataFrame]], o
 
 # --- blocks of documents --------------------------------------------------------------------------------------------
 
-def in_blocks(docs: DataFrame, text: str, lang: str) -> DataFrame:
-    """(block, doc_id, tie, lang, text): blocks of about BLOCK_BYTES, by id (by text where there is none)."""
-    body = F.col(text).cast("string")
-    size = docs.agg(F.sum(F.octet_length(body))).first()[0] or 0
-    n = int(size) // BLOCK_BYTES + 1
-    tie = F.xxhash64(body)
-    return docs.select(_block(F.col("doc_id").cast("long"), n, tie).alias("block"), F.col("doc_id").cast("long").alias("doc_id"),
-                       tie.alias("tie"), F.col(lang).cast("string").alias("lang"), body.alias("text")), n
+def _bucketed(df: DataFrame, key: str) -> str:
+    """Name of a table in the shared folder that holds ``df`` in buckets of ``key``."""
+    spark = df.sparkSession
+    name = f"kn_{key}_{uuid.uuid4().hex[:12]}"
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    (df.write.format("parquet").option("compression", "zstd").option("path", fresh_dir(spark, f"kn-{key}"))
+     .bucketBy(buckets, key).saveAsTable(name))
+    return name
 
 
-def _block(doc_id: Column, n: int, tie: Column | None = None) -> Column:
-    key = F.xxhash64(doc_id) if tie is None else F.when(doc_id.isNull(), tie).otherwise(F.xxhash64(doc_id))
-    return F.pmod(key, F.lit(n)).cast("int")
+def in_blocks(docs: DataFrame, text: str, lang: str) -> str:
+    """Name of a bucketed table (block, doc_id, tie, lang, text) in the shared folder; a block is a run of neighbours of about
+    BLOCK_BYTES in one partition."""
+    body = F.col(text).cast("string")
+    size, rows = docs.agg(F.sum(F.octet_length(body)), F.count("*")).first()
+    each = max(1, BLOCK_BYTES * rows // max(1, size or 0))
+    place = F.monotonically_increasing_id()                 # partition * 2 ** 33 + place in it
+    block = F.shiftright(place, 33) * (1 << 33) + F.floor(place.bitwiseAND(F.lit((1 << 33) - 1)) / each)
+    return _bucketed(docs.select(block.alias("block"), F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(body).alias("tie"),
+                 F.col(lang).cast("string").alias("lang"), body.alias("text")), "block")
 
 
-def trusted_grams(blocks: DataFrame, trusted: DataFrame, n: int, order: int) -> DataFrame:
-    """(gram, c) over the whole text of the trusted documents."""
-    def counts(left: pa.Table, right: pa.Table) -> pa.Table:
+def block_grams(table: str, trusted: DataFrame, order: int) -> DataFrame:
+    """(block, gram, c): the distinct n-grams of each block and how often its training texts have them."""
+    def grams(key: tuple, left: pa.Table, right: pa.Table) -> pa.Table:
         ids = set(right.column("doc_id").to_pylist())
-        texts = [t or "" for i, t in zip(left.column("doc_id").to_pylist(), left.column("text").to_pylist(), strict=True) if i in ids]
-        found = counted(texts, order)
-        return pa.table({"gram": pa.array(found.keys(), pa.string()), "c": pa.array(found.values(), pa.int64())})
-
-    ids = trusted.select(_block(F.col("doc_id"), n).alias("block"), "doc_id")
-    parts = blocks.groupBy("block").cogroup(ids.groupBy("block")).applyInArrow(counts, "gram string, c long")
-    return parts.groupBy("gram").agg(F.sum("c").alias("c"))
-
-
-def asked_grams(blocks: DataFrame, order: int) -> DataFrame:
-    """(block, gram): the distinct n-grams of each block."""
-    def distinct(key: tuple, table: pa.Table) -> pa.Table:
-        grams = list(counted(texts_of(table.column("text")), order))
-        return pa.table({"block": pa.array([key[0].as_py()] * len(grams), pa.int32()), "gram": pa.array(grams, pa.string())})
-
-    return blocks.groupBy("block").applyInArrow(distinct, "block int, gram string")
+        texts = texts_of(left.column("text"))
+        training = [i in ids for i in left.column("doc_id").to_pylist()]
+        found = counted([t for t, x in zip(texts, training, strict=True) if x], order)
+        for a, z in text_groups(rest := [t for t, x in zip(texts, training, strict=True) if not x]):
+            g = Grams(rest[a:z], order)
+            for gram, n in zip(g.grams, g.counts.tolist(), strict=True):
+                if n:
+                    found.setdefault(gram, 0)
+        return pa.table({"block": pa.array([key[0].as_py()] * len(found), pa.int64()), "gram": pa.array(found.keys(), pa.string()),
+                         "c": pa.array(found.values(), pa.int64())})
+
+    spark = trusted.sparkSession
+    ids = spark.table(table).select(F.col("block").alias("b"), F.col("doc_id").alias("i")).join(trusted, F.col("i") == F.col("doc_id"))
+    ids = ids.select(F.col("b").alias("block"), F.col("i").alias("doc_id"))
+    return spark.table(table).groupBy("block").cogroup(ids.groupBy("block")).applyInArrow(grams, "block long, gram string, c long")
 
 
 def scored(blocks: DataFrame, answers: DataFrame, order: int) -> DataFrame:
@@ -260,13 +267,18 @@ def classify(docs: DataFrame, labels: DataFrame, text: str = "text", lang: str =
     """(doc_id, tie, lang, n_chars, perplexity, least, most, trusted, kept) for every row of ``docs``."""
     spark = docs.sparkSession
     ship(spark)
-    blocks, n = in_blocks(docs, text, lang)
+    table = in_blocks(docs, text, lang)
     trusted = labels.filter((F.col("quality") == 1) & F.col("doc_id").isNotNull()).select(F.col("doc_id").cast("long").alias("doc_id")).distinct()
     trusted = trusted.withColumn("kept_back", F.pmod(F.xxhash64("doc_id", F.lit("fold")), F.lit(FOLDS)) == 0)
-    tables = order_tables(trusted_grams(blocks, trusted.filter("not kept_back"), n, order), order)
-    asked = materialize(asked_grams(blocks, order), "kn-asked")
-    answers = asked.join(probabilities(asked.select("gram").distinct(), tables, order), "gram").select("block", "gram", "logp")
-    scores = materialize(scored(blocks, answers, order), "kn-scores")
+    # one shuffle by gram; the table's buckets then serve the counts, the joins and the answers
+    found = block_grams(table, trusted.filter("not kept_back").select("doc_id"), order)
+    size = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    asked = _bucketed(found.repartition(size, "gram").sortWithinPartitions("gram"), "gram")
+    every = materialize(spark.table(asked).groupBy("gram").agg(F.sum("c").alias("c")), "kn-grams")
+    tables = order_tables(every.filter("c > 0"), order)
+    answers = spark.table(asked).select("block", "gram").join(probabilities(every.select("gram"), tables, order), "gram")
+    answers = answers.select("block", "gram", F.col("logp").cast("float").alias("logp"))
+    scores = materialize(scored(spark.table(table), answers, order), "kn-scores")
     scores = scores.join(trusted, "doc_id", "left")
     # the lower bound is set by all trusted documents, as those that the model has seen have the lowest perplexity
     low = quantiles(scores.filter("kept_back is not null")).withColumnRenamed("lang", "l0")
