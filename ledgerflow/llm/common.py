@@ -5,7 +5,7 @@ from __future__ import annotations
 import os
 import tempfile
 import zipfile
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 from pathlib import Path
 
 import pyarrow as pa
@@ -40,6 +40,20 @@ def texts_of(column: pa.Array) -> list[str]:
     return [x or "" for x in column.to_pylist()]
 
 
+def in_parts(texts: list[str], chars: int = 4_000_000) -> Iterator[list[str]]:
+    """The texts in runs of about ``chars`` characters, so that what is made of them stays small."""
+    held: list[str] = []
+    size = 0
+    for t in texts:
+        if held and size + len(t) > chars:
+            yield held
+            held, size = [], 0
+        held.append(t)
+        size += len(t)
+    if held:
+        yield held
+
+
 def ship(spark: SparkSession) -> None:
     """Send this package to the executors' Python workers, once per application."""
     app = spark.sparkContext.applicationId

@@ -27,7 +27,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ledgerflow.llm.common import map_arrow, texts_of, vocabulary
+from ledgerflow.llm.common import in_parts, map_arrow, texts_of, vocabulary
 from ledgerflow.session import fresh_dir
 
 END_ID = 1
@@ -102,7 +102,7 @@ def write(docs: DataFrame, folder: str, path: str | None = None, end_id: int = E
         own = _encoders.get(path) or _encoders.setdefault(path, PartEncoder(path))
         part, place, before = TaskContext.get().partitionId(), 0, 0
         for batch in batches:
-            rows = [np.frombuffer(x + end, "<i4") for x in own.encode(texts_of(batch.column("text")))]
+            rows = [np.frombuffer(x + end, "<i4") for part_of in in_parts(texts_of(batch.column("text"))) for x in own.encode(part_of)]
             sizes = np.array([len(r) for r in rows], np.int64)
             offsets = np.concatenate([[0], np.cumsum(sizes)])
             lists = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()),

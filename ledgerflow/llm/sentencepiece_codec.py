@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerflow.llm.common import map_arrow, texts_of, vocabulary
+from ledgerflow.llm.common import in_parts, map_arrow, texts_of, vocabulary
 
 MARK = "▁"
 LONG_UNIT = 40
@@ -284,11 +284,15 @@ def encode_decode(docs: DataFrame, path: str | None = None, text: str = "text",
     def coded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = codec(path)
         for batch in batches:
-            ids, wrong = own.encode(texts_of(batch.column("text")))
-            decoded = [own.decode(x) for x in ids]
+            ids, wrong = [], 0
+            for part in in_parts(texts_of(batch.column("text"))):
+                found, more = own.encode(part)
+                ids, wrong = ids + found, wrong + more
+            decoded = [own.decode(x) for x in ids] if keep else []
+            decoded_sha = [hashlib.sha256(x.encode()).hexdigest() for x in decoded or map(own.decode, ids)]
             cols = [batch.column("doc_id"), pa.array([len(x) // 4 for x in ids], pa.int64()),
                     pa.array([hashlib.sha256(x).hexdigest() for x in ids], pa.string()),
-                    pa.array([hashlib.sha256(x.encode()).hexdigest() for x in decoded], pa.string()),
+                    pa.array(decoded_sha, pa.string()),
                     pa.array([wrong] * len(ids), pa.int64())]
             names = ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256", "n_corrected"]
             if keep:

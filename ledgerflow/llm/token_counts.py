@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerflow.llm.common import map_arrow, texts_of, vocabulary, whole_text
+from ledgerflow.llm.common import in_parts, map_arrow, texts_of, vocabulary, whole_text
 
 CHUNK_CHARS = 32_768
 OVERLAP_CHARS = 1_024
@@ -124,8 +124,9 @@ def count_tokens(docs: DataFrame, path: str | None = None, limit: int = 1024, ch
             texts = texts_of(batch.column("text"))
             short = [i for i, t in enumerate(texts) if len(t) <= chunk_chars]
             result = [(0, 1, 0)] * len(texts)
-            for i, c in zip(short, counter.counts([texts[i] for i in short]), strict=True):
-                result[i] = (sum(c), 1, 0)
+            counts = [sum(c) for part in in_parts([texts[i] for i in short]) for c in counter.counts(part)]
+            for i, n in zip(short, counts, strict=True):
+                result[i] = (n, 1, 0)
             for i, t in enumerate(texts):
                 if len(t) > chunk_chars:
                     result[i] = counter.spliced(t, chunk_chars, overlap_chars)
