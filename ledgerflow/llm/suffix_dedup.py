@@ -44,7 +44,7 @@ from ledgerflow.session import materialize
 LENGTH = 400
 WINDOW = 256
 KMER = 24
-SEGMENT = 1 << 21
+SEGMENT = 1 << 20
 BLOCK_BYTES = 12 << 20
 RANGE_BYTES = 8 << 20
 HOT_CORE = 20_000
@@ -380,7 +380,8 @@ def hashed_spans(blocks: DataFrame, chosen: DataFrame, shape: Shape) -> DataFram
     return every.join(twice, ["h1", "h2"]).select("doc_id", "tie", "start", (F.col("start") + shape.length).alias("end"))
 
 
-def repeated_spans(docs: DataFrame, shape: Shape, text: str = "text", hot_core: int = HOT_CORE) -> tuple[DataFrame, DataFrame]:
+def repeated_spans(docs: DataFrame, shape: Shape, text: str = "text", hot_core: int = HOT_CORE,
+                   carry: tuple[str, ...] = ()) -> tuple[DataFrame, DataFrame]:
     """(blocks of documents, spans): spans (block, doc_id, tie, start, end) cover all that repeats, in bytes."""
     spark = docs.sparkSession
     ship(spark)
@@ -389,17 +390,19 @@ def repeated_spans(docs: DataFrame, shape: Shape, text: str = "text", hot_core:
     size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     n = int(size) // BLOCK_BYTES + 1
     block = _block(F.col("doc_id"), F.col("tie"), n)
-    blocks = rows.select(block.alias("block"), "doc_id", "tie", "text")
+    blocks = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(body).alias("tie"), body.alias("text"),
+                         *(F.col(c).alias(f"carry_{c}") for c in carry)).withColumn("block", block)
 
     every = materialize(all_anchors(rows, shape), "suffix-anchors")
-    twice = every.groupBy("core").agg(F.count("*").alias("n")).filter("n > 1").select("core")
+    # written first, so that the join has its own shuffle, whose large partitions can be split
+    twice = materialize(every.groupBy("core").agg(F.count("*").alias("n")).filter("n > 1").select("core"), "suffix-twice")
     close = materialize(every.join(twice, "core"), "suffix-close")
     contexts = close.groupBy("h1", "h2", "core").agg(F.count("*").alias("n"), F.min(F.struct("doc_id", "tie", "a", "lo", "hi", "head")).alias("one"))
     contexts = materialize(contexts, "suffix-contexts")
     copies = contexts.filter("n > 1").select("h1", "h2")
     whole = close.join(copies, ["h1", "h2"]).select("doc_id", "tie", F.col("lo").cast("long").alias("start"), (F.col("hi") + shape.length).cast("long").alias("end"))
 
-    per_core = contexts.groupBy("core").agg(F.count("*").alias("m")).filter("m > 1")
+    per_core = materialize(contexts.groupBy("core").agg(F.count("*").alias("m")).filter("m > 1"), "suffix-cores")
     one = contexts.join(per_core, "core").select("one.*", "m").withColumn("block", block)
     one = materialize(one, "suffix-different")
     cold = one.filter(F.col("m") <= hot_core)
@@ -429,12 +432,13 @@ def _union(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
 
 
 def dedup(docs: DataFrame, length: int = LENGTH, text: str = "text", with_text: bool = False, shape: Shape | None = None,
-          hot_core: int = HOT_CORE) -> DataFrame:
+          hot_core: int = HOT_CORE, carry: tuple[str, ...] = ()) -> DataFrame:
     """(doc_id, tie, n_bytes, n_removed, n_spans, kept_sha256) for every row, with ``with_text`` also what is left: its
-    bytes read as UTF-8, bytes of characters cut in two left out."""
+    bytes read as UTF-8, bytes of characters cut in two left out. ``carry``: columns of ``docs`` to hand through."""
     shape = shape or Shape(length)
-    blocks, spans = repeated_spans(docs, shape, text, hot_core)
+    blocks, spans = repeated_spans(docs, shape, text, hot_core, carry)
     schema = "doc_id long, tie long, n_bytes long, n_removed long, n_spans long, kept_sha256 string" + ", text string" * with_text
+    schema += "".join(f", `carry_{c}` {docs.schema[c].dataType.simpleString()}" for c in carry)
 
     def cut(left: pa.Table, right: pa.Table) -> pa.Table:
         by: dict[tuple, list[tuple[int, int]]] = {}
@@ -454,6 +458,8 @@ def dedup(docs: DataFrame, length: int = LENGTH, text: str = "text", with_text:
         names = ["n_bytes", "n_removed", "n_spans"]
         table = {"doc_id": left.column("doc_id"), "tie": left.column("tie"), **{c: pa.array(out[c], pa.int64()) for c in names},
                  "kept_sha256": pa.array(out["kept_sha256"], pa.string())}
-        return pa.table({**table, **({"text": pa.array(out["text"], pa.string())} if with_text else {})})
+        table |= {"text": pa.array(out["text"], pa.string())} if with_text else {}
+        return pa.table(table | {f"carry_{c}": left.column(f"carry_{c}") for c in carry})
 
-    return blocks.groupBy("block").cogroup(spans.groupBy("block")).applyInArrow(cut, schema)
+    found = blocks.groupBy("block").cogroup(spans.groupBy("block")).applyInArrow(cut, schema)
+    return found.withColumnsRenamed({f"carry_{c}": c for c in carry})
