@@ -76,7 +76,7 @@ def retry_worklist(attempts: DataFrame, key, attempt: str = "attempt", outcome_c
 
 
 def normalize(raw: DataFrame, feed: str, key: str = "key", payload: str = "payload",
-              observed: str = "received_at") -> DataFrame:
+              observed: str = "received_at", requested: str = "requested_at") -> DataFrame:
     """Typed feed rows from ok responses of one feed.
 
     activity: ``response.player_count`` (missing -> 0); details: ``<key>.data`` when ``<key>.success`` is true
@@ -92,9 +92,12 @@ def normalize(raw: DataFrame, feed: str, key: str = "key", payload: str = "paylo
         data_t = StructType([f for f in schemas.DETAILS.fields if f.name not in ("appid", "extracted_at",
                                                                                   "extracted_at_game")])
         entry = keyed_entry(payload, F.col(key), StructType().add("success", "boolean").add("data", data_t))
-        rows = ok.select(F.col(key).cast("int").alias("appid"), entry.alias("__e"), F.col(observed))
+        rows = ok.select(F.col(key).cast("int").alias("appid"), entry.alias("__e"), F.col(observed),
+                         *([F.col(requested)] if requested in raw.columns else []))
         rows = rows.where(F.col("__e.success"))
-        return rows.select("appid", F.lit(None).cast("timestamp").alias("extracted_at"),
+        # the time of the change that the worklist asked for, so that the fetch covers it
+        listed = F.col(requested) if requested in rows.columns else F.lit(None)
+        return rows.select("appid", listed.cast("timestamp").alias("extracted_at"),
                            *[F.col(f"__e.data.{f.name}").alias(f.name) for f in data_t.fields],
                            F.col(observed).alias("extracted_at_game"))
     if feed == "reviews":

@@ -10,7 +10,7 @@ Decisions (differences from the original catalogue job, all deliberate):
 * versions of one key are totally ordered by ``(version, tie)``; the original let two tied rows disagree on
   which one is current;
 * a batch version replaces the current one only when it is *newer*; older (late) rows are ignored;
-* null keys never enter the dimension (they would be re-inserted on every run); :func:`null_keys` returns them;
+* null keys never enter the dimension (they would be re-inserted on every run); nor do null versions; :func:`quarantine` returns both;
 * ``mode="latest"`` (default) keeps only the newest row per key of a batch, like the original incremental run;
   ``mode="all"`` keeps every newer version of the batch as its own row.
 """
@@ -31,15 +31,20 @@ def _order(version: str, tie: str | None) -> list[str]:
     return [version] + ([tie] if tie else [])
 
 
-def null_keys(df: DataFrame, key: str) -> DataFrame:
-    """Rows that cannot be versioned (quarantine)."""
-    return df.where(F.col(key).isNull())
+def versioned(df: DataFrame, key: str, version: str) -> DataFrame:
+    """Rows that have a key and a version time."""
+    return df.where(F.col(key).isNotNull() & F.col(version).isNotNull())
+
+
+def quarantine(df: DataFrame, key: str, version: str) -> DataFrame:
+    """Rows that cannot be versioned: no key or no version time. Set them aside, they change nothing."""
+    return df.where(F.col(key).isNull() | F.col(version).isNull())
 
 
 def build(df: DataFrame, key: str, version: str, tie: str | None = None, skew_safe: bool = True,
           rows_per_slice: int | None = None) -> DataFrame:
     """Initial build over every version in ``df``: one shuffle by key (hot keys split, see ``with_neighbours``)."""
-    rows = df.where(F.col(key).isNotNull())
+    rows = versioned(df, key, version)
     nb = with_neighbours(rows, key, _order(version, tie), [version], prev=None, nxt="__next_",
                          skew_safe=skew_safe, rows_per_slice=rows_per_slice)
     nxt = F.col(f"__next_{version}")
@@ -48,24 +53,23 @@ def build(df: DataFrame, key: str, version: str, tie: str | None = None, skew_sa
 
 def latest_versions(batch: DataFrame, key: str, version: str, tie: str | None = None) -> DataFrame:
     """Newest row per non-null key (what one incremental batch contributes in ``latest`` mode)."""
-    return latest_per_key(batch.where(F.col(key).isNotNull()), key, _order(version, tie))
+    return latest_per_key(versioned(batch, key, version), key, _order(version, tie))
 
 
 def stage(batch: DataFrame, current: DataFrame, key: str, version: str, tie: str | None = None,
           merge_key: str = "merge_key") -> DataFrame:
     """Change set for a MERGE (``target.key = source.merge_key AND target.is_current``).
 
-    new keys (merge_key = key -> no match -> insert) ∪ changed rows (merge_key null -> insert) ∪
-    triggers (merge_key = key -> match -> close). Only the newest batch row per key takes part.
+    A new key gives one row to insert (merge_key = its key, which matches nothing). A key with a newer version gives
+    two: one to close the current row (merge_key = key) and one to insert (merge_key null). One join, one explode;
+    only the newest batch row per key takes part.
     """
     latest = latest_versions(batch, key, version, tie)
-    cur = current.where(F.col(IS_CURRENT)).select(key, F.col(version).alias("__cur_v"))
-    j = latest.join(cur, on=key, how="left")
-    new = j.where(F.col("__cur_v").isNull()).drop("__cur_v").withColumn(merge_key, F.col(key))
-    changed = (j.where(F.col(version) > F.col("__cur_v")).drop("__cur_v")
-               .withColumn(merge_key, F.lit(None).cast(batch.schema[key].dataType)))
-    triggers = changed.withColumn(merge_key, F.col(key))
-    return new.unionByName(changed).unionByName(triggers)
+    cur = current.where(F.col(IS_CURRENT)).select(key, F.col(version).alias("__cur_v"), F.lit(True).alias("__there"))
+    own, none = F.col(key), F.lit(None).cast(batch.schema[key].dataType)
+    newer = F.coalesce(F.col(version) > F.col("__cur_v"), F.lit(True))
+    keys = F.when(F.col("__there").isNull(), F.array(own)).when(newer, F.array(own, none)).otherwise(F.array())
+    return latest.join(cur, on=key, how="left").withColumn(merge_key, F.explode(keys)).select(*latest.columns, merge_key)
 
 
 def apply_changes(current: DataFrame, batch: DataFrame, key: str, version: str, tie: str | None = None,
@@ -80,7 +84,7 @@ def apply_changes(current: DataFrame, batch: DataFrame, key: str, version: str,
     if mode == "latest":
         incoming = latest_versions(batch.select(*attrs), key, version, tie)
     elif mode == "all":
-        incoming = batch.select(*attrs).where(F.col(key).isNotNull())
+        incoming = versioned(batch.select(*attrs), key, version)
     else:
         raise ValueError(f"mode must be 'latest' or 'all', not {mode!r}")
 
@@ -89,15 +93,18 @@ def apply_changes(current: DataFrame, batch: DataFrame, key: str, version: str,
     if mode == "latest":
         inc = incoming.select(key, F.struct(*[F.col(c) for c in attrs]).alias("__i"))
         j = cur.join(inc, on=key, how="full_outer")
-        newer = F.col("__i").isNotNull() & (F.col("__c").isNull() | (F.col(f"__i.{version}") > newest_cur))
-        kept = j.where(F.col("__c").isNotNull() & ~newer).select("__c.*")
-        closed = (j.where(F.col("__c").isNotNull() & newer)
-                  .select(*[F.col(f"__c.{c}").alias(c) for c in attrs], F.lit(False).alias(IS_CURRENT),
-                          F.col(f"__c.{START}").alias(START), F.col(f"__i.{version}").alias(END)))
-        inserted = j.where(newer).select(*[F.col(f"__i.{c}").alias(c) for c in attrs],
-                                         F.lit(True).alias(IS_CURRENT), F.col(f"__i.{version}").alias(START),
-                                         F.lit(None).cast(current.schema[END].dataType).alias(END))
-        return kept.unionByName(closed).unionByName(inserted)
+        has_cur, has_inc = F.col("__c").isNotNull(), F.col("__i").isNotNull()
+        # two-valued: a current row without a version time is older than any that has one
+        newer = has_inc & F.coalesce(F.col(f"__i.{version}") > newest_cur, F.lit(True))
+        end_t = current.schema[END].dataType
+        order = [c for c in current.columns if c in attrs]
+        old = F.struct(*[F.col(f"__c.{c}").alias(c) for c in order], (F.col(f"__c.{IS_CURRENT}") & ~newer).alias(IS_CURRENT),
+                       F.col(f"__c.{START}").alias(START),
+                       F.when(newer, F.col(f"__i.{version}").cast(end_t)).otherwise(F.col(f"__c.{END}")).alias(END))
+        new = F.struct(*[F.col(f"__i.{c}").alias(c) for c in order], F.lit(True).alias(IS_CURRENT),
+                       F.col(f"__i.{version}").cast(current.schema[START].dataType).alias(START), F.lit(None).cast(end_t).alias(END))
+        rows = F.filter(F.array(F.when(has_cur, old), F.when(newer, new)), lambda r: r.isNotNull())
+        return j.select(F.explode(rows).alias("__r")).select("__r.*").select(*current.columns)
 
     # mode == "all": newer versions of touched keys, chained after the current version of each key.
     cur_v = current.select(key, F.col(version).alias("__cur_v"))

@@ -6,32 +6,29 @@ if one key holds a third of the data, one task holds a third of the data. The op
 * :func:`latest_per_key` is an aggregation (``max`` over a struct whose leading fields are the ordering), so Spark
   reduces each key on the map side before the shuffle: a hot key leaves every map task as one row.
 * :func:`with_neighbours` (lead/lag) first counts rows per key (key columns only, partial aggregation). Keys above
-  ``rows_per_slice`` are *hot*: their rows are cut into contiguous ranges of the ordering at approximate quantiles,
-  so a hot key becomes many window partitions. Rows at a range edge take their neighbour from a per-(key, range)
-  summary that has one row per range. The cut points are written once (a small table under
-  ``spark.checkpoint.dir``) so that every branch of the plan, and every retried task, slices identically.
+  ``rows_per_slice`` are *hot*: their rows are dealt out in ranges of the key and the whole ordering, so a hot key
+  becomes many window partitions, ties and texts included. Rows at a range's edge take their neighbour from a summary
+  with one row per key and range. The dealt rows are written once (under ``spark.checkpoint.dir``) so that every
+  branch of the plan, and every retried task, sees the same ranges. Null keys have no neighbours.
 """
 
 from __future__ import annotations
 
 import math
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
+
 
 from ledgerflow.session import materialize
 
 _REC = "__rec"
 _SLICE = "__slice"
-_POS = "__pos"
-_CUTS = "__cuts"
 
-# Defaults (overridable per call or by the session conf keys below).
+# Default (overridable per call or by the session conf key below).
 ROWS_PER_SLICE = 2_000_000          # conf: ledgerflow.sequence.rowsPerSlice
-MAX_SLICES_PER_KEY = 4096           # conf: ledgerflow.sequence.maxSlicesPerKey
-BROADCAST_CUT_VALUES = 4_000_000    # cut table broadcast only below this many cut values
 
 
 def _names(cols) -> list[str]:
@@ -54,49 +51,26 @@ def latest_per_key(df: DataFrame, key, order: Sequence[str], desc: bool = True)
     return out.select(*keys, *[F.col(f"{_REC}.row.{c}").alias(c) for c in rest]).select(*df.columns)
 
 
-def _position(df: DataFrame, col: str) -> Column:
-    """A DOUBLE that never decreases along ``col``'s order (cut points are quantiles of it; equal values share a
-    range, so ranges stay contiguous in the window order)."""
-    t = df.schema[col].dataType
-    c = F.col(col)
-    if isinstance(t, T.TimestampNTZType):
-        # wall-clock seconds, no time zone involved (a zone-dependent cast could fold at DST changes)
-        return (F.unix_date(F.to_date(c)).cast("double") * 86400 + F.hour(c) * 3600 + F.minute(c) * 60
-                + F.date_part(F.lit("SECOND"), c).cast("double"))
-    if isinstance(t, T.TimestampType):
-        return F.unix_micros(c).cast("double")
-    if isinstance(t, T.DateType):
-        return F.unix_date(c).cast("double")
-    if isinstance(t, T.NumericType):
-        return c.cast("double")
-    raise TypeError(f"first ordering column {col} must be numeric, date or timestamp, not {t.simpleString()}")
-
+def _rows_per_slice(df: DataFrame, given: int | None) -> int:
+    return given or int(df.sparkSession.conf.get("ledgerflow.sequence.rowsPerSlice", str(ROWS_PER_SLICE)))
 
-def _conf_int(df: DataFrame, name: str, default: int) -> int:
-    return int(df.sparkSession.conf.get(name, str(default)))
 
+def split_hot(df: DataFrame, keys: list[str], order: list[str], rows_per_slice: int) -> tuple[DataFrame, DataFrame | None]:
+    """(rows of the other keys, rows of keys with more than ``rows_per_slice`` rows with their slice, or None).
 
-def hot_key_cuts(df: DataFrame, keys: list[str], first_order: str, rows_per_slice: int,
-                 max_slices: int) -> tuple[DataFrame, int] | None:
-    """Cut points for keys with more than ``rows_per_slice`` rows, or None when no key is that large.
-
-    One pass over the key columns (partial aggregation); then percentile_approx over the hot keys only.
+    One counting pass finds the hot keys. Their rows are dealt out in ranges of the key and the full order, so any
+    orderable type works, ties on the first column split too, and the number of slices has no bound. The dealt rows
+    are written once: every branch and retry sees the same slices.
     """
-    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__cnt"))
-    stats = counts.agg(F.max("__cnt").alias("mx"),
-                       F.count_if(F.col("__cnt") > rows_per_slice).alias("hot")).first()
-    if not stats or not stats["hot"]:
-        return None
-    n_slices = min(max_slices, math.ceil(stats["mx"] / rows_per_slice))
-    pct = [i / n_slices for i in range(1, n_slices)]
-    hot = counts.where(F.col("__cnt") > rows_per_slice).select(*keys)
-    cuts = (df.select(*keys, _position(df, first_order).alias(_POS))
-            .join(hot, on=keys, how="left_semi")
-            .groupBy(*keys)
-            .agg(F.array_distinct(F.percentile_approx(_POS, pct, max(10_000, 10 * n_slices))).alias(_CUTS)))
-    # written once: percentile_approx merges partial sketches in task-completion order, so recomputing it could
-    # move the cuts; every branch and retry must slice identically
-    return materialize(cuts, "hot-key-cuts"), stats["hot"] * (n_slices - 1)
+    hot = materialize(df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__cnt")).where(F.col("__cnt") > rows_per_slice), "hot-keys")
+    total = hot.agg(F.sum("__cnt")).first()[0]
+    if not total:
+        return df, None
+    hot = hot.select(*keys)
+    dealt = (df.join(hot, on=keys, how="left_semi").select(*df.columns)
+             .repartitionByRange(math.ceil(total / rows_per_slice), *keys, *order)
+             .withColumn(_SLICE, F.spark_partition_id()))
+    return df.join(hot, on=keys, how="left_anti").select(*df.columns), materialize(dealt, "hot-rows")
 
 
 def with_neighbours(df: DataFrame, key, order: Sequence[str], fields: Sequence[str],
@@ -104,9 +78,9 @@ def with_neighbours(df: DataFrame, key, order: Sequence[str], fields: Sequence[s
                     rows_per_slice: int | None = None, skew_safe: bool = True) -> DataFrame:
     """Add ``prev_<f>`` / ``next_<f>`` (for every f in ``fields``): the neighbouring row of the same key.
 
-    ``order`` is ascending and must be a total order within a key (end it with a unique tie-break column); its first
-    column must be numeric, date or timestamp. Set ``prev`` or ``nxt`` to None to skip a side.
-    ``skew_safe=False`` is one plain window (one shuffle, a hot key in one task).
+    ``order`` is ascending and must be a total order within a key (end it with a unique tie-break column), of any
+    orderable types. A null key belongs to no item: its rows have no neighbours and stay out of every window. Set
+    ``prev`` or ``nxt`` to None to skip a side. ``skew_safe=False`` is one plain window (a hot key in one task).
     """
     keys = _names(key)
     order = _names(order)
@@ -123,36 +97,25 @@ def with_neighbours(df: DataFrame, key, order: Sequence[str], fields: Sequence[s
                 extra.append(next_c.getField(f).alias(f"{nxt}{f}"))
         return frame.select(*df.columns, *extra)
 
-    cut_info = None
+    keyed = reduce(lambda x, y: x & y, [F.col(k).isNotNull() for k in keys])
+    rows, hot = df.where(keyed), None
+    nothing = F.lit(None).cast(df.select(rec.alias("r")).schema["r"].dataType)
+    apart = _emit(df.where(~keyed), nothing, nothing)
     if skew_safe:
-        cut_info = hot_key_cuts(df, keys, order[0],
-                                rows_per_slice or _conf_int(df, "ledgerflow.sequence.rowsPerSlice", ROWS_PER_SLICE),
-                                _conf_int(df, "ledgerflow.sequence.maxSlicesPerKey", MAX_SLICES_PER_KEY))
-    if cut_info is None:
-        w = Window.partitionBy(*keys).orderBy(*order)
-        framed = df.withColumn(_REC, rec)
-        return _emit(framed, F.lag(_REC).over(w), F.lead(_REC).over(w))
-
-    cuts, n_values = cut_info
-    if n_values <= BROADCAST_CUT_VALUES:      # size checked: hot keys x cut points
-        cuts = F.broadcast(cuts)
-    pos = _position(df, order[0])
-    sliced = (df.join(cuts, on=keys, how="left")
-              .withColumn(_SLICE, F.coalesce(F.size(F.filter(F.col(_CUTS), lambda c: c <= pos)), F.lit(0)))
-              .withColumn(_REC, rec))
+        rows, hot = split_hot(rows, keys, order, _rows_per_slice(df, rows_per_slice))
+    w = Window.partitionBy(*keys).orderBy(*order)
+    out = _emit(rows.withColumn(_REC, rec), F.lag(_REC).over(w), F.lead(_REC).over(w)).unionByName(apart)
+    if hot is None:
+        return out
+    sliced = hot.withColumn(_REC, rec)
     w = Window.partitionBy(*keys, _SLICE).orderBy(*order)
     inner = sliced.withColumn("__p", F.lag(_REC).over(w)).withColumn("__n", F.lead(_REC).over(w))
-
-    # Range edges of hot keys only: first/last record per (key, range), one row per range.
-    edges = (sliced.where(F.col(_CUTS).isNotNull())
-             .groupBy(*keys, _SLICE)
-             .agg(F.min(_REC).alias("__first"), F.max(_REC).alias("__last")))
+    # first and last record of every slice of a key: one row per slice
+    edges = sliced.groupBy(*keys, _SLICE).agg(F.min(_REC).alias("__first"), F.max(_REC).alias("__last"))
     ew = Window.partitionBy(*keys).orderBy(_SLICE)
-    edges = edges.select(*keys, _SLICE,
-                         F.lag("__last").over(ew).alias("__pe"),
-                         F.lead("__first").over(ew).alias("__ne"))
+    edges = edges.select(*keys, _SLICE, F.lag("__last").over(ew).alias("__pe"), F.lead("__first").over(ew).alias("__ne"))
     joined = inner.join(edges, on=[*keys, _SLICE], how="left")
-    return _emit(joined, F.coalesce("__p", "__pe"), F.coalesce("__n", "__ne"))
+    return out.unionByName(_emit(joined, F.coalesce("__p", "__pe"), F.coalesce("__n", "__ne")))
 
 
 def carry_forward(df: DataFrame, key, order: Sequence[str], source: str, fields: Sequence[str],
@@ -173,28 +136,22 @@ def carry_forward(df: DataFrame, key, order: Sequence[str], source: str, fields:
     def _emit(frame: DataFrame, got: Column) -> DataFrame:
         return frame.select(*df.columns, *[got.getField(f).alias(f"{prefix}{f}") for f in fields])
 
-    cut_info = None
+    keyed = reduce(lambda x, y: x & y, [F.col(k).isNotNull() for k in keys])
+    rows, hot = df.where(keyed), None
+    apart = _emit(df.where(~keyed), F.lit(None).cast(df.select(rec.alias("r")).schema["r"].dataType))
     if skew_safe:
-        cut_info = hot_key_cuts(df, keys, order[0],
-                                rows_per_slice or _conf_int(df, "ledgerflow.sequence.rowsPerSlice", ROWS_PER_SLICE),
-                                _conf_int(df, "ledgerflow.sequence.maxSlicesPerKey", MAX_SLICES_PER_KEY))
+        rows, hot = split_hot(rows, keys, order, _rows_per_slice(df, rows_per_slice))
     upto_here = Window.unboundedPreceding, Window.currentRow
-    if cut_info is None:
-        w = Window.partitionBy(*keys).orderBy(*order).rowsBetween(*upto_here)
-        return _emit(df.withColumn(_REC, rec), F.last(_REC, ignorenulls=True).over(w))
-
-    cuts, n_values = cut_info
-    if n_values <= BROADCAST_CUT_VALUES:
-        cuts = F.broadcast(cuts)
-    pos = _position(df, order[0])
-    sliced = (df.join(cuts, on=keys, how="left")
-              .withColumn(_SLICE, F.coalesce(F.size(F.filter(F.col(_CUTS), lambda c: c <= pos)), F.lit(0)))
-              .withColumn(_REC, rec))
+    w = Window.partitionBy(*keys).orderBy(*order).rowsBetween(*upto_here)
+    out = _emit(rows.withColumn(_REC, rec), F.last(_REC, ignorenulls=True).over(w)).unionByName(apart)
+    if hot is None:
+        return out
+    sliced = hot.withColumn(_REC, rec)
     w = Window.partitionBy(*keys, _SLICE).orderBy(*order).rowsBetween(*upto_here)
     inner = sliced.withColumn("__l", F.last(_REC, ignorenulls=True).over(w))
-    # every range of a hot key: its own last source row (max ignores nulls), then the last one of earlier ranges
-    edges = (sliced.where(F.col(_CUTS).isNotNull()).groupBy(*keys, _SLICE).agg(F.max(_REC).alias("__own")))
+    # every slice of a hot key: its own last source row (max ignores nulls), then the last one of earlier slices
+    edges = sliced.groupBy(*keys, _SLICE).agg(F.max(_REC).alias("__own"))
     ew = Window.partitionBy(*keys).orderBy(_SLICE).rowsBetween(Window.unboundedPreceding, -1)
     edges = edges.select(*keys, _SLICE, F.last("__own", ignorenulls=True).over(ew).alias("__before"))
     joined = inner.join(edges, on=[*keys, _SLICE], how="left")
-    return _emit(joined, F.coalesce("__l", "__before"))
+    return out.unionByName(_emit(joined, F.coalesce("__l", "__before")))

@@ -26,6 +26,34 @@ _BATCHES = (
     "select user_id, event_id, ts, value, lead(ts) over w is null as is_current, ts as start_date, "
     "lead(ts) over w as end_date from v window w as (partition by user_id order by ts, event_id)")
 
+
+def _incremental(purchases: str) -> str:
+    return (
+            f"with base as ({purchases}), "
+            "b1 as (select * from base where ts < timestamp '2024-01-10'), "
+            "s as (select user_id, event_id, ts, value, lead(ts) over w is null as is_current, ts as start_date, "
+            "      lead(ts) over w as end_date from b1 window w as (partition by user_id order by ts, event_id)), "
+            "latest as (select * exclude (rn) from (select *, row_number() over (partition by user_id "
+            "      order by ts desc, event_id desc) as rn from base) z where rn = 1), "
+            "cur as (select * from s where is_current) "
+            "select s.user_id, s.event_id, s.ts, s.value, "
+            "  case when s.is_current and l.ts > s.ts then false else s.is_current end as is_current, s.start_date, "
+            "  case when s.is_current and l.ts > s.ts then l.ts else s.end_date end as end_date "
+            "from s left join latest l on s.user_id = l.user_id "
+            "union all "
+            "select l.user_id, l.event_id, l.ts, l.value, true, l.ts, null from latest l "
+            "left join cur c on c.user_id = l.user_id where c.user_id is null or l.ts > c.ts")
+
+
+def _neighbours(key: str, order: str) -> str:
+    """Neighbours by key; a null key has none."""
+    return (f"select coalesce(k, -1) as k, event_id, value, case when k is not null then lag(value) over w end as prev_value, "
+            f"case when k is not null then lead(value) over w end as next_value "
+            f"from (select *, {key} as k from events) e window w as (partition by k order by {order})")
+
+
+_HOT = "cast(case when event_type = 'view' then 0 else user_id end as bigint)"
+
 ORACLES: dict[str, str] = {
     "logical_day":
         "select cast(ts - interval 16 hours as date) as logical_day, count(*) as n from events group by 1",
@@ -74,20 +102,9 @@ ORACLES: dict[str, str] = {
         f"where label = 'ring')",
     "scd2_build": _BUILD,
     "scd2_incremental":
-        f"with base as ({_PURCH}), "
-        "b1 as (select * from base where ts < timestamp '2024-01-10'), "
-        "s as (select user_id, event_id, ts, value, lead(ts) over w is null as is_current, ts as start_date, "
-        "      lead(ts) over w as end_date from b1 window w as (partition by user_id order by ts, event_id)), "
-        "latest as (select * exclude (rn) from (select *, row_number() over (partition by user_id "
-        "      order by ts desc, event_id desc) as rn from base) z where rn = 1), "
-        "cur as (select * from s where is_current) "
-        "select s.user_id, s.event_id, s.ts, s.value, "
-        "  case when s.is_current and l.ts > s.ts then false else s.is_current end as is_current, s.start_date, "
-        "  case when s.is_current and l.ts > s.ts then l.ts else s.end_date end as end_date "
-        "from s left join latest l on s.user_id = l.user_id "
-        "union all "
-        "select l.user_id, l.event_id, l.ts, l.value, true, l.ts, null from latest l "
-        "left join cur c on c.user_id = l.user_id where c.user_id is null or l.ts > c.ts",
+        _incremental(_PURCH),
+    "scd2_null_version":
+        _incremental(_PURCH + " and value >= 50"),
     "scd2_batches": _BATCHES,
     "scd2_published": _BATCHES,
     "latest_per_key":
@@ -104,6 +121,20 @@ ORACLES: dict[str, str] = {
         f"select user_id, ts, round(value - prev, 2) as delta from (select user_id, ts, value, "
         f"lag(value) over (partition by user_id order by ts, event_id) as prev from ({_PURCH}) p) z "
         "where prev is not null and value < prev",
+    "neighbours_hot": _neighbours(_HOT, "ts, event_id"),
+    "neighbours_null_keys":
+        _neighbours("cast(case when event_type <> 'view' then user_id end as bigint)", "ts, event_id"),
+    "neighbours_text_version": _neighbours(_HOT, "strftime(ts, '%Y-%m-%d'), event_id"),
+    "neighbours_tied": _neighbours("cast(0 as bigint)", "cast(ts as date), event_id"),
+    "scd2_quarantine":
+        "select user_id, event_id, ts as at, value from events where event_type = 'purchase' and value < 50",
+    "scd2_mode_all": _BUILD,
+    "scd2_stage":
+        f"with l as (select * exclude (rn) from (select *, row_number() over (partition by user_id "
+        f"order by ts desc, event_id desc) as rn from ({_PURCH}) p) z where rn = 1), "
+        f"c as (select user_id as k, max(ts) as cur from ({_PURCH}) p where ts < timestamp '2024-01-10' group by 1) "
+        "select l.*, user_id as merge_key from l left join c on k = user_id where k is null or ts > cur "
+        "union all select l.*, -1 from l join c on k = user_id where ts > cur",
     "score_shift":
         f"select user_id, day, review_score, round(review_score - prev, 2) as shift, "
         f"abs(round(review_score - prev, 2)) >= 50.0 as alert from (select user_id, extracted_at_Date as day, "

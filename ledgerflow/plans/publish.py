@@ -88,11 +88,11 @@ class VersionedDimension:
     def apply_batch(self, spark: SparkSession, batch: DataFrame, src: str, mode: str = "latest",
                     stop_before_commit: bool = False) -> bool:
         """Apply one batch; returns False when ``src`` was already committed (replay = no-op)."""
-        # the commit log has one row per batch ever published: read it once, on the driver
-        log = self.commits(spark).select("batch_id", "src").collect()
-        if any(r["src"] == src for r in log):
+        # one row comes back, however many batches there have been
+        seen = self.commits(spark).agg(F.max("batch_id").alias("last"), F.count_if(F.col("src") == src).alias("done")).first()
+        if seen["done"]:
             return False
-        n = max((r["batch_id"] for r in log), default=0) + 1
+        n = (seen["last"] or 0) + 1
         attrs = [c for c in self.schema.names if c not in (scd2.IS_CURRENT, scd2.START, scd2.END)]
         if n == 1:
             first = scd2.latest_versions(batch.select(*attrs), self.key, self.version, self.tie) if mode == "latest" \
@@ -114,7 +114,9 @@ class VersionedDimension:
 
         def _fn(df: DataFrame, batch_id: int) -> None:
             spark = df.sparkSession
-            qid = spark.sparkContext.getLocalProperty("sql.streaming.queryId") or "stream"
+            qid = spark.sparkContext.getLocalProperty("sql.streaming.queryId")
+            if not qid:    # a shared name would make one stream's batches look like another's replays
+                raise RuntimeError("the streaming query has no id: batches cannot be told from replays")
             self.apply_batch(spark, df, f"{qid}:{batch_id}", mode=mode)
 
         return each_batch_available_now(stream, checkpoint, _fn)

@@ -22,7 +22,7 @@ from ledgerflow.functions.scalars import (epoch_seconds_to_ts_ntz, hour_of, iso_
                                           to_minor_units)
 from ledgerflow.operators import analytics, bridge, dim, facts, responses, scd2, worklist
 from ledgerflow.operators.flatten import FlattenSpec, flatten
-from ledgerflow.operators.sequence import latest_per_key
+from ledgerflow.operators.sequence import latest_per_key, with_neighbours
 from ledgerflow.session import fresh_dir, materialize
 from ledgerflow.sources.landing import with_rescued, write_batches
 from ledgerflow.sources.tables import read_table
@@ -33,6 +33,8 @@ BATCH_CUTS = (dt.datetime(2024, 1, 10), dt.datetime(2024, 1, 20))
 OLD_SNAPSHOT_BEFORE = dt.datetime(2024, 1, 30)
 WORKLIST_SNAPSHOT_BEFORE = dt.datetime(2024, 1, 29)
 DETAILS_MIN_VALUE = 100.0
+HOT_SLICE_ROWS = 700
+VERSIONED_FROM = 50.0
 ORDERS_SINCE = dt.datetime(2001, 1, 1)
 PAIRS_BEFORE = dt.datetime(2024, 1, 3)
 AS_OF = dt.datetime(2024, 1, 15)
@@ -206,6 +208,68 @@ def q_price_moves(spark, sf_dir):
     return analytics.price_moves(_purchases(spark, sf_dir), "user_id", "ts", "value", tie="event_id")
 
 
+def _neighbours(rows, order, rows_per_slice=None):
+    """(k, event_id, value, prev_value, next_value) over rows (k, event_id, value, ...)."""
+    out = with_neighbours(rows, "k", order, ["value"], rows_per_slice=rows_per_slice)
+    return out.select(F.coalesce("k", F.lit(-1)).alias("k"), "event_id", "value", "prev_value", "next_value")
+
+
+def q_neighbours_hot(spark, sf_dir):
+    """All views are one item's: the split of hot keys is forced by the argument."""
+    ev = read_table(spark, sf_dir, "events")
+    k = F.when(F.col("event_type") == "view", F.lit(0)).otherwise(F.col("user_id"))
+    return _neighbours(ev.select(k.cast("long").alias("k"), "event_id", "ts", "value"), ["ts", "event_id"], HOT_SLICE_ROWS)
+
+
+def q_neighbours_null_keys(spark, sf_dir):
+    """Views have no key: they belong to no item and have no neighbours."""
+    ev = read_table(spark, sf_dir, "events")
+    k = F.when(F.col("event_type") != "view", F.col("user_id"))
+    return _neighbours(ev.select(k.cast("long").alias("k"), "event_id", "ts", "value"), ["ts", "event_id"], HOT_SLICE_ROWS)
+
+
+def q_neighbours_text_version(spark, sf_dir):
+    """A text as first ordering column, with split keys."""
+    ev = read_table(spark, sf_dir, "events").withColumn("version", F.date_format("ts", "yyyy-MM-dd"))
+    k = F.when(F.col("event_type") == "view", F.lit(0)).otherwise(F.col("user_id"))
+    return _neighbours(ev.select(k.cast("long").alias("k"), "event_id", "version", "value"), ["version", "event_id"], HOT_SLICE_ROWS)
+
+
+def q_neighbours_tied(spark, sf_dir):
+    """One day for all rows of a day: slices part ties on the first ordering column."""
+    ev = read_table(spark, sf_dir, "events").withColumn("day", F.to_date("ts"))
+    return _neighbours(ev.select(F.lit(0).cast("long").alias("k"), "event_id", "day", "value"), ["day", "event_id"], HOT_SLICE_ROWS)
+
+
+def _null_versions(spark, sf_dir):
+    """Purchases whose version time is missing below a value, with their true time as ``at``."""
+    base = _purchases(spark, sf_dir)
+    return base.withColumn("at", F.col("ts")).withColumn("ts", F.when(F.col("value") >= VERSIONED_FROM, F.col("ts")))
+
+
+def q_scd2_null_version(spark, sf_dir):
+    base = _null_versions(spark, sf_dir)
+    first = scd2.build(base.where(F.col("at") < _ntz(BATCH_CUTS[0])).drop("at"), "user_id", "ts", tie="event_id")
+    return scd2.apply(first, base.drop("at"), "user_id", "ts", tie="event_id")
+
+
+def q_scd2_quarantine(spark, sf_dir):
+    return scd2.quarantine(_null_versions(spark, sf_dir), "user_id", "ts").select("user_id", "event_id", "at", "value")
+
+
+def q_scd2_mode_all(spark, sf_dir):
+    base = _purchases(spark, sf_dir)
+    first = scd2.build(base.where(F.col("ts") < _ntz(BATCH_CUTS[0])), "user_id", "ts", tie="event_id")
+    return scd2.apply(first, base.where(F.col("ts") >= _ntz(BATCH_CUTS[0])), "user_id", "ts", tie="event_id", mode="all")
+
+
+def q_scd2_stage(spark, sf_dir):
+    base = _purchases(spark, sf_dir)
+    first = scd2.build(base.where(F.col("ts") < _ntz(BATCH_CUTS[0])), "user_id", "ts", tie="event_id")
+    staged = scd2.stage(base, first, "user_id", "ts", tie="event_id")
+    return staged.withColumn("merge_key", F.coalesce("merge_key", F.lit(-1)))
+
+
 def q_score_shift(spark, sf_dir):
     daily = _daily_ratings(spark, sf_dir).select("user_id", F.col("extracted_at_Date").alias("day"),
                                                  "review_score")
@@ -336,6 +400,14 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "price_as_of": q_price_as_of,
     "price_as_of_join": q_price_as_of_join,
     "price_moves": q_price_moves,
+    "neighbours_hot": q_neighbours_hot,
+    "neighbours_null_keys": q_neighbours_null_keys,
+    "neighbours_text_version": q_neighbours_text_version,
+    "neighbours_tied": q_neighbours_tied,
+    "scd2_null_version": q_scd2_null_version,
+    "scd2_quarantine": q_scd2_quarantine,
+    "scd2_mode_all": q_scd2_mode_all,
+    "scd2_stage": q_scd2_stage,
     "score_shift": q_score_shift,
     "peak_activity": q_peak_activity,
     "anti_single": q_anti_single,

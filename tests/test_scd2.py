@@ -46,7 +46,7 @@ def test_build_quarantines_null_keys(spark):
     data = [(None, T(1), 1, 1), (1, T(1), 2, 2)]
     dim = _dim(spark, data)
     assert dim.count() == 1
-    assert scd2.null_keys(spark.createDataFrame(data, SCHEMA), "k").count() == 1
+    assert scd2.quarantine(spark.createDataFrame(data, SCHEMA), "k", SCHEMA.split(",")[1].split()[0]).count() == 1
 
 
 def test_apply_cases(spark):
