@@ -52,12 +52,9 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts without the bytes that 400-byte repeats cover; rows left without a word go."""
-    found = suffix_dedup.dedup(docs, with_text=True).select("doc_id", "tie", F.col("text").alias("left_over"), "n_removed")
-    found = found.dropDuplicates(["doc_id", "tie"])
-    out = _join(_with_tie(docs), found)
-    text = F.when(F.col("n_removed") > 0, F.col("left_over")).otherwise(F.col("text"))
-    chars = F.when(F.col("n_removed") > 0, F.length("left_over").cast("long")).otherwise(F.col("n_chars"))
-    out = out.select("doc_id", text.alias("text"), "lang", "source", chars.alias("n_chars"), "n_removed")
+    out = suffix_dedup.dedup(docs, with_text=True, carry=COLUMNS[2:])
+    chars = F.when(F.col("n_removed") > 0, F.length("text").cast("long")).otherwise(F.col("n_chars"))
+    out = out.withColumn("n_chars", chars)
     return out.filter((F.col("n_removed") == 0) | F.col("text").rlike(r"[^\x20\x09-\x0D]")).select(*COLUMNS)
 
 
