@@ -7,7 +7,8 @@ reads the files back, stripe by stripe in parallel; a filter on doc_id prunes fi
 statistics, row groups by the row index and the Bloom filter.
 
 The vocabulary drops white space before it splits the text, so a text's ids are those of its parts between ASCII
-blanks, one after the other; each distinct part is encoded once per cache life. Texts in ASCII are lower-cased before
+blanks, one after the other; each distinct part is encoded once per cache life (a full cache is emptied between two
+parts of a batch). Texts in ASCII are lower-cased before
 the cache, as the vocabulary does itself, unless they may hold an added token.
 
 Defined results: a null text is one of no tokens (the end id only). Null ids come first, ties in the order of the
@@ -18,8 +19,10 @@ columns are not read.
 from __future__ import annotations
 
 import json
+import re
+import struct
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -31,27 +34,48 @@ from ledgerflow.llm.common import in_parts, map_arrow, texts_of, vocabulary
 from ledgerflow.session import fresh_dir
 
 END_ID = 1
-CACHE_PARTS = 400_000
+CACHE_PARTS = 800_000
 LONG_PART = 64
-JOINED_PARTS = 2_000
+# The pattern of the vocabulary, and the characters that its classes are plain for.
+PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+LETTERS = "A-Za-zÀ-ÖØ-öø-ÿ"
+PLAIN = "[!-~À-ÖØ-öø-ÿ]*"
 ORC_OPTIONS = {"compression": "zstd", "orc.bloom.filter.columns": "doc_id", "orc.bloom.filter.fpp": "0.01",
                "orc.row.index.stride": "2000", "orc.stripe.size": str(32 << 20), "orc.create.index": "true"}
 
 _encoders: dict[str, PartEncoder] = {}
 
 
+class Lazy(dict):
+    """Values made by ``make`` when first asked for; those of keys of over ``LONG_PART`` characters are not kept."""
+
+    def __init__(self, make: Callable[[str], bytes]):
+        super().__init__()
+        self.make = make
+
+    def __missing__(self, key: str) -> bytes:
+        value = self.make(key)
+        if len(key) <= LONG_PART:
+            self[key] = value
+        return value
+
+
 class PartEncoder:
-    """Ids (little-endian unsigned 32-bit) of a text's parts between blanks, one encoder per Python worker."""
+    """Ids (little-endian unsigned 32-bit) of a text's parts between blanks, one encoder per Python worker.
+
+    A part of plain characters (``PLAIN``: in them lower-casing is one for one, normalisation changes nothing, and what
+    is a letter or a digit is beyond doubt) is split by the vocabulary's own pattern and its pieces go to the
+    vocabulary's model; any other part goes through the whole library."""
 
     def __init__(self, path: str):
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
 
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
         steps = (spec["normalizer"] or {}).get("normalizers", [])
         if [s["type"] for s in steps] != ["NFC", "Replace", "Lowercase"] or steps[1]["content"] != " ":
             raise ValueError(f"{path}: only vocabularies that normalise white space and case are supported")
-        split = spec["pre_tokenizer"]["pretokenizers"][0]
+        split, *then = spec["pre_tokenizer"]["pretokenizers"]
         if split["behavior"] != "Removed" or not split["invert"] or "[^\\s" not in split["pattern"]["Regex"]:
             raise ValueError(f"{path}: white space must be dropped before the text is split")
         if any(t["lstrip"] or t["rstrip"] or t["single_word"] or " " in t["content"] for t in spec["added_tokens"]):
@@ -59,38 +83,38 @@ class PartEncoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
-        self.marks = {t["content"][:2] for t in spec["added_tokens"]}
-        self.cache: dict[str, bytes] = {"": b""}
-
-    def _joined(self, parts: list[str]) -> list[bytes]:
-        """Ids of parts, encoded together with blanks between them and told apart by their offsets."""
-        starts = np.cumsum([0] + [len(p) + 1 for p in parts])
-        e = self.tokenizer.encode(" ".join(parts), add_special_tokens=False)
-        ids = np.array(e.ids, "<u4")
-        at = np.searchsorted([o[0] for o in e.offsets], starts[:-1]) if len(ids) else np.zeros(len(parts), int)
-        ends = [*at[1:], len(ids)]
-        return [ids[a:b].tobytes() for a, b in zip(at, ends, strict=True)]
+        self.model = self.tokenizer.model
+        marks = {t["content"][:2] for t in spec["added_tokens"]}
+        self.marked = re.compile("|".join(map(re.escape, sorted(marks))) or "(?!)").search
+        in_bytes = [t["type"] for t in then] == ["ByteLevel"] and not then[0]["use_regex"] and not then[0]["add_prefix_space"]
+        known = in_bytes and split["pattern"]["Regex"] == PATTERN and spec["model"]["type"] == "BPE" and not spec["model"]["dropout"]
+        self.plain = re.compile(PLAIN if known else "(?!)").fullmatch
+        self.pieces = re.compile(PATTERN.replace("\\p{L}", LETTERS).replace("\\p{N}", "0-9")).findall
+        byte_level = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
+        self.in_bytes = {c: byte_level.pre_tokenize_str(chr(c))[0][0] for c in range(0xC0, 0x100)}
+        self.words = Lazy(self._word)
+        self.cache = Lazy(self._part)
+
+    def _word(self, word: str) -> bytes:
+        ids = [t.id for t in self.model.tokenize(word if word.isascii() else word.translate(self.in_bytes))]
+        return struct.pack("<%dI" % len(ids), *ids)
+
+    def _part(self, part: str) -> bytes:
+        if self.plain(part) and not self.marked(part):
+            part = part.lower()
+            return self.words[part] if part.isalpha() else b"".join(map(self.words.__getitem__, self.pieces(part)))
+        return np.array(self.tokenizer.encode(part, add_special_tokens=False).ids, "<u4").tobytes()
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        split = []
+        if len(self.cache) + len(self.words) > CACHE_PARTS:
+            self.cache.clear()
+            self.words.clear()
+        out, get = [], self.cache.__getitem__
         for t in texts:
-            if t.isascii() and not any(m in t for m in self.marks):
+            if t.isascii() and not self.marked(t):
                 t = t.lower()
-            split.append(t.replace("\n", " ").replace("\t", " ").split(" "))
-        every: set[str] = set()
-        for s in split:
-            every.update(s)
-        new = [p for p in every if p not in self.cache]
-        if len(self.cache) + len(new) > CACHE_PARTS:
-            for p in [p for p in self.cache if p and p not in every]:
-                del self.cache[p]
-        long: dict[str, bytes] = {}
-        for k in range(0, len(new), JOINED_PARTS):
-            group = new[k:k + JOINED_PARTS]
-            for p, ids in zip(group, self._joined(group), strict=True):
-                (long if len(p) > LONG_PART else self.cache)[p] = ids
-        get = self.cache.__getitem__ if not long else (lambda p: long[p] if p in long else self.cache[p])
-        return [b"".join(map(get, s)) for s in split]
+            out.append(b"".join(map(get, t.replace("\n", " ").replace("\t", " ").split(" "))))
+        return out
 
 
 def write(docs: DataFrame, folder: str, path: str | None = None, end_id: int = END_ID, text: str = "text") -> None:
@@ -126,7 +150,8 @@ def read(spark: SparkSession, folder: str) -> DataFrame:
     rows = spark.read.schema("doc_id long, part int, place long, before long, n_tokens long, ids array<int>").orc(folder)
     totals = rows.groupBy("part").agg(F.sum("n_tokens").alias("total"))   # one row per file
     ahead = totals.select("part", (F.sum("total").over(Window.orderBy("part")) - F.col("total")).alias("ahead"))
-    return (rows.join(ahead, "part").select("doc_id", (F.col("ahead") + F.col("before")).alias("start"), "n_tokens", "ids"))
+    # a row for each range that ``write`` dealt, so its bound is spark.sql.shuffle.partitions: the ids need no shuffle
+    return (rows.join(F.broadcast(ahead), "part").select("doc_id", (F.col("ahead") + F.col("before")).alias("start"), "n_tokens", "ids"))
 
 
 def lookup(spark: SparkSession, folder: str, doc_ids: list[int]) -> DataFrame:
