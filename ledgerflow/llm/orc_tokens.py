@@ -42,6 +42,7 @@ LETTERS = "A-Za-zÀ-ÖØ-öø-ÿ"
 PLAIN = "[!-~À-ÖØ-öø-ÿ]*"
 ORC_OPTIONS = {"compression": "zstd", "orc.bloom.filter.columns": "doc_id", "orc.bloom.filter.fpp": "0.01",
                "orc.row.index.stride": "2000", "orc.stripe.size": str(32 << 20), "orc.create.index": "true"}
+PACK = [struct.Struct(f"<{n}I").pack for n in range(16)]
 
 _encoders: dict[str, PartEncoder] = {}
 
@@ -85,9 +86,11 @@ class PartEncoder:
         self.tokenizer.no_padding()
         self.model = self.tokenizer.model
         marks = {t["content"][:2] for t in spec["added_tokens"]}
+        if not all(m.startswith("<") for m in marks):
+            raise ValueError(f"{path}: added tokens must start with <")
         self.marked = re.compile("|".join(map(re.escape, sorted(marks))) or "(?!)").search
         in_bytes = [t["type"] for t in then] == ["ByteLevel"] and not then[0]["use_regex"] and not then[0]["add_prefix_space"]
-        known = in_bytes and split["pattern"]["Regex"] == PATTERN and spec["model"]["type"] == "BPE" and not spec["model"]["dropout"]
+        self.known = known = in_bytes and split["pattern"]["Regex"] == PATTERN and spec["model"]["type"] == "BPE" and not spec["model"]["dropout"]
         self.plain = re.compile(PLAIN if known else "(?!)").fullmatch
         self.pieces = re.compile(PATTERN.replace("\\p{L}", LETTERS).replace("\\p{N}", "0-9")).findall
         byte_level = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
@@ -97,10 +100,12 @@ class PartEncoder:
 
     def _word(self, word: str) -> bytes:
         ids = [t.id for t in self.model.tokenize(word if word.isascii() else word.translate(self.in_bytes))]
-        return struct.pack("<%dI" % len(ids), *ids)
+        return PACK[len(ids)](*ids) if len(ids) < len(PACK) else np.array(ids, "<u4").tobytes()
 
     def _part(self, part: str) -> bytes:
-        if self.plain(part) and not self.marked(part):
+        if self.known and part.isascii() and part.isalpha():
+            return self.words[part.lower()]
+        if self.plain(part) and not ("<" in part and self.marked(part)):
             part = part.lower()
             return self.words[part] if part.isalpha() else b"".join(map(self.words.__getitem__, self.pieces(part)))
         return np.array(self.tokenizer.encode(part, add_special_tokens=False).ids, "<u4").tobytes()
