@@ -10,7 +10,8 @@ Counts are never gathered. Each order has a table (gram, probability before inte
 of the lower order), dealt over the cluster by gram. Documents lie in blocks; a block asks for the distinct n-grams that
 its texts hold, the n-grams that any block asks for are joined with the count tables order by order (an unseen gram
 takes its context's weight times the lower order's probability, at last 1 / vocabulary), and every block gets the
-answers to its own questions. What a block holds is bounded by its own text.
+answers to its own questions. These joins are merge joins at every size: a small input would send all tables through
+the driver at once, a dozen of them, each below the broadcast limit. What a block holds is bounded by its own text.
 
 A document's perplexity is exp of its mean negative log probability a character. For each language two quantiles of
 the kept-back documents' log perplexities are taken, exactly, over steps of ``STEP``. A document is rejected whose log
@@ -159,7 +160,7 @@ def order_tables(grams: DataFrame, order: int) -> list[tuple[DataFrame, DataFram
         taken = F.when(F.col("c") == 1, d["d1"]).when(F.col("c") == 2, d["d2"]).otherwise(d["d3"])
         t = t.select("gram", F.substring("gram", 1, n - 1).alias("context"), F.col("c").cast("double").alias("c"), taken.alias("d"))
         context = t.groupBy("context").agg(F.sum("c").alias("total"), (F.sum("d") / F.sum("c")).alias("weight"))
-        own = t.join(context, "context").select("gram", ((F.col("c") - F.col("d")) / F.col("total")).alias("own"))
+        own = t.join(context.hint("merge"), "context").select("gram", ((F.col("c") - F.col("d")) / F.col("total")).alias("own"))
         out.append((own, context.select("context", "weight")))
     return out
 
@@ -170,12 +171,13 @@ def probabilities(asked: DataFrame, tables: list[tuple[DataFrame, DataFrame]], o
     lower = None
     for n, (own, context) in zip(range(1, order + 1), tables, strict=True):
         want = asked.select(F.substring("gram", order - n + 1, n).alias("gram")).distinct() if n < order else asked
-        want = want.withColumn("context", F.substring("gram", 1, n - 1)).join(own, "gram", "left").join(context, "context", "left")
+        want = want.withColumn("context", F.substring("gram", 1, n - 1)).join(own.hint("merge"), "gram", "left").join(
+            context.hint("merge"), "context", "left")
         if lower is None:
             below = F.lit(1.0 / vocabulary)
         else:
             want = want.withColumn("short", F.substring("gram", 2, n - 1)).join(
-                lower.select(F.col("gram").alias("short"), F.col("p").alias("q")), "short")
+                lower.select(F.col("gram").alias("short"), F.col("p").alias("q")).hint("merge"), "short")
             below = F.col("q")
         p = F.coalesce("own", F.lit(0.0)) + F.coalesce("weight", F.lit(1.0)) * below
         lower = want.select("gram", p.alias("p"))
@@ -276,9 +278,11 @@ def classify(docs: DataFrame, labels: DataFrame, text: str = "text", lang: str =
     asked = _bucketed(found.repartition(size, "gram").sortWithinPartitions("gram"), "gram")
     every = materialize(spark.table(asked).groupBy("gram").agg(F.sum("c").alias("c")), "kn-grams")
     tables = order_tables(every.filter("c > 0"), order)
-    answers = spark.table(asked).select("block", "gram").join(probabilities(every.select("gram"), tables, order), "gram")
+    answers = spark.table(asked).select("block", "gram").join(probabilities(every.select("gram"), tables, order).hint("merge"), "gram")
     answers = answers.select("block", "gram", F.col("logp").cast("float").alias("logp"))
     scores = materialize(scored(spark.table(table), answers, order), "kn-scores")
+    for name in (table, asked):                       # the catalog's entries; the files stay in the shared folder
+        spark.sql(f"DROP TABLE IF EXISTS {name}")
     scores = scores.join(trusted, "doc_id", "left")
     # the lower bound is set by all trusted documents, as those that the model has seen have the lowest perplexity
     low = quantiles(scores.filter("kept_back is not null")).withColumnRenamed("lang", "l0")
