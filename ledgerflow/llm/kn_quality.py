@@ -31,6 +31,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -39,7 +40,7 @@ from ledgerflow.session import fresh_dir, materialize
 
 ORDER = 5
 BLOCK_BYTES = 32 << 20
-GROUP_CHARS = 1_500_000
+GROUP_CHARS = 600_000
 DENSE = 1 << 23
 STEP = 0.005
 LOW_QUANTILE = 0.01
@@ -110,25 +111,17 @@ class Grams:
         self.counts = used                                             # 0: a gram across two texts' edge
 
 
-def text_groups(texts: list[str]) -> Iterator[tuple[int, int]]:
+def text_slices(column: pa.ChunkedArray) -> Iterator[tuple[int, list[str]]]:
+    """(first row, texts) of runs of neighbouring rows of about GROUP_CHARS characters."""
     a, n = 0, 0
-    for z, t in enumerate(texts):
-        if z > a and n + len(t) > GROUP_CHARS:
-            yield a, z
+    sizes = pc.fill_null(pc.utf8_length(column), 0).to_pylist()
+    for z, size in enumerate(sizes):
+        if z > a and n + size > GROUP_CHARS:
+            yield a, texts_of(column.slice(a, z - a))
             a, n = z, 0
-        n += len(t)
-    if a < len(texts):
-        yield a, len(texts)
-
-
-def counted(texts: list[str], order: int) -> dict[str, int]:
-    found: dict[str, int] = {}
-    for a, z in text_groups(texts):
-        g = Grams(texts[a:z], order)
-        for gram, n in zip(g.grams, g.counts.tolist(), strict=True):
-            if n:
-                found[gram] = found.get(gram, 0) + n
-    return found
+        n += size
+    if a < len(sizes):
+        yield a, texts_of(column.slice(a))
 
 
 # --- model ----------------------------------------------------------------------------------------------------------
@@ -212,14 +205,15 @@ def block_grams(table: str, trusted: DataFrame, order: int) -> DataFrame:
     """(block, gram, c): the distinct n-grams of each block and how often its training texts have them."""
     def grams(key: tuple, left: pa.Table, right: pa.Table) -> pa.Table:
         ids = set(right.column("doc_id").to_pylist())
-        texts = texts_of(left.column("text"))
-        training = [i in ids for i in left.column("doc_id").to_pylist()]
-        found = counted([t for t, x in zip(texts, training, strict=True) if x], order)
-        for a, z in text_groups(rest := [t for t, x in zip(texts, training, strict=True) if not x]):
-            g = Grams(rest[a:z], order)
-            for gram, n in zip(g.grams, g.counts.tolist(), strict=True):
-                if n:
-                    found.setdefault(gram, 0)
+        doc_ids, found = left.column("doc_id").to_pylist(), {}
+        for a, texts in text_slices(left.column("text")):
+            training = [i in ids for i in doc_ids[a:a + len(texts)]]
+            for trained in (True, False):
+                own = [t for t, x in zip(texts, training, strict=True) if x == trained]
+                g = Grams(own, order) if own else None
+                for gram, n in zip(g.grams, g.counts.tolist(), strict=True) if g else ():
+                    if n:
+                        found[gram] = found.get(gram, 0) + n * trained
         return pa.table({"block": pa.array([key[0].as_py()] * len(found), pa.int64()), "gram": pa.array(found.keys(), pa.string()),
                          "c": pa.array(found.values(), pa.int64())})
 
@@ -232,11 +226,10 @@ def block_grams(table: str, trusted: DataFrame, order: int) -> DataFrame:
 def scored(blocks: DataFrame, answers: DataFrame, order: int) -> DataFrame:
     """(doc_id, tie, lang, n_chars, log_perplexity); answers: (block, gram, logp)."""
     def score(left: pa.Table, right: pa.Table) -> pa.Table:
-        texts = texts_of(left.column("text"))
         logp = dict(zip(right.column("gram").to_pylist(), right.column("logp").to_pylist(), strict=True))
-        chars, mean = np.zeros(len(texts), np.int64), np.full(len(texts), np.nan)
-        for a, z in text_groups(texts):
-            g = Grams(texts[a:z], order)
+        chars, mean = np.zeros(len(left), np.int64), np.full(len(left), np.nan)
+        for a, texts in text_slices(left.column("text")):
+            g, z = Grams(texts, order), a + len(texts)
             each = np.array([logp.get(x, 0.0) for x in g.grams])[g.which]
             owner = np.repeat(np.arange(z - a), g.sizes)
             chars[a:z] = g.sizes
