@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql.types import DataType, MapType, StringType, StructType
+from pyspark.sql.types import DataType, StructType
 
 
 def _c(col) -> Column:
@@ -19,11 +19,15 @@ def parse(payload, schema: StructType | str) -> Column:
 def keyed_entry(payload, key, value_type: DataType | str) -> Column:
     """``payload[str(key)]`` for a payload that is an object keyed by item id.
 
-    Missing key or malformed JSON -> null (the original raised on a missing key).
+    Missing key or malformed JSON -> null (the original raised on a missing key). Only the entry asked for is read
+    with ``value_type``: an entry of another type under another key does no harm.
     """
-    vt = value_type if isinstance(value_type, DataType) else None
-    map_t = MapType(StringType(), vt) if vt is not None else f"map<string,{value_type}>"
-    return F.try_element_at(F.from_json(_c(payload), map_t), _c(key).cast("string"))
+    return F.from_json(entry_text(payload, _c(key).cast("string")), value_type, {"mode": "PERMISSIVE"})
+
+
+def entry_text(payload, name) -> Column:
+    """JSON text of one entry of an object; null when the text is no object, or has no such entry, or holds null."""
+    return F.try_element_at(F.from_json(_c(payload), "map<string,string>"), _c(name))
 
 
 def json_shape_ok(payload) -> Column:

@@ -51,10 +51,11 @@ def epoch_seconds_to_ts_ntz(sec) -> Column:
     return F.timestamp_add("SECOND", _c(sec), F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"))
 
 
-def hour_of(ts, keep_ntz: bool = True) -> Column:
-    """Start of the hour. ``date_trunc`` always answers TIMESTAMP; cast back so NTZ input stays NTZ."""
-    h = F.date_trunc("hour", _c(ts))
-    return h.cast("timestamp_ntz") if keep_ntz else h
+def hour_of(ts) -> Column:
+    """Start of the hour, of the type of ``ts``: minutes and seconds are taken off (``date_trunc`` always answers
+    TIMESTAMP, whatever comes in)."""
+    c, zero = _c(ts), F.lit(0)
+    return c - F.make_dt_interval(zero, zero, F.minute(c), F.extract(F.lit("SECOND"), c))
 
 
 def year_week(d) -> Column:

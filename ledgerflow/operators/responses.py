@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from ledgerflow import schemas
-from ledgerflow.functions.payload import json_shape_ok, keyed_entry, parse
+from ledgerflow.functions.payload import entry_text, json_shape_ok, keyed_entry, parse
 
 # Retry policy of each feed.
 RETRY_STATUSES = {"activity": (420, 429), "details": (403, 420, 429), "reviews": (403, 420, 429)}
@@ -20,27 +20,41 @@ ATTEMPTS_PER_ROUND = {"activity": 5, "reviews": 3, "details": 1}
 MAX_RETRY_ROUNDS = 3
 
 
-def outcome(feed: Column, status: Column, payload: Column) -> Column:
-    """'ok' | 'retry' | 'drop' | 'error' for one attempt.
+def body_outcome(feed: Column, payload: Column, key: Column) -> Column:
+    """Outcome of a 200 response by what its feed needs in the body.
 
-    200 with a JSON object body -> ok; 200 with a bad body -> drop (activity) or error (others, which raised);
-    retry statuses per feed -> retry; connection error (null status) -> retry for activity, error for others
-    (the original did not handle it); anything else -> drop.
+    activity: an object under ``response``, else drop. reviews: an object under ``query_summary``, else error.
+    details: under the item's key an object whose ``success`` is true and which has a ``data`` object -> ok,
+    ``success`` false -> absent (the catalogue does not show the item; nothing to retry), else error.
+    Any other feed: a JSON object, else error.
+    """
+    entry = keyed_entry(payload, key, "struct<success:boolean,data:string>")
+    return (F.when(feed == "activity", F.when(json_shape_ok(entry_text(payload, F.lit("response"))), "ok").otherwise("drop"))
+            .when(feed == "reviews", F.when(json_shape_ok(entry_text(payload, F.lit("query_summary"))), "ok").otherwise("error"))
+            .when(feed == "details", F.when(~entry["success"], "absent")
+                  .when(entry["success"] & json_shape_ok(entry["data"]), "ok").otherwise("error"))
+            .otherwise(F.when(json_shape_ok(payload), "ok").otherwise("error")))
+
+
+def outcome(feed: Column, status: Column, payload: Column, key: Column) -> Column:
+    """'ok' | 'absent' | 'retry' | 'drop' | 'error' for one attempt.
+
+    200 -> by the body (:func:`body_outcome`); retry statuses per feed -> retry; connection error (null status) ->
+    retry for activity, error for others (the original did not handle it); anything else -> drop.
     """
     retry_any = F.lit(False)
     for f, codes in RETRY_STATUSES.items():
         retry_any = retry_any | ((feed == f) & status.isin(*codes))
     is_act = feed == "activity"
     return (F.when(status.isNull(), F.when(is_act, "retry").otherwise("error"))
-            .when(status == 200, F.when(json_shape_ok(payload), "ok")
-                  .when(is_act, "drop").otherwise("error"))
+            .when(status == 200, body_outcome(feed, payload, key))
             .when(retry_any, "retry")
             .otherwise("drop"))
 
 
 def classify(raw: DataFrame, feed: str = "feed", status: str = "status", payload: str = "payload",
-             name: str = "outcome") -> DataFrame:
-    return raw.withColumn(name, outcome(F.col(feed), F.col(status), F.col(payload)))
+             name: str = "outcome", key: str = "key") -> DataFrame:
+    return raw.withColumn(name, outcome(F.col(feed), F.col(status), F.col(payload), F.col(key)))
 
 
 def outcome_counts(classified: DataFrame, by: tuple[str, ...] = ("feed", "outcome")) -> DataFrame:
@@ -79,10 +93,11 @@ def normalize(raw: DataFrame, feed: str, key: str = "key", payload: str = "paylo
               observed: str = "received_at", requested: str = "requested_at") -> DataFrame:
     """Typed feed rows from ok responses of one feed.
 
-    activity: ``response.player_count`` (missing -> 0); details: ``<key>.data`` when ``<key>.success`` is true
-    (false or missing key -> no row); reviews: ``query_summary``.
+    activity: ``response.player_count`` (missing -> 0); details: ``<key>.data``, stamped with the time of the change
+    that the worklist asked for (column ``requested``), so that the fetch covers it; reviews: ``query_summary``.
+    Bodies that lack what the feed needs give no row (:func:`body_outcome`).
     """
-    ok = classify(raw).where((F.col("feed") == feed) & (F.col("outcome") == "ok"))
+    ok = classify(raw, payload=payload, key=key).where((F.col("feed") == feed) & (F.col("outcome") == "ok"))
     if feed == "activity":
         body = parse(payload, "struct<response:struct<player_count:bigint>>")
         return ok.select(F.col(key).cast("int").alias("appid"),
@@ -94,10 +109,8 @@ def normalize(raw: DataFrame, feed: str, key: str = "key", payload: str = "paylo
         entry = keyed_entry(payload, F.col(key), StructType().add("success", "boolean").add("data", data_t))
         rows = ok.select(F.col(key).cast("int").alias("appid"), entry.alias("__e"), F.col(observed),
                          *([F.col(requested)] if requested in raw.columns else []))
-        rows = rows.where(F.col("__e.success"))
-        # the time of the change that the worklist asked for, so that the fetch covers it
-        listed = F.col(requested) if requested in rows.columns else F.lit(None)
-        return rows.select("appid", listed.cast("timestamp").alias("extracted_at"),
+        listed = F.col(requested) if requested in rows.columns else F.lit(None).cast("timestamp")
+        return rows.select("appid", listed.alias("extracted_at"),
                            *[F.col(f"__e.data.{f.name}").alias(f.name) for f in data_t.fields],
                            F.col(observed).alias("extracted_at_game"))
     if feed == "reviews":

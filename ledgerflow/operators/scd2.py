@@ -27,8 +27,8 @@ from ledgerflow.operators.sequence import carry_forward, latest_per_key, with_ne
 IS_CURRENT, START, END = "is_current", "start_date", "end_date"
 
 
-def _order(version: str, tie: str | None) -> list[str]:
-    return [version] + ([tie] if tie else [])
+def _order(version: str, tie: str | Sequence[str] | None) -> list[str]:
+    return [version] + ([tie] if isinstance(tie, str) else list(tie or ()))
 
 
 def versioned(df: DataFrame, key: str, version: str) -> DataFrame:

@@ -14,6 +14,16 @@ _RAW = ("select case when value < 20 then 'activity' when value < 60 then 'detai
         "case when value >= 300 then null when event_type = 'purchase' then 200 when event_type = 'view' then 429 "
         "when event_type = 'click' then 403 when event_type = 'signup' then 420 else 500 end as status, "
         "props as payload from events")
+# Attempts with the body each feed needs, or without: what the body holds is stated by the hour, not parsed.
+_FULL = ("select *, case when status is null then (case when feed = 'activity' then 'retry' else 'error' end) "
+         "when status = 429 then 'retry' when status = 403 then (case when feed = 'activity' then 'drop' else 'retry' end) "
+         "when h < 6 then (case when feed = 'activity' then 'drop' else 'error' end) "      # cut short, or an error object
+         "when h < 9 then (case when feed = 'details' then 'absent' else 'ok' end) "        # empty answer, success false
+         "when h < 12 then (case when feed = 'activity' then 'drop' else 'error' end) "     # wrong type, no data, null
+         "else 'ok' end as outcome from (select *, "
+         "case when value < 20 then 'activity' when value < 60 then 'details' else 'reviews' end as feed, "
+         "case when value >= 300 then null when event_type = 'view' then 429 when event_type = 'signup' then 403 "
+         "else 200 end as status, hour(ts) as h, cast(round(value * 100) as bigint) as cents from events) e")
 _SNAP_ALL = "select user_id, max(ts) as lm from events group by user_id"
 _SNAP_BEFORE = "select user_id, max(ts) as lm from events where ts < timestamp '{t}' group by user_id"
 _TOKENS = "select p_partkey, trim(t) as label from (select p_partkey, unnest(string_split(p_name, ' ')) as t from part) s"
@@ -162,12 +172,29 @@ ORACLES: dict[str, str] = {
         "  (select 1 from det d where d.user_id = n.user_id)) "
         "select user_id, lm, why from (select *, row_number() over (partition by user_id order by lm desc, prio desc) "
         "as rn from pend) z where rn = 1",
-    "outcome_counts":
+    "outcome_counts": f"select feed, outcome, count(*) as n from ({_FULL}) r group by 1, 2",
+    "outcome_statuses":
         f"select feed, case when status is null then (case when feed = 'activity' then 'retry' else 'error' end) "
-        "when status = 200 then (case when json_valid(payload) and json_type(payload) = 'OBJECT' then 'ok' "
-        "  when feed = 'activity' then 'drop' else 'error' end) "
+        "when status = 200 then (case when feed = 'activity' then 'drop' else 'error' end) "
         "when status in (420, 429) then 'retry' when status = 403 and feed != 'activity' then 'retry' "
         f"else 'drop' end as outcome, count(*) as n from ({_RAW}) r group by 1, 2",
+    "normalize_activity":
+        "select cast(user_id as integer) as appid, case when h < 9 then 0 else event_id + 3000000000 end as player_count, "
+        f"ts as extracted_at from ({_FULL}) r where feed = 'activity' and outcome = 'ok'",
+    "normalize_details":
+        "select cast(user_id as integer) as appid, cast(cast(ts as date) as timestamp) as extracted_at, false as is_free, "
+        "cents as final_price, event_type as genre, ts as extracted_at_game "
+        f"from ({_FULL}) r where feed = 'details' and outcome = 'ok'",
+    "normalize_reviews":
+        "select cast(user_id as integer) as appid, case when h >= 12 then 8 end as review_score, "
+        "case when h >= 12 then event_type end as review_score_desc, case when h >= 12 then cents end as total_positive, "
+        "case when h >= 12 then cast(1 as bigint) end as total_negative, case when h >= 12 then cents + 1 end as total_reviews, "
+        f"ts as extracted_at from ({_FULL}) r where feed = 'reviews' and outcome = 'ok'",
+    "retry_by_feed":
+        "select key, day, feed, outcome, n from (select user_id as key, cast(ts as date) as day, feed, count(*) as n, "
+        "case when max(case when outcome = 'ok' then 1 else 0 end) = 1 then 'ok' else arg_max(outcome, event_id) end as outcome "
+        f"from ({_FULL}) r group by 1, 2, 3) g where outcome = 'retry' and "
+        "ceil(n / case feed when 'activity' then 5.0 when 'reviews' then 3.0 else 1.0 end) <= 3",
     "retry_worklist":
         "with a as (select user_id, cast(ts as date) as day, event_id, case event_type when 'purchase' then 'ok' "
         "  when 'error' then 'drop' else 'retry' end as outcome from events), "
@@ -179,6 +206,16 @@ ORACLES: dict[str, str] = {
         "as last_modified, cast(c_nationkey as bigint) as price_change_number from customer",
     "rescued_rows":
         "select event_id, user_id, event_type, value, ts, props as rescued_props from events",
+    "rescued_types":
+        "select event_id, case when event_type not in ('view', 'click') then cast(user_id as integer) end as amount, "
+        "cast(user_id as integer) as k, case event_type when 'view' then 'n/a' when 'click' then '3000000000' end as rescued_amount, "
+        "event_type as rescued_extra from events",
+    "rescued_malformed":
+        "select case when event_type <> 'error' then event_id end as event_id, "
+        "case when event_type not in ('view', 'click', 'error') then cast(user_id as integer) end as amount, "
+        "case when event_type = 'error' then substr('{\"event_id\": ' || event_id || ', \"amount\": ' || user_id || "
+        "', \"inner\": {\"k\": ' || user_id || ', \"extra\": \"error\"}}', 1, 40) end as malformed, "
+        "event_type = 'error' as has_file from events",
     "stream_snapshot":
         "select event_id, user_id, value, date_trunc('hour', ts) as snapshot_hour, cast(ts as date) as snapshot_date "
         "from events",

@@ -38,7 +38,7 @@ class VersionedDimension:
     schema: StructType            # dimension columns incl. is_current / start_date / end_date
     key: str
     version: str
-    tie: str | None = None
+    tie: str | tuple[str, ...] | None = None
 
     # -- reading --------------------------------------------------------------------------------------------------
     def commits(self, spark: SparkSession) -> DataFrame:

@@ -24,7 +24,7 @@ from ledgerflow.operators import analytics, bridge, dim, facts, responses, scd2,
 from ledgerflow.operators.flatten import FlattenSpec, flatten
 from ledgerflow.operators.sequence import latest_per_key, with_neighbours
 from ledgerflow.session import fresh_dir, materialize
-from ledgerflow.sources.landing import with_rescued, write_batches
+from ledgerflow.sources.landing import FILE, MALFORMED, RESCUED, with_rescued, write_batches
 from ledgerflow.sources.tables import read_table
 from ledgerflow.streaming.ingest import append_available_now, file_stream
 
@@ -329,10 +329,59 @@ def _raw_responses(spark, sf_dir) -> DataFrame:
                      status.alias("status"), F.col("props").alias("payload"), F.col("ts").alias("received_at"))
 
 
+def _full_responses(spark, sf_dir) -> DataFrame:
+    """Attempts of all feeds whose bodies carry, by the hour, no JSON, an error, an empty, a wrong or a whole body."""
+    ev = read_table(spark, sf_dir, "events")
+    feed = F.when(F.col("value") < 20, "activity").when(F.col("value") < 60, "details").otherwise("reviews")
+    status = (F.when(F.col("value") >= 300, F.lit(None).cast("int")).when(F.col("event_type") == "view", 429)
+              .when(F.col("event_type") == "signup", 403).otherwise(200))
+    key, cents, hour = F.col("user_id"), F.round(F.col("value") * 100).cast("bigint"), F.hour("ts")
+    details = F.format_string('{"%d": {"success": true, "data": {"is_free": false, "price_overview": {"final": %d}, '
+                              '"genres": [{"description": "%s"}]}}, "0x": 5}', key, cents, "event_type")
+    whole = (F.when(feed == "activity", F.format_string('{"response": {"player_count": %d}}', F.col("event_id") + 3000000000))
+             .when(feed == "details", details)
+             .otherwise(F.format_string('{"query_summary": {"review_score": 8, "review_score_desc": "%s", "total_positive": '
+                                        '%d, "total_negative": 1, "total_reviews": %d}}', "event_type", cents, cents + 1)))
+    empty = (F.when(feed == "activity", F.lit('{"response": {}}'))
+             .when(feed == "details", F.format_string('{"%d": {"success": false}}', key)).otherwise(F.lit('{"query_summary": {}}')))
+    wrong = (F.when(feed == "activity", F.lit('{"response": 5}'))
+             .when(feed == "details", F.format_string('{"%d": {"success": true}}', key)).otherwise(F.lit('{"query_summary": null}')))
+    payload = (F.when(hour < 3, F.expr("left(w, length(w) - 2)")).when(hour < 6, F.lit('{"error": "x"}')).when(hour < 9, F.col("e"))
+               .when(hour < 12, F.col("x")).otherwise(F.col("w")))
+    return (ev.select(feed.alias("feed"), key.alias("key"), F.col("event_id").alias("attempt"), status.alias("status"),
+                      whole.alias("w"), empty.alias("e"), wrong.alias("x"), "ts", F.to_date("ts").cast("timestamp_ntz").alias("requested_at"))
+            .select("feed", "key", "attempt", "status", payload.alias("payload"), F.col("ts").alias("received_at"), "requested_at"))
+
+
 def q_outcome_counts(spark, sf_dir):
+    return responses.outcome_counts(responses.classify(_full_responses(spark, sf_dir)))
+
+
+def q_outcome_statuses(spark, sf_dir):
+    """Bodies that lack everything a feed needs, over all statuses."""
     return responses.outcome_counts(responses.classify(_raw_responses(spark, sf_dir)))
 
 
+def q_normalize_activity(spark, sf_dir):
+    return responses.normalize(_full_responses(spark, sf_dir), "activity")
+
+
+def q_normalize_details(spark, sf_dir):
+    rows = responses.normalize(_full_responses(spark, sf_dir), "details")
+    return rows.select("appid", "extracted_at", "is_free", F.col("price_overview.final").alias("final_price"),
+                       F.col("genres")[0]["description"].alias("genre"), "extracted_at_game")
+
+
+def q_normalize_reviews(spark, sf_dir):
+    return responses.normalize(_full_responses(spark, sf_dir), "reviews")
+
+
+def q_retry_by_feed(spark, sf_dir):
+    """Attempts a round differ by feed (an item's attempts of one day)."""
+    attempts = responses.classify(_full_responses(spark, sf_dir)).withColumn("day", F.to_date("received_at"))
+    return responses.retry_worklist(attempts, ["key", "day"])
+
+
 def q_retry_worklist(spark, sf_dir):
     ev = read_table(spark, sf_dir, "events")
     outcome = (F.when(F.col("event_type") == "purchase", "ok").when(F.col("event_type") == "error", "drop")
@@ -360,13 +409,40 @@ def q_page_flatten(spark, sf_dir):
 def q_rescued_rows(spark, sf_dir):
     ev = read_table(spark, sf_dir, "events")
     landing = fresh_dir(spark, "landing-events")
-    write_batches(ev, landing, max_records=200)
+    write_batches(ev, landing)
     known = ev.drop("props").schema
     rows = with_rescued(spark, landing, known, layout="lines")
     return rows.select("event_id", "user_id", "event_type", "value", "ts",
                        F.get_json_object("_rescued_data", "$.props").alias("rescued_props"))
 
 
+def _landed_lines(spark, sf_dir, cut: bool) -> DataFrame:
+    """Events landed as JSON lines: clicks overflow ``amount``, views have text in it, every record has an unknown nested
+    key; with ``cut`` the line of an error event ends early. Read back typed, with the rescued column."""
+    ev = read_table(spark, sf_dir, "events")
+    amount = (F.when(F.col("event_type") == "view", F.lit('"n/a"')).when(F.col("event_type") == "click", F.lit("3000000000"))
+              .otherwise(F.col("user_id").cast("string")))
+    line = F.format_string('{"event_id": %d, "amount": %s, "inner": {"k": %d, "extra": "%s"}}', "event_id", amount, "user_id", "event_type")
+    if cut:
+        line = F.when(F.col("event_type") == "error", F.substring(line, 1, 40)).otherwise(line)
+    landing = fresh_dir(spark, "landing-lines")
+    ev.select(line.alias("value")).write.text(landing)
+    schema = "event_id bigint, amount int, inner struct<k: int>"
+    return with_rescued(spark, landing, spark.createDataFrame([], schema).schema, layout="lines")
+
+
+def q_rescued_types(spark, sf_dir):
+    r = _landed_lines(spark, sf_dir, cut=False)
+    return r.select("event_id", "amount", F.col("inner.k").alias("k"), F.get_json_object(RESCUED, "$.amount").alias("rescued_amount"),
+                    F.get_json_object(RESCUED, "$['inner.extra']").alias("rescued_extra"))
+
+
+def q_rescued_malformed(spark, sf_dir):
+    r = _landed_lines(spark, sf_dir, cut=True)
+    return r.select("event_id", "amount", F.get_json_object(RESCUED, f"$.{MALFORMED}").alias("malformed"),
+                    F.get_json_object(RESCUED, f"$.{FILE}").isNotNull().alias("has_file"))
+
+
 def q_stream_snapshot(spark, sf_dir):
     schema = read_table(spark, sf_dir, "events").schema
     src = file_stream(spark, sf_dir, schema, fmt="parquet", glob="events.parquet")
@@ -415,8 +491,15 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "changed_keys": q_changed_keys,
     "pending_worklist": q_pending_worklist,
     "outcome_counts": q_outcome_counts,
+    "outcome_statuses": q_outcome_statuses,
+    "normalize_activity": q_normalize_activity,
+    "normalize_details": q_normalize_details,
+    "normalize_reviews": q_normalize_reviews,
+    "retry_by_feed": q_retry_by_feed,
     "retry_worklist": q_retry_worklist,
     "page_flatten": q_page_flatten,
     "rescued_rows": q_rescued_rows,
+    "rescued_types": q_rescued_types,
+    "rescued_malformed": q_rescued_malformed,
     "stream_snapshot": q_stream_snapshot,
 }

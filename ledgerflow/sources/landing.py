@@ -14,6 +14,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 RESCUED = "_rescued_data"
+# Keys of the rescued entry of a file or record that is no JSON object: its text, and the file it came from.
+MALFORMED, FILE = "_malformed", "_file"
 
 
 def read_landing(spark: SparkSession, path: str, schema: T.StructType, layout: str = "array",
@@ -49,8 +51,9 @@ def _rescue(raw_map: Column, typed_map: Column, schema: T.StructType, prefix: st
     return kept
 
 
-def _attach_rescued(records: DataFrame, raw: str, schema: T.StructType, column: str) -> DataFrame:
-    """Typed struct + rescued JSON for each raw record text.
+def _attach_rescued(records: DataFrame, raw: str, file: str, schema: T.StructType, column: str) -> DataFrame:
+    """Typed struct + rescued JSON for each raw record text. A text that is no JSON object gives nulls only (never half
+    a record), and is rescued whole with its file.
 
     Staged projections: each record is parsed once (typed struct, raw key/value map) and its typed map is built
     once; the per-entry filter then only looks values up. (Referencing the parse inside the filter lambda would
@@ -58,8 +61,11 @@ def _attach_rescued(records: DataFrame, raw: str, schema: T.StructType, column:
     """
     nested = [f for f in schema.fields if isinstance(f.dataType, T.StructType)]   # one nested level
     parsed = records.select(F.from_json(F.col(raw), schema, {"mode": "PERMISSIVE"}).alias("__r"),
-                            F.from_json(F.col(raw), "map<string,string>").alias("__m"))
-    parsed = parsed.select("__r", "__m", _typed_map(F.col("__r"), schema).alias("__t0"),
+                            F.from_json(F.col(raw), "map<string,string>").alias("__m"), raw, file)
+    bad = F.create_map(F.lit(MALFORMED), F.coalesce(raw, F.lit("null")), F.lit(FILE), F.col(file))
+    parsed = parsed.select(F.when(F.col("__m").isNotNull(), F.col("__r")).alias("__r"), "__m",
+                           F.when(F.col("__m").isNull(), bad).alias("__bad"))
+    parsed = parsed.select("__r", "__m", "__bad", _typed_map(F.col("__r"), schema).alias("__t0"),
                            *[F.from_json(F.element_at("__m", F.lit(f.name)), "map<string,string>").alias(f"__m{i}")
                              for i, f in enumerate(nested, 1)],
                            *[_typed_map(F.col("__r")[f.name], f.dataType).alias(f"__t{i}")
@@ -69,29 +75,29 @@ def _attach_rescued(records: DataFrame, raw: str, schema: T.StructType, column:
         parts.append(F.coalesce(_rescue(F.col(f"__m{i}"), F.col(f"__t{i}"), f.dataType, f"{f.name}."),
                                 F.create_map().cast("map<string,string>")))
     merged = F.map_concat(*parts) if len(parts) > 1 else parts[0]
-    return parsed.select("__r", merged.alias("__x")).select(
+    return parsed.select("__r", F.coalesce("__bad", merged).alias("__x")).select(
         "__r.*", F.when(F.size("__x") > 0, F.to_json("__x")).alias(column))
 
 
 def with_rescued(spark: SparkSession, path: str, schema: T.StructType, layout: str = "array",
-                 stream: bool = False, column: str = RESCUED) -> DataFrame:
+                 stream: bool = False, column: str = RESCUED, **options) -> DataFrame:
     """Typed rows plus ``column``: a JSON object of everything the schema could not hold (null when nothing).
 
-    Covers top-level keys and keys inside struct fields; values inside arrays of structs are not inspected.
+    Covers top-level keys and keys inside struct fields; values inside arrays of structs are not inspected. A file
+    (``array``) or line (``lines``) that is cut short or no JSON, and an array element that is no object, becomes one
+    row of nulls whose rescued text holds it and the name of its file. Blank files and lines are nothing.
+    ``options`` go to the reader, such as ``cleanSource`` and ``maxFilesPerTrigger`` of a stream.
     """
-    reader = spark.readStream if stream else spark.read
-    if layout == "array":
-        text = reader.text(path, wholetext=True)   # must be an argument: as .option() it is ignored
-        records = text.select(F.explode(F.from_json("value", "array<string>")).alias("__raw"))
-    elif layout == "lines":
-        text = reader.text(path)
-        v = F.trim("value")
-        records = (text.where(v != "")
-                   .select(F.explode(F.when(v.startswith("["), F.from_json(v, "array<string>"))
-                                     .otherwise(F.array(v))).alias("__raw")))
-    else:
+    if layout not in ("array", "lines"):
         raise ValueError(f"layout must be 'array' or 'lines', not {layout!r}")
-    return _attach_rescued(records, "__raw", schema, column)
+    reader = (spark.readStream if stream else spark.read).options(**options)
+    # wholetext must be an argument: as .option() it is ignored
+    text = reader.text(path, wholetext=layout == "array").select("value", F.col("_metadata.file_path").alias("__file"))
+    v = F.btrim("value", F.lit(" \t\r\n"))
+    records = text.select(v.alias("__v"), "__file").where(F.col("__v") != "")
+    listed = F.when(F.col("__v").startswith("["), F.from_json("__v", "array<string>"))
+    records = records.select(F.explode(F.coalesce(listed, F.array("__v"))).alias("__raw"), "__file")
+    return _attach_rescued(records, "__raw", "__file", schema, column)
 
 
 # Full-precision timestamp text (Spark's JSON writer otherwise cuts to milliseconds).
@@ -99,8 +105,9 @@ TS_FORMAT = "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"
 TS_NTZ_FORMAT = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
 
 
-def write_batches(df: DataFrame, path: str, max_records: int = 200, mode: str = "append") -> None:
-    """Landing writer: JSON lines, at most ``max_records`` records per file (a remainder gets its own file).
+def write_batches(df: DataFrame, path: str, max_records: int = 0, mode: str = "append") -> None:
+    """Landing writer: JSON lines, one file a task, or at most ``max_records`` records per file (a remainder gets its
+    own file) where a consumer needs small files.
 
     Timestamps keep microseconds. Records are written where they lie: no shuffle, each task writes its own files.
     """

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 # Fixed value: the driver tables this engine reads (one parquet file each under an sf directory).
 DRIVER_TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents",
@@ -31,6 +32,17 @@ def replace_table(df: DataFrame, name: str, fmt: str = "parquet") -> None:
     df.write.mode("overwrite").format(fmt).saveAsTable(name)
 
 
+def replace_partition(df: DataFrame, name: str, part: str, value, fmt: str = "parquet") -> None:
+    """Make ``df`` the whole content of one partition, ``part`` = ``value``; the other partitions stay as they are.
+
+    A rerun replaces what an earlier run wrote, whole or half, also by nothing.
+    """
+    spark = df.sparkSession
+    if not table_exists(spark, name):
+        df.limit(0).withColumn(part, F.lit(value)).write.format(fmt).partitionBy(part).saveAsTable(name)
+    spark.sql(f"INSERT OVERWRITE TABLE {name} PARTITION ({part} = '{value}') SELECT * FROM {{rows}}", rows=df)
+
+
 def append_table(df: DataFrame, name: str, fmt: str = "parquet") -> None:
     df.write.mode("append").format(fmt).saveAsTable(name)
 

@@ -94,3 +94,44 @@ def test_file_stream_on_driver_table(spark, tmp_dir):
     out = os.path.join(tmp_dir, "ev")
     append_available_now(s, os.path.join(tmp_dir, "ck2"), path=out)
     assert spark.read.parquet(out).count() == spark.read.parquet(f"{SF_SMALL}/events.parquet").count()
+
+
+def test_malformed_files_lines_and_elements_keep_their_text(spark, tmp_dir):
+    import json
+    import os
+
+    os.makedirs(f"{tmp_dir}/a")
+    texts = {"whole.json": '\n[{"appid": 1, "player_count": 5}, null, 7]\n', "cut.json": '[{"appid": 2}, {"appid": 3, "pl',
+             "none.json": "oops", "one.json": '{"appid": 4}', "blank.json": " \n", "empty.json": "[]"}
+    for name, text in texts.items():
+        with open(f"{tmp_dir}/a/{name}", "w") as f:
+            f.write(text)
+    for stream in (False, True):
+        found = with_rescued(spark, f"{tmp_dir}/a", schemas.ACTIVITY, stream=stream, **({"maxFilesPerTrigger": 2} if stream else {}))
+        if stream:
+            append_available_now(found, f"{tmp_dir}/ck", path=f"{tmp_dir}/out")
+            found = spark.read.parquet(f"{tmp_dir}/out")
+        got = [(r["appid"], json.loads(r["_rescued_data"] or "{}")) for r in found.collect()]
+        assert sorted(a for a, x in got if not x) == [1, 4]
+        bad = sorted((os.path.basename(x["_file"]), x["_malformed"]) for a, x in got if x)
+        assert bad == [("cut.json", texts["cut.json"]), ("none.json", "oops"), ("whole.json", "7"), ("whole.json", "null")]
+        assert all(a is None for a, x in got if x)
+    os.makedirs(f"{tmp_dir}/l")
+    with open(f"{tmp_dir}/l/x.json", "w") as f:
+        f.write('{"appid": 1}\n\n{"appid": 2, "pl\n[{"appid": 3}]\n')
+    got = with_rescued(spark, f"{tmp_dir}/l", schemas.ACTIVITY, layout="lines").collect()
+    assert sorted(str(r["appid"]) for r in got) == ["1", "3", "None"]
+    assert [json.loads(r["_rescued_data"])["_malformed"] for r in got if r["_rescued_data"]] == ['{"appid": 2, "pl']
+
+
+def test_clean_source_reaches_the_reader(spark, tmp_dir):
+    import os
+
+    os.makedirs(f"{tmp_dir}/in")
+    for i in range(3):
+        with open(f"{tmp_dir}/in/{i}.json", "w") as f:
+            f.write('[{"appid": %d}]' % i)
+    found = with_rescued(spark, f"{tmp_dir}/in", schemas.ACTIVITY, stream=True, cleanSource="delete", maxFilesPerTrigger=1)
+    append_available_now(found, f"{tmp_dir}/ck", path=f"{tmp_dir}/out")
+    assert spark.read.parquet(f"{tmp_dir}/out").count() == 3
+    assert len([f for f in os.listdir(f"{tmp_dir}/in") if f.endswith(".json")]) < 3

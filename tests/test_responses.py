@@ -15,13 +15,14 @@ def _raw(spark, recs):
 
 
 def test_status_matrix(spark):
-    good = '{"response": {"player_count": 5}}'
+    bodies = {"activity": '{"response": {"player_count": 5}}', "details": '{"1": {"success": true, "data": {}}}',
+              "reviews": '{"query_summary": {}}'}
     recs = []
     for feed in ("activity", "details", "reviews"):
         for st in (200, 403, 404, 420, 429, 500, None):
-            recs.append((feed, 1, 1, st, good))
+            recs.append((feed, 1, 1, st, bodies[feed]))
         recs.append((feed, 1, 1, 200, "not json"))
-    got = {(r["feed"], r["status"], r["payload"] == good): r["outcome"]
+    got = {(r["feed"], r["status"], r["payload"] != "not json"): r["outcome"]
            for r in responses.classify(_raw(spark, recs)).collect()}
     for feed in ("activity", "details", "reviews"):
         assert got[(feed, 200, True)] == "ok"
@@ -37,6 +38,28 @@ def test_status_matrix(spark):
     assert counts[("activity", "retry")] == 3 and sum(counts.values()) == len(recs)
 
 
+def test_bodies_that_lack_what_the_feed_needs(spark):
+    cases = {
+        ("activity", '{"response": {}}'): "ok", ("activity", '{"error": "x"}'): "drop", ("activity", '{"response": [1]}'): "drop",
+        ("activity", '{"response": {"player_count": 5}'): "drop", ("activity", None): "drop",
+        ("details", '{"1": {"success": true, "data": {"is_free": true}}, "2": 3}'): "ok", ("details", '{"1": {"success": false}}'): "absent",
+        ("details", '{"1": {"success": true}}'): "error", ("details", '{"1": {}}'): "error", ("details", '{"2": {"success": true}}'): "error",
+        ("details", '{"1": null}'): "error", ("details", "[]"): "error", ("details", None): "error",
+        ("reviews", '{"query_summary": {}}'): "ok", ("reviews", '{"success": 1}'): "error", ("reviews", '{"query_summary": null}'): "error",
+        ("reviews", '{"query_summary": 1}'): "error", ("reviews", ""): "error",
+    }
+    found = responses.classify(_raw(spark, [(f, 1, 1, 200, p) for f, p in cases])).collect()
+    assert {(r["feed"], r["payload"]): r["outcome"] for r in found} == cases
+
+
+def test_details_carry_the_time_that_was_asked_for(spark):
+    raw = _raw(spark, [("details", 7, 1, 200, '{"7": {"success": true, "data": {}}}')])
+    asked = dt.datetime(2024, 1, 1, 17)
+    out = responses.normalize(raw.withColumn("requested_at", F.lit(asked)), "details").first()
+    assert (out["extracted_at"], out["extracted_at_game"]) == (asked, NOW)
+    assert responses.normalize(raw, "details").first()["extracted_at"] is None
+
+
 def test_normalize_feeds(spark):
     details_ok = '{"7": {"success": true, "data": {"is_free": false, "price_overview": {"currency": "EUR", ' \
                  '"initial": 999, "final": 499, "discount_percent": 50}, "genres": [{"description": "RPG"}]}}}'
@@ -64,7 +87,7 @@ def test_retry_worklist_rounds(spark):
     # key 1: retry x4 (initial + 3 rounds used up) -> not re-issued; key 2: retry x2 -> re-issued;
     # key 3: retry then ok -> done; key 4: drop -> not re-issued
     recs = [("details", 1, a, 429, "{}") for a in range(4)] + [("details", 2, a, 429, "{}") for a in range(2)] + \
-           [("details", 3, 0, 429, "{}"), ("details", 3, 1, 200, "{}"), ("details", 4, 0, 404, "{}")]
+           [("details", 3, 0, 429, "{}"), ("details", 3, 1, 200, '{"3": {"success": true, "data": {}}}'), ("details", 4, 0, 404, "{}")]
     att = responses.classify(_raw(spark, recs))
     assert rows(responses.retry_worklist(att, "key"), "key", "n") == [(2, 2)]
     # activity makes 5 attempts per round: 12 attempts = 3 rounds -> one more allowed
