@@ -186,9 +186,9 @@ ORACLES: dict[str, str] = {
         "cents as final_price, event_type as genre, ts as extracted_at_game "
         f"from ({_FULL}) r where feed = 'details' and outcome = 'ok'",
     "normalize_reviews":
-        "select cast(user_id as integer) as appid, case when h >= 12 then 8 end as review_score, "
-        "case when h >= 12 then event_type end as review_score_desc, case when h >= 12 then cents end as total_positive, "
-        "case when h >= 12 then cast(1 as bigint) end as total_negative, case when h >= 12 then cents + 1 end as total_reviews, "
+        "select cast(user_id as integer) as appid, case when h >= 12 then 8 else -1 end as review_score, "
+        "case when h >= 12 then event_type end as review_score_desc, case when h >= 12 then cents else -1 end as total_positive, "
+        "cast(case when h >= 12 then 1 else -1 end as bigint) as total_negative, case when h >= 12 then cents + 1 else -1 end as total_reviews, "
         f"ts as extracted_at from ({_FULL}) r where feed = 'reviews' and outcome = 'ok'",
     "retry_by_feed":
         "select key, day, feed, outcome, n from (select user_id as key, cast(ts as date) as day, feed, count(*) as n, "
@@ -207,14 +207,14 @@ ORACLES: dict[str, str] = {
     "rescued_rows":
         "select event_id, user_id, event_type, value, ts, props as rescued_props from events",
     "rescued_types":
-        "select event_id, case when event_type not in ('view', 'click') then cast(user_id as integer) end as amount, "
+        "select event_id, case when event_type not in ('view', 'click') then cast(user_id as integer) else -1 end as amount, "
         "cast(user_id as integer) as k, case event_type when 'view' then 'n/a' when 'click' then '3000000000' end as rescued_amount, "
         "event_type as rescued_extra from events",
     "rescued_malformed":
-        "select case when event_type <> 'error' then event_id end as event_id, "
-        "case when event_type not in ('view', 'click', 'error') then cast(user_id as integer) end as amount, "
-        "case when event_type = 'error' then substr('{\"event_id\": ' || event_id || ', \"amount\": ' || user_id || "
-        "', \"inner\": {\"k\": ' || user_id || ', \"extra\": \"error\"}}', 1, 40) end as malformed, "
+        "select case when event_type <> 'error' then event_id else -1 end as event_id, "
+        "case when event_type not in ('view', 'click', 'error') then cast(user_id as integer) else -1 end as amount, "
+        "case when event_type = 'error' then rtrim(substr('{\"event_id\": ' || event_id || ', \"amount\": ' || user_id || "
+        "', \"inner\": {\"k\": ' || user_id || ', \"extra\": \"error\"}}', 1, 40)) end as malformed, "
         "event_type = 'error' as has_file from events",
     "stream_snapshot":
         "select event_id, user_id, value, date_trunc('hour', ts) as snapshot_hour, cast(ts as date) as snapshot_date "

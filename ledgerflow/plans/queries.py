@@ -373,7 +373,8 @@ def q_normalize_details(spark, sf_dir):
 
 
 def q_normalize_reviews(spark, sf_dir):
-    return responses.normalize(_full_responses(spark, sf_dir), "reviews")
+    rows = responses.normalize(_full_responses(spark, sf_dir), "reviews")
+    return rows.fillna(-1)      # numbers that the body leaves out
 
 
 def q_retry_by_feed(spark, sf_dir):
@@ -433,13 +434,13 @@ def _landed_lines(spark, sf_dir, cut: bool) -> DataFrame:
 
 def q_rescued_types(spark, sf_dir):
     r = _landed_lines(spark, sf_dir, cut=False)
-    return r.select("event_id", "amount", F.col("inner.k").alias("k"), F.get_json_object(RESCUED, "$.amount").alias("rescued_amount"),
+    return r.fillna(-1).select("event_id", "amount", F.col("inner.k").alias("k"), F.get_json_object(RESCUED, "$.amount").alias("rescued_amount"),
                     F.get_json_object(RESCUED, "$['inner.extra']").alias("rescued_extra"))
 
 
 def q_rescued_malformed(spark, sf_dir):
     r = _landed_lines(spark, sf_dir, cut=True)
-    return r.select("event_id", "amount", F.get_json_object(RESCUED, f"$.{MALFORMED}").alias("malformed"),
+    return r.fillna(-1).select("event_id", "amount", F.get_json_object(RESCUED, f"$.{MALFORMED}").alias("malformed"),
                     F.get_json_object(RESCUED, f"$.{FILE}").isNotNull().alias("has_file"))
 
 

@@ -85,7 +85,7 @@ def with_rescued(spark: SparkSession, path: str, schema: T.StructType, layout: s
 
     Covers top-level keys and keys inside struct fields; values inside arrays of structs are not inspected. A file
     (``array``) or line (``lines``) that is cut short or no JSON, and an array element that is no object, becomes one
-    row of nulls whose rescued text holds it and the name of its file. Blank files and lines are nothing.
+    row of nulls whose rescued text holds it, without white space around it, and the name of its file. Blank files and lines are nothing.
     ``options`` go to the reader, such as ``cleanSource`` and ``maxFilesPerTrigger`` of a stream.
     """
     if layout not in ("array", "lines"):
