@@ -11,12 +11,31 @@ from ledgerflow.operators.sequence import with_neighbours
 
 def peak_activity(df: DataFrame, key: str, ts: str, value: str, grain: str = "hour",
                   peak: str = "peak", mean: str | None = None) -> DataFrame:
-    """Peak (and optional mean) of ``value`` per key per time bucket; partial aggregation per bucket."""
-    bucket = hour_of(ts) if grain == "hour" else F.date_trunc(grain, F.col(ts)).cast("timestamp_ntz")
+    """Peak (and optional mean) of ``value`` per key per time bucket; partial aggregation per bucket.
+
+    ``grain``: hour (of the type of ``ts``), or day, week (from Monday), month as the DATE of their first day, which is
+    a key of the date dimension.
+    """
+    bucket = hour_of(ts) if grain == "hour" else F.to_date(F.col(ts) if grain == "day" else F.date_trunc(grain, F.col(ts)))
     aggs = [F.max(value).alias(peak)] + ([F.avg(value).alias(mean)] if mean else [])
     return df.groupBy(key, bucket.alias(grain)).agg(*aggs)
 
 
+def with_dates(activity: DataFrame, dates: DataFrame, day: str, attributes=("year_week", "is_weekend")) -> DataFrame:
+    """Activity rows with attributes of their date (one row per date: no rows are multiplied; Spark picks the join)."""
+    return activity.join(dates.select(F.col("full_date").alias(day), *attributes), on=day, how="left")
+
+
+def activity_churn(daily: DataFrame, key: str, day: str, value: str, fall: float, gap: int) -> DataFrame:
+    """Churn flags per key and active day: ``fell`` = activity at least the share ``fall`` below the last active day's;
+    ``silent_days`` until the next active day (null: none follows); ``lapsed`` = at least ``gap`` silent days follow."""
+    nb = with_neighbours(daily, key, [day], [day, value], prev="__prev_", nxt="__next_")
+    silent = F.date_diff(F.col(f"__next_{day}"), F.col(day)) - 1
+    before = F.col(f"__prev_{value}")
+    return nb.select(key, day, value, F.coalesce(F.col(value) <= before * (1 - fall), F.lit(False)).alias("fell"),
+                     silent.alias("silent_days"), F.coalesce(silent >= gap, F.lit(False)).alias("lapsed"))
+
+
 def price_moves(versions: DataFrame, key: str, ts: str, value: str, tie: str | None = None,
                 drops_only: bool = True, delta: str = "delta") -> DataFrame:
     """Change between consecutive versions of a key (``value - previous value``, 2 decimals).

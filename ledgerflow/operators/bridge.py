@@ -23,8 +23,9 @@ def from_array(df: DataFrame, key: str, array_col: str, label: str, current_col:
 
 
 def from_delimited(df: DataFrame, key: str, text_col: str, label: str, sep: str = ",",
-                   current_col: str | None = None, parity: bool = False) -> DataFrame:
-    """(key, trimmed token) for every ``sep``-separated token of ``text_col``.
+                   current_col: str | None = None, parity: bool = False, unique: bool = True) -> DataFrame:
+    """(key, trimmed token) for every ``sep``-separated token of ``text_col``; ``unique=False`` saves the shuffle where
+    the bridge is only the inner side of a semi join.
 
     Blank tokens are removed *after* trimming. ``parity=True`` tests before trimming, as the original job did, so a
     token of spaces survives as ''.
@@ -36,7 +37,7 @@ def from_delimited(df: DataFrame, key: str, text_col: str, label: str, sep: str
         out = exploded.select(key, F.trim("__tok").alias(label))
     else:
         out = exploded.select(key, F.trim("__tok").alias(label)).where(F.col(label) != "")
-    return out.distinct()
+    return out.distinct() if unique else out
 
 
 def items_with_label(items: DataFrame, bridge: DataFrame, key: str, label: str, value) -> DataFrame:

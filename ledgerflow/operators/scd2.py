@@ -141,7 +141,7 @@ def as_of(dim: DataFrame, at) -> DataFrame:
 
 
 def as_of_join(lookups: DataFrame, dim: DataFrame, key: str, at: str, fields: Sequence[str],
-               tie: str | None = None, prefix: str = "", rows_per_slice: int | None = None) -> DataFrame:
+               tie: str | Sequence[str] | None = None, prefix: str = "", rows_per_slice: int | None = None) -> DataFrame:
     """Point-in-time lookup: every ``lookups`` row gets ``fields`` of the version valid at its ``at``
     (``start_date <= at < end_date``); nulls when no version was valid (left semantics).
 
@@ -150,12 +150,15 @@ def as_of_join(lookups: DataFrame, dim: DataFrame, key: str, at: str, fields: Se
     lookup carries forward the latest version that started at or before it (hot keys range-split).
     """
     out_cols = lookups.columns
+    # the tie of the dimension's own type (a text as well); lookups have none
+    ties = F.struct(*_order(START, tie)[1:]) if tie else F.lit(None).cast("long")
+    tie_type = dim.select(ties.alias("t")).schema["t"].dataType
     src = dim.select(F.col(key), F.col(START).alias("__t"), F.lit(0).alias("__rank"),
-                     (F.col(tie) if tie else F.lit(None)).cast("long").alias("__tie"),
+                     ties.alias("__tie"),
                      F.col(END).alias("__end"), *[F.col(f).alias(f"__f_{f}") for f in fields],
                      F.lit(True).alias("__src"))
     probe = lookups.select(*[F.col(c) for c in out_cols], F.col(at).cast(dim.schema[START].dataType).alias("__t"),
-                           F.lit(1).alias("__rank"), F.lit(None).cast("long").alias("__tie"),
+                           F.lit(1).alias("__rank"), F.lit(None).cast(tie_type).alias("__tie"),
                            F.lit(False).alias("__src"))
     both = probe.unionByName(src, allowMissingColumns=True)
     carried = carry_forward(both, key, ["__t", "__rank", "__tie"], "__src", ["__end"] + [f"__f_{f}" for f in fields],

@@ -152,6 +152,24 @@ ORACLES: dict[str, str] = {
         f"from ({_DAILY}) d) z where prev is not null",
     "peak_activity":
         "select user_id, date_trunc('hour', ts) as hour, max(value) as peak from events group by 1, 2",
+    "activity_by_day":
+        "select user_id, cast(ts as date) as day, max(cast(round(value * 100) as bigint)) as peak, avg(cast(round(value * 100) as bigint)) as mean, "
+        "year(day) || '-' || lpad(cast(weekofyear(day) as varchar), 2, '0') as year_week, "
+        "dayofweek(day) in (0, 6) as is_weekend from events group by user_id, cast(ts as date)",
+    "activity_by_week":
+        "select *, year(week) || '-' || lpad(cast(weekofyear(week) as varchar), 2, '0') as year_week, false as is_weekend "
+        "from (select user_id, cast(date_trunc('week', ts) as date) as week, max(cast(round(value * 100) as bigint)) as peak, "
+        "avg(cast(round(value * 100) as bigint)) as mean from events group by 1, 2) g",
+    "activity_churn":
+        "select user_id, day, n, coalesce(n <= 0.5 * prev, false) as fell, coalesce(nxt - day - 1, -1) as silent_days, "
+        "coalesce(nxt - day - 1 >= 3, false) as lapsed from (select *, lag(n) over w as prev, lead(day) over w as nxt "
+        "from (select user_id, cast(ts as date) as day, count(*) as n from events group by 1, 2) d "
+        "window w as (partition by user_id order by day)) z",
+    "as_of_text_tie":
+        "select v.event_id, v.user_id, cast(cast(v.ts as date) as timestamp) as day, coalesce((select arg_max(p.value, "
+        "cast(p.ts as date)::varchar || lpad(p.event_id::varchar, 12, '0')) from events p where p.event_type = 'purchase' "
+        "and p.user_id = v.user_id and cast(p.ts as date) <= cast(v.ts as date)), -1) as value "
+        "from events v where v.event_type = 'view'",
     "anti_single":
         "select c_custkey from customer c where not exists (select 1 from orders o where o.o_custkey = c.c_custkey "
         "and o.o_orderdate >= timestamp '2001-01-01')",

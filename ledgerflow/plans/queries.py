@@ -34,6 +34,7 @@ OLD_SNAPSHOT_BEFORE = dt.datetime(2024, 1, 30)
 WORKLIST_SNAPSHOT_BEFORE = dt.datetime(2024, 1, 29)
 DETAILS_MIN_VALUE = 100.0
 HOT_SLICE_ROWS = 700
+CHURN_FALL, CHURN_GAP = 0.5, 3
 VERSIONED_FROM = 50.0
 ORDERS_SINCE = dt.datetime(2001, 1, 1)
 PAIRS_BEFORE = dt.datetime(2024, 1, 3)
@@ -142,7 +143,7 @@ def q_bridge_array(spark, sf_dir):
 
 def q_bridge_filter(spark, sf_dir):
     p = read_table(spark, sf_dir, "part")
-    b = bridge.from_delimited(p, "p_partkey", "p_name", "label", sep=" ")
+    b = bridge.from_delimited(p, "p_partkey", "p_name", "label", sep=" ", unique=False)
     return bridge.items_with_label(p.select("p_partkey", "p_brand"), b, "p_partkey", "label", "ring")
 
 
@@ -280,6 +281,37 @@ def q_peak_activity(spark, sf_dir):
     return analytics.peak_activity(read_table(spark, sf_dir, "events"), "user_id", "ts", "value", "hour")
 
 
+def _activity(spark, sf_dir, grain: str) -> DataFrame:
+    # minor units: sums of integers are exact in any order
+    ev = read_table(spark, sf_dir, "events").select("user_id", "ts", to_minor_units("value").alias("value"))
+    found = analytics.peak_activity(ev, "user_id", "ts", "value", grain, mean="mean")
+    dates = dim.date_dim_between(ev.agg(F.to_date(F.date_trunc("week", F.min("ts"))).alias("lo"), F.to_date(F.max("ts")).alias("hi")), "lo", "hi")
+    return analytics.with_dates(found, dates, grain)
+
+
+def q_activity_by_day(spark, sf_dir):
+    return _activity(spark, sf_dir, "day")
+
+
+def q_activity_by_week(spark, sf_dir):
+    return _activity(spark, sf_dir, "week")
+
+
+def q_activity_churn(spark, sf_dir):
+    ev = read_table(spark, sf_dir, "events")
+    daily = ev.groupBy("user_id", F.to_date("ts").alias("day")).agg(F.count(F.lit(1)).alias("n"))
+    return analytics.activity_churn(daily, "user_id", "day", "n", CHURN_FALL, CHURN_GAP).fillna(-1)
+
+
+def q_as_of_text_tie(spark, sf_dir):
+    """As ``price_as_of_join`` by day, where only a text tells versions of one time apart."""
+    ev = read_table(spark, sf_dir, "events").withColumn("day", F.to_date("ts").cast("timestamp_ntz"))
+    bought = ev.where(F.col("event_type") == "purchase").select("user_id", "day", "value", F.format_string("%012d", "event_id").alias("tie"))
+    hist = scd2.build(bought, "user_id", "day", tie="tie")
+    views = ev.where(F.col("event_type") == "view").select("event_id", "user_id", "day")
+    return scd2.as_of_join(views, hist, "user_id", "day", ["value"], tie="tie").fillna(-1.0)
+
+
 # ---- joins / worklists ---------------------------------------------------------------------------------------
 
 def q_anti_single(spark, sf_dir):
@@ -487,6 +519,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "scd2_stage": q_scd2_stage,
     "score_shift": q_score_shift,
     "peak_activity": q_peak_activity,
+    "activity_by_day": q_activity_by_day,
+    "activity_by_week": q_activity_by_week,
+    "activity_churn": q_activity_churn,
+    "as_of_text_tie": q_as_of_text_tie,
     "anti_single": q_anti_single,
     "anti_composite": q_anti_composite,
     "changed_keys": q_changed_keys,
