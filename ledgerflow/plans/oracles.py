@@ -224,6 +224,8 @@ ORACLES: dict[str, str] = {
         "as last_modified, cast(c_nationkey as bigint) as price_change_number from customer",
     "rescued_rows":
         "select event_id, user_id, event_type, value, ts, props as rescued_props from events",
+    "iso_timestamps":
+        "select event_id, case when value < 50 then date_trunc('second', ts) else ts end as extracted_at, true as clean from events",
     "rescued_types":
         "select event_id, case when event_type not in ('view', 'click') then cast(user_id as integer) else -1 end as amount, "
         "cast(user_id as integer) as k, case event_type when 'view' then 'n/a' when 'click' then '3000000000' end as rescued_amount, "

@@ -464,6 +464,18 @@ def _landed_lines(spark, sf_dir, cut: bool) -> DataFrame:
     return with_rescued(spark, landing, spark.createDataFrame([], schema).schema, layout="lines")
 
 
+def q_iso_timestamps(spark, sf_dir):
+    """Times landed as ISO texts of UTC, with microseconds or (low values) without."""
+    ev = read_table(spark, sf_dir, "events")
+    text = F.concat(F.when(F.col("value") < 50, F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss"))
+                    .otherwise(F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")), F.lit("+00:00"))
+    landing = fresh_dir(spark, "landing-times")
+    ev.select(F.to_json(F.struct("event_id", text.alias("extracted_at"))).alias("value")).write.text(landing)
+    schema = spark.createDataFrame([], "event_id bigint, extracted_at timestamp").schema
+    rows = with_rescued(spark, landing, schema, layout="lines")
+    return rows.select("event_id", F.col("extracted_at").cast("timestamp_ntz").alias("extracted_at"), F.col(RESCUED).isNull().alias("clean"))
+
+
 def q_rescued_types(spark, sf_dir):
     r = _landed_lines(spark, sf_dir, cut=False)
     return r.fillna(-1).select("event_id", "amount", F.col("inner.k").alias("k"), F.get_json_object(RESCUED, "$.amount").alias("rescued_amount"),
@@ -536,6 +548,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "retry_worklist": q_retry_worklist,
     "page_flatten": q_page_flatten,
     "rescued_rows": q_rescued_rows,
+    "iso_timestamps": q_iso_timestamps,
     "rescued_types": q_rescued_types,
     "rescued_malformed": q_rescued_malformed,
     "stream_snapshot": q_stream_snapshot,

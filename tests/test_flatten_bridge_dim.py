@@ -36,13 +36,13 @@ def test_flatten_nulls_and_empties(spark):
 
 def test_bridges_edge_labels(spark):
     df = spark.createDataFrame([
-        (1, True, ["Valve", "Valve", "Hidden Path, Inc."], "Action, Indie,  , Action"),
+        (1, True, ["Northwind", "Northwind", "Hidden Lane, Inc."], "Action, Indie,  , Action"),
         (2, True, None, ""),
         (3, False, ["Old"], "Old"),
         (4, True, [None, "X"], "A,B"),
     ], "appid int, is_current boolean, devs array<string>, genres string")
     arr = bridge.from_array(df, "appid", "devs", "developer", current_col="is_current")
-    assert rows(arr) == [(1, "Hidden Path, Inc."), (1, "Valve"), (4, "X")]   # comma kept, dup + null dropped
+    assert rows(arr) == [(1, "Hidden Lane, Inc."), (1, "Northwind"), (4, "X")]   # comma kept, dup + null dropped
     dl = bridge.from_delimited(df, "appid", "genres", "genre_name", current_col="is_current")
     assert rows(dl) == [(1, "Action"), (1, "Indie"), (4, "A"), (4, "B")]     # blanks and empty text dropped
     parity = bridge.from_delimited(df, "appid", "genres", "genre_name", current_col="is_current", parity=True)
