@@ -13,10 +13,19 @@ takes its context's weight times the lower order's probability, at last 1 / voca
 answers to its own questions. These joins are merge joins at every size: a small input would send all tables through
 the driver at once, a dozen of them, each below the broadcast limit. What a block holds is bounded by its own text.
 
-A document's perplexity is exp of its mean negative log probability a character. For each language two quantiles of
-the kept-back documents' log perplexities are taken, exactly, over steps of ``STEP``. A document is rejected whose log
-perplexity lies outside them by more than a margin, MARGIN + CHANCE / sqrt(its length) + SPREAD / sqrt(number of
-documents that set the quantile). Documents whose language has no such document use the quantiles over all of them.
+A document's perplexity is exp of its mean negative log probability a character. Such a mean varies less the longer the
+document is; how much less is learned from the kept-back documents: of each language their median is the centre, and a
+least-squares fit of the squared distances from it gives the variance a + b / length. Distances are measured in that
+spread, and two quantiles of them, exactly over steps of ``STEP``, are the thresholds: the upper one of the kept-back
+documents, the lower one of all trusted ones (the model has seen most, so theirs are the lowest). Nothing is added to
+them but what a quantile of few documents lacks: below ``ENOUGH`` documents a language takes spread and quantiles
+of all languages' distances together (each from its own centre), and if these are too few as well, at least Student's
+quantile. A centre of n documents widens the spread by sqrt(1 + 1 / n). Documents whose language has no kept-back one
+use centre, spread and quantiles of all of them.
+
+``ORDER`` reaches over the blank, so that a word is judged by the end of the one before it. Loops of words stand out as
+their mean hardly comes nearer the centre with length, while the spread that prose is allowed shrinks; a loop whose own
+mean lies near the centre is kept, as no word order beyond five characters is seen.
 
 Defined results: a null text counts as empty; an empty text has no perplexity and is rejected; a null language is a
 language of its own. A null id is never trusted. Ties and repeated rows give one row each (a label repeated counts once;
@@ -28,6 +37,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Iterator
+from statistics import NormalDist
 
 import numpy as np
 import pyarrow as pa
@@ -38,16 +48,15 @@ from pyspark.sql import functions as F
 from ledgerflow.llm.common import ship, texts_of
 from ledgerflow.session import fresh_dir, materialize
 
-ORDER = 5
+ORDER = 6
 BLOCK_BYTES = 32 << 20
 GROUP_CHARS = 600_000
 DENSE = 1 << 23
 STEP = 0.005
 LOW_QUANTILE = 0.01
 HIGH_QUANTILE = 0.99
-MARGIN = 0.02
-CHANCE = 4.0
-SPREAD = 0.5
+ENOUGH = 100
+LEAST_SPREAD = 1e-3
 FOLDS = 5
 PAD = "\x00"
 
@@ -243,19 +252,91 @@ def scored(blocks: DataFrame, answers: DataFrame, order: int) -> DataFrame:
 
 # --- operator -------------------------------------------------------------------------------------------------------
 
-def quantiles(scores: DataFrame) -> DataFrame:
-    """(all, lang, low, high, n) of rows (lang, log_perplexity); the row with ``all`` is for all of them together."""
-    steps = scores.select("lang", F.floor(F.col("log_perplexity") / STEP).alias("step")).filter("step is not null")
-    cells = steps.groupBy("lang", "step").count()
-    cells = cells.select(F.struct(F.lit(False).alias("all"), "lang").alias("key"), "step", "count").unionByName(
-        cells.groupBy("step").agg(F.sum("count").alias("count")).select(
-            F.struct(F.lit(True).alias("all"), F.lit(None).cast("string").alias("lang")).alias("key"), "step", "count"))
+def quantiles(values: DataFrame, shares: dict[str, float]) -> DataFrame:
+    """(key, n, and a column for each of ``shares``) of rows (key, x)."""
+    cells = values.select("key", F.floor(F.col("x") / STEP).alias("step")).filter("step is not null").groupBy("key", "step").count()
     upto = Window.partitionBy("key").orderBy("step")          # steps of a bounded range, not rows
     share = F.sum("count").over(upto.rowsBetween(Window.unboundedPreceding, 0)) / F.sum("count").over(Window.partitionBy("key"))
     found = cells.withColumn("share", share).groupBy("key").agg(
-        F.min(F.when(F.col("share") >= LOW_QUANTILE, F.col("step"))).alias("low"),
-        F.min(F.when(F.col("share") >= HIGH_QUANTILE, F.col("step"))).alias("high"), F.sum("count").alias("n"))
-    return found.select("key.*", (F.col("low") * STEP).alias("low"), ((F.col("high") + 1) * STEP).alias("high"), "n")
+        *(F.min(F.when(F.col("share") >= q, F.col("step"))).alias(c) for c, q in shares.items()), F.sum("count").alias("n"))
+    # a lower bound is its step's lower edge, an upper one the upper edge, the median the middle
+    edge = lambda q: 0.0 if q < 0.5 else 1.0 if q > 0.5 else 0.5
+    return found.select("key", "n", *(((F.col(c) + edge(q)) * STEP).alias(c) for c, q in shares.items()))
+
+
+def student(share: float, n: Column) -> Column:
+    """About Student's quantile for n documents (n - 1 degrees of freedom), without bound for one."""
+    z = NormalDist().inv_cdf(share)
+    return F.when(n > 1, z * (1 + (z * z + 1) / (4 * (n - 1)))).otherwise(F.lit(float("inf")))
+
+
+def _by_lang(rows: DataFrame, of: DataFrame, how: str) -> DataFrame:
+    return rows.join(of.withColumnRenamed("lang", "of_lang"), F.col("lang").eqNullSafe(F.col("of_lang")), how).drop("of_lang")
+
+
+def spreads(distances: DataFrame, *keys: str) -> DataFrame:
+    """(keys, a, b): the variance a + b / n_chars of rows (n_chars, d), by least squares weighed with the length."""
+    w, u, r = F.col("n_chars").cast("double"), 1 / F.col("n_chars"), F.col("d") * F.col("d")
+    s = distances.groupBy(*keys).agg(F.sum(w).alias("w"), F.sum(w * u).alias("u"), F.sum(w * u * u).alias("uu"),
+                                     F.sum(w * r).alias("r"), F.sum(w * u * r).alias("ur"))
+    w, u, uu, r, ur = (F.col(c) for c in ("w", "u", "uu", "r", "ur"))
+    det = w * uu - u * u
+    b = F.when(det > 1e-9 * w * uu, (w * ur - u * r) / det).otherwise(r / u)
+    a = F.when(det > 1e-9 * w * uu, (uu * r - u * ur) / det).otherwise(F.lit(0.0))
+    # a negative part means that the other one alone fits best
+    both = F.when(b < 0, F.struct((r / w).alias("a"), F.lit(0.0).alias("b"))).when(
+        a < 0, F.struct(F.lit(0.0).alias("a"), (ur / uu).alias("b"))).otherwise(F.struct(a.alias("a"), b.alias("b")))
+    return s.select(*keys, both.alias("fit")).select(*keys, "fit.a", "fit.b")
+
+
+def spread(a: Column, b: Column) -> Column:
+    return F.greatest(F.lit(LEAST_SPREAD), F.sqrt(a + b / F.greatest(F.col("n_chars"), F.lit(1))))
+
+
+def _key(kind: str, lang: Column | None = None) -> Column:
+    return F.struct(F.lit(kind).alias("kind"), (F.lit(None).cast("string") if lang is None else lang).alias("lang"))
+
+
+def thresholds(scores: DataFrame) -> DataFrame | None:
+    """(kind, lang, centre, a, b, low, high) of the trusted rows (lang, n_chars, log_perplexity, kept_back): centre,
+    variance, and the bounds of the distance from the centre in spreads. The row of kind ``other`` is for languages
+    that have no row of kind ``lang``. None if no row is kept back."""
+    rows = scores.filter("kept_back is not null and n_chars > 0")
+    held = rows.filter("kept_back").select(F.explode(F.array(_key("lang", F.col("lang")), _key("other"))).alias("key"), F.col("log_perplexity").alias("x"))
+    centres = materialize(quantiles(held, {"centre": 0.5}).select("key.*", "centre", "n"), "kn-centres")        # a row a language
+    one = centres.filter("kind = 'other'").first()
+    if one is None:
+        return None
+    langs = centres.filter("kind = 'lang'").drop("kind")
+    rows = _by_lang(rows, langs, "left").select("lang", "n_chars", "kept_back", "n", (F.col("log_perplexity") - F.col("centre")).alias("d"),
+                                                (F.col("log_perplexity") - one["centre"]).alias("apart"))
+    rows = materialize(rows, "kn-distances")
+    kept = rows.filter("kept_back")
+    together = spreads(kept).first()                  # two numbers
+    strange = spreads(kept.drop("d").withColumnRenamed("apart", "d")).first()
+    enough = F.col("n") >= ENOUGH
+    lit = lambda fit: (F.lit(fit["a"]), F.lit(fit["b"]))
+    langs = _by_lang(langs, spreads(kept, "lang"), "inner")
+    langs = materialize(langs.select("lang", "centre", "n", *(F.when(enough, F.col(c)).otherwise(together[c]).alias(c) for c in ("a", "b"))), "kn-spreads")
+    # each distance counts for its language, if that has enough of them, for all languages together and for others
+    found = _by_lang(rows, langs.select("lang", "a", "b"), "left")
+    counts = F.array(F.struct(_key("lang", F.col("lang")).alias("key"), F.when(enough, F.col("d") / spread(F.col("a"), F.col("b"))).alias("x")),
+                     F.struct(_key("together").alias("key"), (F.col("d") / spread(*lit(together))).alias("x")),
+                     F.struct(_key("other").alias("key"), (F.col("apart") / spread(*lit(strange))).alias("x")))
+    found = found.select("kept_back", F.explode(counts).alias("one")).select("kept_back", "one.*")
+    shares = {"low": LOW_QUANTILE, "high": HIGH_QUANTILE}
+    low = quantiles(found, shares).select("key", F.when(F.col("n") < ENOUGH, F.least("low", -student(1 - LOW_QUANTILE, F.col("n")))).otherwise(F.col("low")).alias("low"))
+    high = quantiles(found.filter("kept_back"), shares).select(
+        "key", F.when(F.col("n") < ENOUGH, F.greatest("high", student(HIGH_QUANTILE, F.col("n")))).otherwise(F.col("high")).alias("high"))
+    bounds = materialize(low.join(high, "key").select("key.*", "low", "high"), "kn-quantiles")
+    all_of = bounds.filter("kind = 'together'").first()
+    per_lang = _by_lang(langs, bounds.filter("kind = 'lang'").drop("kind"), "left")
+    wider = F.sqrt(1 + 1 / F.col("n"))
+    per_lang = per_lang.select(F.lit("lang").alias("kind"), "lang", "centre", "a", "b",
+                               *((F.coalesce(c, F.lit(all_of[c])) * wider).alias(c) for c in ("low", "high")))
+    last = bounds.filter("kind = 'other'").select("kind", "lang", F.lit(one["centre"]).alias("centre"), F.lit(strange["a"]).alias("a"),
+                                                  F.lit(strange["b"]).alias("b"), "low", "high")
+    return per_lang.unionByName(last)
 
 
 def classify(docs: DataFrame, labels: DataFrame, text: str = "text", lang: str = "lang", order: int = ORDER) -> DataFrame:
@@ -277,21 +358,19 @@ def classify(docs: DataFrame, labels: DataFrame, text: str = "text", lang: str =
     for name in (table, asked):                       # the catalog's entries; the files stay in the shared folder
         spark.sql(f"DROP TABLE IF EXISTS {name}")
     scores = scores.join(trusted, "doc_id", "left")
-    # the lower bound is set by all trusted documents, as those that the model has seen have the lowest perplexity
-    low = quantiles(scores.filter("kept_back is not null")).withColumnRenamed("lang", "l0")
-    bounds = quantiles(scores.filter("kept_back")).drop("low").join(
-        low.select(F.col("all").alias("a0"), "l0", "low"), F.col("lang").eqNullSafe(F.col("l0")) & (F.col("all") == F.col("a0")))
-    bounds = materialize(bounds.select("all", "lang", "low", "high", "n"), "kn-bounds")      # a row a language
-    one = bounds.filter("all").first()
-    one = one if one and not tables[0][0].isEmpty() else {"low": float("-inf"), "high": float("inf"), "n": 1}
-    names = ("low", "high", "n")
-    per_lang = bounds.filter("not all").select(F.col("lang").alias("l"), *(F.col(c).alias(f"l_{c}") for c in names))
-    out = scores.join(per_lang, F.col("lang").eqNullSafe(F.col("l")), "left")
-    out = out.withColumns({c: F.coalesce(f"l_{c}", F.lit(one[c])) for c in names})
-    margin = MARGIN + CHANCE / F.sqrt(F.greatest(F.col("n_chars"), F.lit(1))) + SPREAD / F.sqrt("n")
-    inside = (F.col("log_perplexity") >= F.col("low") - margin) & (F.col("log_perplexity") <= F.col("high") + margin)
+    names = ("centre", "a", "b", "low", "high")
+    bounds = None if tables[0][0].isEmpty() else thresholds(scores)
+    if bounds is None:
+        out = scores.withColumns({"centre": F.lit(0.0), "a": F.lit(0.0), "b": F.lit(0.0), "low": F.lit(float("-inf")), "high": F.lit(float("inf"))})
+    else:
+        bounds = materialize(bounds, "kn-bounds")     # a row a language
+        one = bounds.filter("kind = 'other'").first()
+        per_lang = bounds.filter("kind = 'lang'").select("lang", *(F.col(c).alias(f"l_{c}") for c in names))
+        out = _by_lang(scores, per_lang, "left").withColumns({c: F.coalesce(f"l_{c}", F.lit(one[c])) for c in names})
+    out = out.withColumns({c: F.col("centre") + F.col(c) * spread(F.col("a"), F.col("b")) for c in ("low", "high")})
+    inside = (F.col("log_perplexity") >= F.col("low")) & (F.col("log_perplexity") <= F.col("high"))
     return out.select("doc_id", "tie", "lang", "n_chars", F.exp("log_perplexity").alias("perplexity"),
-                      F.exp(F.col("low") - margin).alias("least"), F.exp(F.col("high") + margin).alias("most"),
+                      F.exp("low").alias("least"), F.exp("high").alias("most"),
                       F.col("kept_back").isNotNull().alias("trusted"), F.coalesce(inside, F.lit(False)).alias("kept"))
 
 
