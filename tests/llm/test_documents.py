@@ -324,6 +324,32 @@ def test_kn_quality_word_loops(spark):
     assert len([i for i in kept if i < 230]) >= 220 and len([i for i in kept if 230 <= i < 260]) >= 26
 
 
+def test_orc_lookup_and_metadata(spark, tmp_dir):
+    import glob
+
+    df, _ = docs(spark, n=200)
+    folder = f"{tmp_dir}/ids"
+    orc_tokens.write(df, folder)
+    asked = [3, 5, 100, 102, 9999]
+    plain = lambda rows: by_id((r.doc_id, r.n_tokens, list(r.ids)) for r in rows)
+    want = plain(r for r in orc_tokens.read(spark, folder).collect() if r.doc_id in asked)
+    # 5 is there three times, 100 and 102 twice
+    assert len(want) == 8 and plain(orc_tokens.lookup(spark, folder, asked).collect()) == want
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    for name in glob.glob(f"{folder}/*.orc"):
+        reader = jvm.org.apache.orc.OrcFile.createReader(jvm.org.apache.hadoop.fs.Path(name), jvm.org.apache.orc.OrcFile.readerOptions(conf))
+        if not reader.getNumberOfRows():
+            continue
+        at = list(reader.getSchema().getFieldNames()).index("doc_id") + 1
+        statistics, own = reader.getStatistics()[at], [r.doc_id for r in spark.read.orc(name).collect() if r.doc_id is not None]
+        assert reader.getRowIndexStride() > 0
+        assert (statistics.getMinimum(), statistics.getMaximum()) == (min(own), max(own))
+        rows = reader.rows()
+        streams = {str(x.getKind()) for stripe in reader.getStripes() for x in rows.readStripeFooter(stripe).getStreamsList() if x.getColumn() == at}
+        rows.close()
+        assert "ROW_INDEX" in streams and any(x.startswith("BLOOM_FILTER") for x in streams)
+
+
 def test_empty_tables(spark):
     df = spark.createDataFrame([], "doc_id long, text string, lang string, source string, n_chars long")
     labels = spark.createDataFrame([], "doc_id long, quality int")
