@@ -8,9 +8,6 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 from ledgerflow.session import local_session  # noqa: E402
 
-SF_SMALL = "/root/testdata/sf0.001"
-SF_CHECK = "/root/testdata/sf0.01"
-
 
 @pytest.fixture(scope="session")
 def spark():
@@ -26,9 +23,3 @@ def spark():
 @pytest.fixture()
 def tmp_dir():
     return tempfile.mkdtemp(prefix="ledgerflow-test-")
-
-
-def rows(df, *cols):
-    """Sorted list of tuples (order-insensitive comparisons)."""
-    cols = cols or df.columns
-    return sorted((tuple(r) for r in df.select(*cols).collect()), key=repr)

@@ -2,7 +2,7 @@ import datetime as dt
 
 from ledgerflow.operators import facts, worklist
 
-from conftest import rows
+from support import rows
 
 
 def test_rating_filters_and_rounds(spark):

@@ -4,7 +4,7 @@ from ledgerflow import schemas
 from ledgerflow.operators import bridge, dim
 from ledgerflow.operators.flatten import flatten_details
 
-from conftest import rows
+from support import rows
 
 
 def _details(spark, recs):

@@ -4,7 +4,7 @@ import os
 
 from pyspark.sql import functions as F
 
-from conftest import SF_SMALL, rows
+from support import SF_SMALL, rows
 from ledgerflow import schemas
 from ledgerflow.operators import facts
 from ledgerflow.sources.landing import read_landing, with_rescued, write_batches

@@ -1,6 +1,6 @@
 from pyspark.sql import functions as F
 
-from conftest import SF_CHECK, rows
+from support import SF_CHECK, rows
 from ledgerflow.operators import scd2
 from ledgerflow.plans.publish import VersionedDimension
 from ledgerflow.plans.queries import q_scd2_batches

@@ -9,7 +9,7 @@ sys.path.insert(0, os.path.join(os.path.dirname(os.path.dirname(os.path.abspath(
 
 from __spark_entry__ import entry, oracle_sql, queries  # noqa: E402
 from check_oracles import frame_hash  # noqa: E402
-from conftest import SF_SMALL  # noqa: E402
+from support import SF_SMALL  # noqa: E402
 from ledgerflow.plans.oracles import ORACLES  # noqa: E402
 from ledgerflow.plans.queries import QUERIES  # noqa: E402
 from ledgerflow.sources.tables import DRIVER_TABLES  # noqa: E402

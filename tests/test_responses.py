@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 from ledgerflow import schemas
 from ledgerflow.operators import responses
 
-from conftest import rows
+from support import rows
 
 NOW = dt.datetime(2024, 1, 2, 12)
 

@@ -7,7 +7,7 @@ import pytest
 from ledgerflow.plans import runs
 from ledgerflow.plans.runs import Site, details_dimension, run_activity, run_daily
 
-from conftest import rows
+from support import rows
 
 
 def _put(path, name, obj, indent=None):

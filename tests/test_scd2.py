@@ -2,7 +2,7 @@ import datetime as dt
 
 from pyspark.sql import functions as F
 
-from conftest import SF_CHECK, rows
+from support import SF_CHECK, rows
 from ledgerflow.operators import scd2
 
 SCHEMA = "k int, v timestamp_ntz, id int, price bigint"

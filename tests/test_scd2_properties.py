@@ -6,7 +6,7 @@ from hypothesis import strategies as st
 
 from ledgerflow.operators import scd2
 
-from conftest import rows
+from support import rows
 
 SCHEMA = "k int, v timestamp_ntz, id int, price int"
 BASE = dt.datetime(2024, 1, 1)
