@@ -17,6 +17,9 @@ import ledgerflow
 #: A word, everywhere in this folder unless an operator says otherwise: a run without ASCII white space.
 WORD = r"[^\x20\x09-\x0D]+"
 
+#: What the operators lower-case: ASCII letters only.
+UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+
 _shipped: set[str] = set()
 
 
@@ -36,6 +39,10 @@ def whole_text(text: str = "text") -> Column:
     return F.coalesce(F.col(text), F.lit(""))
 
 
+def lower_ascii(text: str = "text") -> Column:
+    return F.translate(whole_text(text), UPPER, LOWER)
+
+
 def texts_of(column: pa.Array) -> list[str]:
     return [x or "" for x in column.to_pylist()]
 

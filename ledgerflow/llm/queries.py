@@ -5,9 +5,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from ledgerflow.llm import (kn_quality, lang_id, line_rules, orc_tokens, sentencepiece_codec, simhash_gray, source_mix,
-                            spot_signatures, suffix_dedup, token_counts)
+from ledgerflow.llm import (collocations, hard_negatives, kn_quality, lang_id, line_rules, orc_tokens, sentencepiece_codec,
+                            simhash_gray, source_mix, spot_signatures, suffix_dedup, token_counts, winnowing)
 from ledgerflow.llm.common import read_documents
 
 
@@ -53,8 +54,22 @@ def op10_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return source_mix.mix(read_documents(spark, sf_dir))
 
 
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = hard_negatives.shifted_labels(hard_negatives.prepare(spark.read.parquet(f"{sf_dir}/embeddings.parquet")))
+    return hard_negatives.mine(rows, F.col("id") % hard_negatives.ANCHOR_EVERY == 0)
+
+
+def op12_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return winnowing.decontaminate(read_documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
+def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(read_documents(spark, sf_dir))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_kn_quality, op2_token_counts, op3_line_rules, op4_spot_signatures, op5_suffix_dedup, op6_language_id, op7_sentencepiece, op8_orc_token_ids,
-                            op9_simhash_gray, op10_source_mix)}
+                            op9_simhash_gray, op10_source_mix, op11_hard_negatives, op12_winnowing, op13_collocations)}
 
-ORACLES = {"op3_line_rules": line_rules.LINE_RULES_SQL}
+ORACLES = {"op3_line_rules": line_rules.LINE_RULES_SQL, "op11_hard_negatives": hard_negatives.HARD_NEGATIVES_SQL,
+           "op12_winnowing": winnowing.WINNOWING_SQL, "op13_collocations": collocations.COLLOCATIONS_SQL}
