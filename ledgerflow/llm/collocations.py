@@ -23,93 +23,112 @@ table gives no rows; other columns are not read.
 from __future__ import annotations
 
 import re
-from collections import Counter, defaultdict
 from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgerflow.llm.common import LOWER, UPPER, lower_ascii, map_arrow
+from ledgerflow.llm.common import LOWER, UPPER, map_arrow, whole_text
 from ledgerflow.session import materialize
 
 MOST = 4
 LEAST = 30
 BEST = 2000
 TRIGGER = 16
-BITS = 1 << 27
+BITS = 1 << 27                  # a power of two
 SHARE = 80                      # per cent of a phrase's occurrences that a longer one must cover to replace it
 SCORE = 2_000_000
-BATCH_WORDS = 500_000
+PART_CHARS = 4_000_000
 _BUCKET_BITS = 32768            # of one bitmap of Spark's bitmap functions
 _SEED = 42                      # of Spark's xxhash64
+_TURN = 7
 PIECES, WORDS = r"[.,;:!?\x0A-\x0D]", r"[^\x20\x09]+"
+#: Bytes of a text: A-Z lower-cased, what ends a piece to a line feed, a tab to a blank.
+_BYTES = bytes(10 if re.match(PIECES, chr(b)) else 32 if b == 9 else ord(chr(b).lower()) if b < 128 else b for b in range(256))
 
 
-class _Cached(dict):
-    """Values of a function by key; forgotten when there are too many."""
+class _Flat:
+    """The words of an array of strings in one run: ``words``, ``row`` of each, ``code`` of each among ``distinct``."""
 
-    def __init__(self, make: Callable, most: int = 500_000):
-        super().__init__()
-        self.make, self.most = make, most
+    def __init__(self, strings: pa.Array):
+        split = pc.split_pattern(strings, " ")
+        words = split.flatten()
+        there = pc.binary_length(words).to_numpy() > 0
+        self.row = np.repeat(np.arange(len(strings)), np.diff(split.offsets.to_numpy()))[there]
+        self.words = words.filter(pa.array(there))
+        encoded = self.words.dictionary_encode()
+        self.code, self.distinct = encoded.indices.to_numpy(), encoded.dictionary
+        self.first = np.ones(len(self.row), bool)                    # of its row
+        self.first[1:] = self.row[1:] != self.row[:-1]
 
-    def __missing__(self, key):
-        if len(self) >= self.most:
-            self.clear()
-        out = self[key] = self.make(key)
-        return out
+    def hashes(self, seed: int) -> np.ndarray:
+        return np.array([xxhash.xxh64_intdigest(w, seed) for w in self.distinct.cast(pa.binary()).to_pylist()], dtype=np.uint64)
+
+    def phrases(self, at: np.ndarray, k: int) -> pa.Array:
+        return pc.binary_join_element_wise(*(self.words.take(pa.array(at + j)) for j in range(k)), " ")
+
+
+def _by_lang(batch: pa.RecordBatch) -> Iterator[tuple[str, pa.RecordBatch]]:
+    for lang in pc.unique(batch["lang"]).to_pylist():
+        yield lang, batch.filter(pc.equal(batch["lang"], lang)).drop_columns("lang")
+
+
+def _parts(batch: pa.RecordBatch, text: str) -> Iterator[pa.RecordBatch]:
+    """Runs of rows of about PART_CHARS characters."""
+    upto = np.cumsum(pc.utf8_length(batch[text]).to_numpy())
+    edges = np.unique(np.searchsorted(upto, np.arange(PART_CHARS, (upto[-1] if len(upto) else 0) + PART_CHARS, PART_CHARS), side="left") + 1)
+    a = 0
+    for z in [*edges[edges < len(upto)].tolist(), len(upto)]:
+        if z > a:
+            yield batch.slice(a, z - a)
+        a = z
 
 
 def parse(trigger: int = TRIGGER, most: int = MOST):
     """Batch function (lang, text) -> (lang, chunk, own, n): chunks of the texts, ``own`` words of each its own."""
-    pieces, words = re.compile(PIECES), re.compile(WORDS)
-    starts = lambda w: xxhash.xxh64_intdigest(w.encode(), _SEED) % trigger == 0
-
     def stream(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        is_start = _Cached(starts)
-        found: Counter = Counter()
-        size = 0
         for batch in batches:
-            for lang, text in zip(batch["lang"].to_pylist(), batch["text"].to_pylist(), strict=True):
-                for piece in pieces.split(text):
-                    ws = words.findall(piece)
-                    if not ws:
+            for part in _parts(batch, "text"):
+                for lang, texts in _by_lang(part):
+                    pieces = b"\n".join(texts["text"].cast(pa.binary()).to_pylist()).translate(_BYTES).split(b"\n")
+                    flat = _Flat(pa.array(pieces, pa.binary()).cast(pa.string()))
+                    if not len(flat.row):
                         continue
-                    at = [0, *(i for i in range(1, len(ws)) if is_start[ws[i]]), len(ws)]
-                    for a, b in zip(at, at[1:], strict=False):
-                        found[lang, " ".join(ws[a:b + most - 1]), b - a] += 1
-                    size += len(ws)
-                    if size >= BATCH_WORDS:
-                        yield _chunks(found)
-                        found, size = Counter(), 0
-        if found:
-            yield _chunks(found)
+                    starts = np.flatnonzero(flat.first | (flat.hashes(_SEED) % np.uint64(trigger) == 0)[flat.code])
+                    ends = np.append(starts[1:], len(flat.row))
+                    sizes = np.minimum(ends + most - 1, np.searchsorted(flat.row, flat.row[starts], side="right")) - starts
+                    offsets = np.concatenate([[0], np.cumsum(sizes)])
+                    taken = flat.words.take(pa.array(np.repeat(starts - offsets[:-1], sizes) + np.arange(offsets[-1])))
+                    chunks = pc.binary_join(pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), taken), " ")
+                    found = pa.table({"chunk": chunks, "own": pa.array(ends - starts, pa.int32())})
+                    found = found.group_by(["chunk", "own"], use_threads=False).aggregate([([], "count_all")])
+                    yield from _rows(lang, chunk=found["chunk"], own=found["own"], n=found["count_all"])
     return stream
 
 
-def _chunks(found: Counter) -> pa.RecordBatch:
-    lang, chunk, own = zip(*found, strict=True)
-    return pa.record_batch({"lang": pa.array(lang, pa.string()), "chunk": pa.array(chunk, pa.string()),
-                            "own": pa.array(own, pa.int32()), "n": pa.array(found.values(), pa.int64())})
+def _rows(lang: str, **columns) -> Iterator[pa.RecordBatch]:
+    table = pa.table(columns)
+    yield from table.add_column(0, "lang", pa.array([lang] * len(table), pa.string())).to_batches()
 
 
 def dictionary(docs: DataFrame, text: str = "text", lang: str = "lang", trigger: int = TRIGGER, most: int = MOST) -> DataFrame:
     """(lang, chunk, own, n): distinct chunks with their frequencies, written."""
-    rows = docs.select(F.coalesce(F.col(lang).cast("string"), F.lit("und")).alias("lang"),
-                       lower_ascii(text).alias("text"))
+    rows = docs.select(F.coalesce(F.col(lang).cast("string"), F.lit("und")).alias("lang"), whole_text(text).alias("text"))
     chunks = map_arrow(rows, parse(trigger, most), "lang string, chunk string, own int, n long")
     return materialize(chunks.groupBy("lang", "chunk", "own").agg(F.sum("n").alias("n")), "phrase-chunks")
 
 
-def _place(bits: int) -> Column:
-    return F.pmod(F.xxhash64(F.concat_ws("\n", "lang", "phrase")), F.lit(bits)) + 1
-
-
 def bitmap(frequent: DataFrame, bits: int = BITS) -> np.ndarray:
-    """Bits at the hashes of (lang, phrase): at most ``bits`` / 8 bytes, put together from Spark's bitmaps."""
-    place = _place(bits)
+    """Bits at the hashes of (lang, phrase), phrases of one or two words: at most ``bits`` / 8 bytes, put together from
+    Spark's bitmaps."""
+    words = F.split("phrase", " ")
+    h = [F.xxhash64("lang", F.get(words, i)) for i in (0, 1)]
+    turned = F.shiftleft(h[0], _TURN).bitwiseOR(F.shiftrightunsigned(h[0], 64 - _TURN)).bitwiseXOR(h[1])
+    place = F.when(F.size(words) == 1, h[0]).otherwise(turned).bitwiseAND(F.lit(bits - 1).cast("long")) + 1
     parts = frequent.groupBy(F.bitmap_bucket_number(place).alias("bucket")).agg(F.bitmap_construct_agg(F.bitmap_bit_position(place)).alias("bits"))
     out = np.zeros(-(-bits // _BUCKET_BITS) * (_BUCKET_BITS // 8), dtype=np.uint8)
     for bucket, data in parts.toLocalIterator():
@@ -118,72 +137,64 @@ def bitmap(frequent: DataFrame, bits: int = BITS) -> np.ndarray:
     return out
 
 
-def _held(bits: int, bitmap: np.ndarray) -> Callable:
-    def known(key: tuple[str, str]) -> bool:
-        h = xxhash.xxh64_intdigest(f"{key[0]}\n{key[1]}".encode(), _SEED)
-        h = (h - (1 << 64) if h >> 63 else h) % bits
-        return bool(bitmap[h >> 3] >> (h & 7) & 1)
-    return known
+def _known(bits: int, held: np.ndarray, hashes: np.ndarray) -> np.ndarray:
+    at = hashes & np.uint64(bits - 1)
+    return (held[(at >> np.uint64(3)).astype(np.int64)] >> (at & np.uint64(7)).astype(np.uint8) & 1).astype(bool)
 
 
 def _counted(grams: Callable):
-    """Batch function over the dictionary -> (lang, phrase, n): ``grams(add, lang, words, own, n)`` adds phrases."""
+    """Batch function over the dictionary -> (lang, phrase, n): ``grams(flat, seed, own, n)`` gives phrases and counts;
+    ``own`` tells of each word whether it is the chunk's own, ``n`` how often the chunk occurs."""
     def stream(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        use = grams()
-        found: dict = defaultdict(Counter)
-        size = 0
         for batch in batches:
-            for lang, chunk, own, n in zip(*(batch[c].to_pylist() for c in ("lang", "chunk", "own", "n")), strict=True):
-                ws = chunk.split(" ")
-                use(found[lang], lang, ws, own, n)
-                size += len(ws)
-                if size >= BATCH_WORDS:
-                    yield from _phrases(found)
-                    found, size = defaultdict(Counter), 0
-        yield from _phrases(found)
+            for part in _parts(batch, "chunk"):
+                for lang, chunks in _by_lang(part):
+                    flat = _Flat(chunks["chunk"])
+                    at = np.arange(len(flat.row)) - np.flatnonzero(flat.first)[np.cumsum(flat.first) - 1]
+                    own = at < chunks["own"].to_numpy()[flat.row]
+                    seed = xxhash.xxh64_intdigest(lang.encode(), _SEED)
+                    for phrases, n in grams(flat, seed, own, chunks["n"].to_numpy()[flat.row]):
+                        yield from _rows(lang, phrase=phrases, n=pa.array(n, pa.int64()))
     return stream
 
 
-def _phrases(found: dict) -> Iterator[pa.RecordBatch]:
-    for lang, counts in found.items():
-        yield pa.record_batch({"lang": pa.array([lang] * len(counts), pa.string()), "phrase": pa.array(counts, pa.string()),
-                               "n": pa.array(counts.values(), pa.int64())})
+def _words(flat: _Flat, seed: int, own: np.ndarray, n: np.ndarray):
+    counts = np.zeros(len(flat.distinct), np.int64)
+    np.add.at(counts, flat.code[own], n[own])
+    there = np.flatnonzero(counts)
+    yield flat.distinct.take(pa.array(there)), counts[there]
 
 
-def _words():
-    def add(counts, lang, ws, own, n):
-        for w in ws[:own]:
-            counts[w] += n
-    return add
+def _added(keys: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(place of one of each key, sum of its n)."""
+    order = np.argsort(keys, kind="stable")
+    heads = np.flatnonzero(np.concatenate([[True], np.diff(keys[order]) != 0]))
+    return order[heads], np.add.reduceat(n[order], heads)
 
 
 def _pairs(bits: int, frequent):
-    def make():
-        known = _Cached(_held(bits, frequent.value))
-
-        def add(counts, lang, ws, own, n):
-            fine = [known[lang, w] for w in ws[:own + 1]]
-            for i in range(len(fine) - 1):
-                if fine[i] and fine[i + 1]:
-                    counts[f"{ws[i]} {ws[i + 1]}"] += n
-        return add
-    return make
+    def grams(flat: _Flat, seed: int, own: np.ndarray, n: np.ndarray):
+        fine = _known(bits, frequent.value, flat.hashes(seed))[flat.code]
+        at = np.flatnonzero(own[:-1] & ~flat.first[1:] & fine[:-1] & fine[1:])
+        if len(at):
+            one, counts = _added(flat.code[at].astype(np.int64) * len(flat.distinct) + flat.code[at + 1], n[at])
+            yield flat.phrases(at[one], 2), counts
+    return grams
 
 
 def _longer(bits: int, frequent, most: int):
-    def make():
-        known = _Cached(_held(bits, frequent.value))
-
-        def add(counts, lang, ws, own, n):
-            fine = [known[lang, f"{a} {b}"] for a, b in zip(ws, ws[1:], strict=False)]
-            for i in range(min(own, len(fine))):
-                j = i
-                while j < len(fine) and j - i < most - 1 and fine[j]:
-                    j += 1
-                    if j - i > 1:
-                        counts[" ".join(ws[i:j + 1])] += n
-        return add
-    return make
+    def grams(flat: _Flat, seed: int, own: np.ndarray, n: np.ndarray):
+        h = flat.hashes(seed)[flat.code]
+        turned = (h << np.uint64(_TURN)) | (h >> np.uint64(64 - _TURN))
+        fine = np.zeros(len(h) + most, bool)                        # of the pair that starts at a word
+        fine[:max(0, len(h) - 1)] = ~flat.first[1:] & _known(bits, frequent.value, turned[:-1] ^ h[1:])
+        at = np.flatnonzero(own & fine[:len(h)])
+        for k in range(3, most + 1):
+            at = at[fine[at + k - 2]]
+            if len(at):
+                found = pa.table({"phrase": flat.phrases(at, k), "n": n[at]}).group_by("phrase", use_threads=False).aggregate([("n", "sum")])
+                yield found["phrase"], found["n_sum"].to_numpy()
+    return grams
 
 
 def phrase_counts(chunks: DataFrame, least: int = LEAST, most: int = MOST, bits: int = BITS) -> DataFrame:
