@@ -79,3 +79,11 @@ def map_arrow(df: DataFrame, function: Callable, schema: str) -> DataFrame:
     """mapInArrow by a function of this package."""
     ship(df.sparkSession)
     return df.mapInArrow(function, schema)
+
+
+def discard(written: DataFrame) -> None:
+    """Remove the folders of a table that this run has written and no later step reads."""
+    spark = written.sparkSession
+    for folder in {file.rsplit("/", 1)[0] for file in written.inputFiles()}:
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)

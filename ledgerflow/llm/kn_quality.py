@@ -6,12 +6,13 @@ all others is counted. The model is of order ``ORDER`` over characters (white
 space is one blank, digits are one digit; every text is led by ``ORDER - 1`` pads). Characters rather than words,
 because a word table of web size is larger than the text it came from while character n-grams stay far below it.
 
-Counts are never gathered. Each order has a table (gram, probability before interpolation) and a table (context, weight
-of the lower order), dealt over the cluster by gram. Documents lie in blocks; a block asks for the distinct n-grams that
-its texts hold, the n-grams that any block asks for are joined with the count tables order by order (an unseen gram
-takes its context's weight times the lower order's probability, at last 1 / vocabulary), and every block gets the
-answers to its own questions. These joins are merge joins at every size: a small input would send all tables through
-the driver at once, a dozen of them, each below the broadcast limit. What a block holds is bounded by its own text.
+Counts are never gathered. Documents lie in blocks; a block asks for the distinct n-grams that its texts hold. One table,
+dealt over the cluster by gram, has the counts of all orders of the n-grams that any block asks for and of their ends;
+joined with their contexts' totals it gives each gram's probability before interpolation and the weight of the lower
+order. The orders are then joined from the lowest up (an unseen gram takes its context's weight times the lower order's
+probability, at last 1 / vocabulary), and every block gets the answers to its own questions. These joins are merge joins
+at every size: a small input would send the tables through the driver. What a block holds is bounded by its own text;
+tables that are used up are removed from the shared folder.
 
 A document's perplexity is exp of its mean negative log probability a character. Such a mean varies less the longer the
 document is; how much less is learned from the kept-back documents: of each language their median is the centre, and a
@@ -25,7 +26,8 @@ use centre, spread and quantiles of all of them.
 
 ``ORDER`` reaches over the blank, so that a word is judged by the end of the one before it. Loops of words stand out as
 their mean hardly comes nearer the centre with length, while the spread that prose is allowed shrinks; a loop whose own
-mean lies near the centre is kept, as no word order beyond five characters is seen.
+mean lies near the centre is kept, as no word order beyond four characters is seen. One order more takes twice the disk
+and time for no better verdicts (README).
 
 Defined results: a null text counts as empty; an empty text has no perplexity and is rejected; a null language is a
 language of its own. A null id is never trusted. Ties and repeated rows give one row each (a label repeated counts once;
@@ -40,17 +42,19 @@ from collections.abc import Iterator
 from statistics import NormalDist
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ledgerflow.llm.common import ship, texts_of
+from ledgerflow.llm.common import discard, map_arrow, ship, texts_of
 from ledgerflow.session import fresh_dir, materialize
 
-ORDER = 6
+ORDER = 5
 BLOCK_BYTES = 32 << 20
-GROUP_CHARS = 600_000
+GROUP_CHARS = 2_000_000
 DENSE = 1 << 23
 STEP = 0.005
 LOW_QUANTILE = 0.01
@@ -71,9 +75,10 @@ def _char_classes(codes: np.ndarray) -> np.ndarray:
 
 
 def _ranks(keys: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
-    """(sorted distinct keys, rank of each key), by a table while the keys' range allows one."""
+    """(distinct keys, place of each key among them), by a table while the keys' range allows one."""
     if size > DENSE:
-        return np.unique(keys, return_inverse=True)
+        places, distinct = pd.factorize(keys)
+        return distinct, places
     there = np.zeros(size, bool)
     there[keys] = True
     distinct = np.flatnonzero(there)
@@ -135,55 +140,53 @@ def text_slices(column: pa.ChunkedArray) -> Iterator[tuple[int, list[str]]]:
 
 # --- model ----------------------------------------------------------------------------------------------------------
 
-def discounts(table: DataFrame) -> DataFrame:
-    """One row (d1, d2, d3) of an order's discounts from its counts of counts."""
+def count_table(every: DataFrame, order: int) -> DataFrame:
+    """(gram, n, c) of all orders 1 to ``order``: every gram that any text holds, with its count in the training texts
+    (``every``: grams of the highest order), at the lower orders the number of different characters before it."""
+    longer = every.select("gram", (F.col("c") > 0).alias("seen"))
+    if order > 2:
+        ends = F.explode(F.array(*(F.substring("gram", order - n + 1, n) for n in range(2, order))))
+        ends = longer.select(ends.alias("gram"), "seen").groupBy("gram").agg(F.max("seen").alias("seen"))
+        longer = longer.unionByName(ends)
+    lower = longer.select(F.substring("gram", 2, order).alias("gram"), F.col("seen").cast("long").alias("c"))
+    counts = lower.groupBy("gram").agg(F.sum("c").alias("c")).unionByName(every) if order > 1 else every
+    return counts.select("gram", F.length("gram").alias("n"), "c")
+
+
+def discounts(counts: DataFrame) -> DataFrame:
+    """(n, d1, d2, d3): each order's discounts from its counts of counts."""
     n = [F.sum((F.col("c") == k).cast("double")).alias(f"n{k}") for k in (1, 2, 3, 4)]
-    got = table.agg(*n).select(*(F.coalesce(f"n{k}", F.lit(0.0)).alias(f"n{k}") for k in (1, 2, 3, 4)))
+    got = counts.filter("c > 0").groupBy("n").agg(*n)
     y = F.when(F.col("n1") + 2 * F.col("n2") > 0, F.col("n1") / (F.col("n1") + 2 * F.col("n2"))).otherwise(0.5)
 
     def d(k: int) -> Column:
         ratio = F.when(F.col(f"n{k}") > 0, F.col(f"n{k + 1}") / F.col(f"n{k}")).otherwise(F.lit(0.0))
         return F.least(F.lit(float(k) - 0.01), F.greatest(F.lit(0.1), k - (k + 1) * y * ratio)).alias(f"d{k}")
 
-    return got.select(d(1), d(2), d(3))
-
-
-def order_tables(grams: DataFrame, order: int) -> list[tuple[DataFrame, DataFrame]]:
-    """For each order from 1 up: (gram, own) and (context, total, weight). ``grams``: (gram, c) of the highest order."""
-    tables, t = [], grams
-    for n in range(order, 0, -1):
-        t = materialize(t, f"kn-grams-{n}")
-        tables.append(t)
-        # a lower order counts the different characters that come before its grams
-        t = t.groupBy(F.substring("gram", 2, n).alias("gram")).agg(F.count("*").alias("c"))
-    out = []
-    for n, t in zip(range(1, order + 1), reversed(tables), strict=True):
-        d = discounts(t).first()                      # three numbers
-        taken = F.when(F.col("c") == 1, d["d1"]).when(F.col("c") == 2, d["d2"]).otherwise(d["d3"])
-        t = t.select("gram", F.substring("gram", 1, n - 1).alias("context"), F.col("c").cast("double").alias("c"), taken.alias("d"))
-        context = t.groupBy("context").agg(F.sum("c").alias("total"), (F.sum("d") / F.sum("c")).alias("weight"))
-        own = t.join(context.hint("merge"), "context").select("gram", ((F.col("c") - F.col("d")) / F.col("total")).alias("own"))
-        out.append((own, context.select("context", "weight")))
-    return out
-
-
-def probabilities(asked: DataFrame, tables: list[tuple[DataFrame, DataFrame]], order: int) -> DataFrame:
-    """(gram, logp) for distinct n-grams (gram) of the highest order."""
-    vocabulary = tables[0][0].count() + 1
-    lower = None
-    for n, (own, context) in zip(range(1, order + 1), tables, strict=True):
-        want = asked.select(F.substring("gram", order - n + 1, n).alias("gram")).distinct() if n < order else asked
-        want = want.withColumn("context", F.substring("gram", 1, n - 1)).join(own.hint("merge"), "gram", "left").join(
-            context.hint("merge"), "context", "left")
-        if lower is None:
-            below = F.lit(1.0 / vocabulary)
-        else:
-            want = want.withColumn("short", F.substring("gram", 2, n - 1)).join(
-                lower.select(F.col("gram").alias("short"), F.col("p").alias("q")).hint("merge"), "short")
-            below = F.col("q")
-        p = F.coalesce("own", F.lit(0.0)) + F.coalesce("weight", F.lit(1.0)) * below
-        lower = want.select("gram", p.alias("p"))
-    return lower.select("gram", F.log("p").alias("logp"))
+    return got.select("n", d(1), d(2), d(3))
+
+
+def own_and_weight(counts: DataFrame, order: int) -> DataFrame:
+    """(gram, n, own, weight): a gram's probability before interpolation and the weight that its context gives the lower
+    order (an unseen context: all of it)."""
+    found = {d["n"]: d for d in discounts(counts).collect()}           # three numbers an order
+    each = [F.when(F.col("c") == 1, d["d1"]).when(F.col("c") == 2, d["d2"]).otherwise(d["d3"]) for _, d in sorted(found.items())]
+    taken = F.coalesce(F.lit(None).cast("double"), *(F.when(F.col("n") == n, e) for n, e in zip(sorted(found), each, strict=True)))
+    rows = counts.select("gram", "n", "c", F.expr("substring(gram, 1, n - 1)").alias("context"), taken.alias("d"))
+    context = rows.filter("c > 0").groupBy("context").agg(F.sum("c").alias("total"), (F.sum("d") / F.sum("c")).alias("weight"))
+    rows = rows.join(context.hint("merge"), "context", "left")
+    own = F.when(F.col("c") > 0, (F.col("c") - F.col("d")) / F.col("total")).otherwise(F.lit(0.0))
+    return rows.select("gram", "n", own.alias("own"), F.coalesce("weight", F.lit(1.0)).alias("weight"))
+
+
+def probabilities(parts: DataFrame, order: int, vocabulary: int) -> DataFrame:
+    """(gram, logp) of all grams of the highest order."""
+    found = parts.filter("n = 1").select("gram", (F.col("own") + F.col("weight") / vocabulary).alias("p"))
+    for n in range(2, order + 1):
+        one = parts.filter(F.col("n") == n).withColumn("short", F.substring("gram", 2, order))
+        lower = found.select(F.col("gram").alias("short"), F.col("p").alias("q"))
+        found = one.join(lower.hint("merge"), "short").select("gram", (F.col("own") + F.col("weight") * F.col("q")).alias("p"))
+    return found.select("gram", F.log("p").cast("float").alias("logp"))
 
 
 # --- blocks of documents --------------------------------------------------------------------------------------------
@@ -198,16 +201,25 @@ def _bucketed(df: DataFrame, key: str) -> str:
     return name
 
 
+def _numbered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Batches with the block of each row: runs of neighbours of a partition, ended at BLOCK_BYTES."""
+    number, size = TaskContext.get().partitionId() << 33, 0
+    for batch in batches:
+        blocks = []
+        for n in pc.fill_null(pc.binary_length(batch["text"]), 0).to_pylist():
+            if size and size + n > BLOCK_BYTES:
+                number, size = number + 1, 0
+            size += n
+            blocks.append(number)
+        yield batch.add_column(0, "block", pa.array(blocks, pa.int64()))
+
+
 def in_blocks(docs: DataFrame, text: str, lang: str) -> str:
-    """Name of a bucketed table (block, doc_id, tie, lang, text) in the shared folder; a block is a run of neighbours of about
-    BLOCK_BYTES in one partition."""
+    """Name of a bucketed table (block, doc_id, tie, lang, text) in the shared folder; a block holds at most BLOCK_BYTES
+    of text or one text."""
     body = F.col(text).cast("string")
-    size, rows = docs.agg(F.sum(F.octet_length(body)), F.count("*")).first()
-    each = max(1, BLOCK_BYTES * rows // max(1, size or 0))
-    place = F.monotonically_increasing_id()                 # partition * 2 ** 33 + place in it
-    block = F.shiftright(place, 33) * (1 << 33) + F.floor(place.bitwiseAND(F.lit((1 << 33) - 1)) / each)
-    return _bucketed(docs.select(block.alias("block"), F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(body).alias("tie"),
-                 F.col(lang).cast("string").alias("lang"), body.alias("text")), "block")
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(body).alias("tie"), F.col(lang).cast("string").alias("lang"), body.alias("text"))
+    return _bucketed(map_arrow(rows, _numbered, "block long, doc_id long, tie long, lang string, text string"), "block")
 
 
 def block_grams(table: str, trusted: DataFrame, order: int) -> DataFrame:
@@ -216,13 +228,11 @@ def block_grams(table: str, trusted: DataFrame, order: int) -> DataFrame:
         ids = set(right.column("doc_id").to_pylist())
         doc_ids, found = left.column("doc_id").to_pylist(), {}
         for a, texts in text_slices(left.column("text")):
-            training = [i in ids for i in doc_ids[a:a + len(texts)]]
-            for trained in (True, False):
-                own = [t for t, x in zip(texts, training, strict=True) if x == trained]
-                g = Grams(own, order) if own else None
-                for gram, n in zip(g.grams, g.counts.tolist(), strict=True) if g else ():
-                    if n:
-                        found[gram] = found.get(gram, 0) + n * trained
+            g = Grams(texts, order)
+            trained = np.repeat([i in ids for i in doc_ids[a:a + len(texts)]], g.sizes)
+            for gram, n, c in zip(g.grams, g.counts.tolist(), np.bincount(g.which[trained], minlength=len(g.grams)).tolist(), strict=True):
+                if n:
+                    found[gram] = found.get(gram, 0) + c
         return pa.table({"block": pa.array([key[0].as_py()] * len(found), pa.int64()), "gram": pa.array(found.keys(), pa.string()),
                          "c": pa.array(found.values(), pa.int64())})
 
@@ -346,20 +356,25 @@ def classify(docs: DataFrame, labels: DataFrame, text: str = "text", lang: str =
     table = in_blocks(docs, text, lang)
     trusted = labels.filter((F.col("quality") == 1) & F.col("doc_id").isNotNull()).select(F.col("doc_id").cast("long").alias("doc_id")).distinct()
     trusted = trusted.withColumn("kept_back", F.pmod(F.xxhash64("doc_id", F.lit("fold")), F.lit(FOLDS)) == 0)
-    # one shuffle by gram; the table's buckets then serve the counts, the joins and the answers
+    # one shuffle by gram; the table's buckets then serve the counts and the answers
     found = block_grams(table, trusted.filter("not kept_back").select("doc_id"), order)
     size = int(spark.conf.get("spark.sql.shuffle.partitions"))
     asked = _bucketed(found.repartition(size, "gram").sortWithinPartitions("gram"), "gram")
-    every = materialize(spark.table(asked).groupBy("gram").agg(F.sum("c").alias("c")), "kn-grams")
-    tables = order_tables(every.filter("c > 0"), order)
-    answers = spark.table(asked).select("block", "gram").join(probabilities(every.select("gram"), tables, order).hint("merge"), "gram")
-    answers = answers.select("block", "gram", F.col("logp").cast("float").alias("logp"))
+    every = spark.table(asked).groupBy("gram").agg(F.sum("c").alias("c"))
+    counts = materialize(count_table(every, order), "kn-counts")
+    vocabulary = counts.filter("n = 1 and c > 0").count() + 1
+    parts = materialize(own_and_weight(counts, order), "kn-parts")
+    discard(counts)
+    answers = spark.table(asked).select("block", "gram").join(probabilities(parts, order, vocabulary).hint("merge"), "gram")
     scores = materialize(scored(spark.table(table), answers, order), "kn-scores")
-    for name in (table, asked):                       # the catalog's entries; the files stay in the shared folder
-        spark.sql(f"DROP TABLE IF EXISTS {name}")
+    discard(parts)
+    for name in (table, asked):
+        used = spark.table(name)
+        spark.sql(f"DROP TABLE IF EXISTS {name}")     # the catalog's entry; the files lie in the shared folder
+        discard(used)
     scores = scores.join(trusted, "doc_id", "left")
     names = ("centre", "a", "b", "low", "high")
-    bounds = None if tables[0][0].isEmpty() else thresholds(scores)
+    bounds = None if vocabulary == 1 else thresholds(scores)
     if bounds is None:
         out = scores.withColumns({"centre": F.lit(0.0), "a": F.lit(0.0), "b": F.lit(0.0), "low": F.lit(float("-inf")), "high": F.lit(float("inf"))})
     else:
