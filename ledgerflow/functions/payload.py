@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql.types import DataType, StructType
@@ -25,6 +27,11 @@ def keyed_entry(payload, key, value_type: DataType | str) -> Column:
     return F.from_json(entry_text(payload, _c(key).cast("string")), value_type, {"mode": "PERMISSIVE"})
 
 
+def bound(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with ``value`` evaluated once a row, however often ``use`` refers to it."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
 def entry_text(payload, name) -> Column:
     """JSON text of one entry of an object; null when the text is no object, or has no such entry, or holds null."""
     return F.try_element_at(F.from_json(_c(payload), "map<string,string>"), _c(name))

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerflow.functions.scalars import hour_of
-from ledgerflow.operators.sequence import with_neighbours
+from ledgerflow.operators.sequence import running_sum, with_neighbours
 
 
 def peak_activity(df: DataFrame, key: str, ts: str, value: str, grain: str = "hour",
@@ -58,3 +58,23 @@ def score_shift(daily: DataFrame, key: str, day: str, score: str, threshold: flo
     prev = F.col(f"__prev_{score}")
     d = F.round(F.col(score) - prev, 2)
     return nb.where(prev.isNotNull()).select(key, day, score, d.alias(shift), (F.abs(d) >= threshold).alias(flag))
+
+
+def price_islands(versions: DataFrame, key: str, ts: str, value: str, tie: str | None = None,
+                  rows_per_slice: int | None = None) -> DataFrame:
+    """Ledger of real changes: consecutive versions of a key with an equal value (nulls equal) are one row.
+
+    (key, island from 1, value, ``first_ts``, ``last_ts``, ``until`` = the next island's first time (null: none follows),
+    ``versions`` merged). An island's number is the running count of changes, so a hot key needs no task of its own; its
+    islands are then grouped by (key, number). Rows without a key or a time are no versions.
+    """
+    order = [ts] + ([tie] if tie else [])
+    rows = versions.where(F.col(key).isNotNull() & F.col(ts).isNotNull()).select(key, *order, value, F.lit(1).alias("__one"))
+    nb = with_neighbours(rows, key, order, [value, "__one"], prev="__prev_", nxt=None, rows_per_slice=rows_per_slice)
+    change = F.col("__prev___one").isNull() | ~F.col(value).eqNullSafe(F.col(f"__prev_{value}"))
+    marked = nb.select(key, *order, value, change.cast("long").alias("__change"))
+    numbered = running_sum(marked, key, order, "__change", "island", rows_per_slice=rows_per_slice)
+    islands = numbered.groupBy(key, "island").agg(F.first(value).alias(value), F.min(ts).alias("first_ts"),
+                                                  F.max(ts).alias("last_ts"), F.count(F.lit(1)).alias("versions"))
+    nb = with_neighbours(islands, key, ["island"], ["first_ts"], prev=None, nxt="__next_", rows_per_slice=rows_per_slice)
+    return nb.select(key, "island", value, "first_ts", "last_ts", F.col("__next_first_ts").alias("until"), "versions")

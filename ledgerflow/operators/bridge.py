@@ -7,6 +7,7 @@ of a hot item collapse on the map side before the shuffle.
 from __future__ import annotations
 
 import re
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -44,3 +45,26 @@ def items_with_label(items: DataFrame, bridge: DataFrame, key: str, label: str,
     """Star filter through a bridge: items having ``label = value`` (left semi join, no row multiplication)."""
     hits = bridge.where(F.col(label) == F.lit(value)).select(key)
     return items.join(hits, on=key, how="left_semi")
+
+
+def items_with_labels(items: DataFrame, bridge: DataFrame, key: str, label: str, all_of: Sequence = (), any_of: Sequence = (),
+                      none_of: Sequence = ()) -> DataFrame:
+    """Star filter by several labels: items that have every label of ``all_of``, at least one of ``any_of`` (if given) and
+    none of ``none_of``. An empty filter keeps all items; items with a null key have no labels.
+
+    Relational division by counts: only rows of the bridge with a label that is asked for are read, and each item's become
+    one row of three numbers (partial aggregation, so that an item with many labels leaves a task as one row).
+    """
+    asked = sorted({*all_of, *any_of, *none_of})
+    if not asked:
+        return items
+    which = lambda labels: F.col(label).isin(*labels) if labels else F.lit(False)
+    hits = (bridge.where(F.col(label).isin(*asked)).select(key, label).distinct().groupBy(key)
+            .agg(F.count_if(which(set(all_of))).alias("__all"), F.count_if(which(set(any_of))).alias("__any"),
+                 F.count_if(which(set(none_of))).alias("__none")))
+    found = items.join(hits, on=key, how="left")
+    count = lambda c: F.coalesce(F.col(c), F.lit(0))
+    fits = (count("__all") == len(set(all_of))) & (count("__none") == 0)
+    if any_of:
+        fits = fits & (count("__any") > 0)
+    return found.where(fits).select(*items.columns)

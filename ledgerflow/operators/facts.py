@@ -36,3 +36,13 @@ def price_view(df: DataFrame, key: str = "appid", version: str = "extracted_at_g
     """Presentation view of the price history: minor -> major units, the extraction day; a pure projection."""
     return df.select(key, F.to_date(version).alias(day), *[c for c in keep if c in df.columns],
                      *[to_major_units(c).alias(c) for c in minor_cols])
+
+
+def price_view_sql(table: str, key: str = "appid", version: str = "extracted_at_game",
+                   minor_cols: tuple[str, ...] = ("initial_price", "final_price"),
+                   keep: tuple[str, ...] = ("is_free", "short_description", "header_image", "release_date", "currency",
+                                            "discount_percent", "metacritic_score", "coming_soon", "is_current"),
+                   day: str = "extracted_date") -> str:
+    """:func:`price_view` as the text of a view over a stored dimension: nothing is copied."""
+    prices = [f"{c} / 100 AS {c}" for c in minor_cols]
+    return f"SELECT {', '.join([key, f'to_date({version}) AS {day}', *keep, *prices])} FROM {table}"

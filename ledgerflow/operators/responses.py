@@ -12,7 +12,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from ledgerflow import schemas
-from ledgerflow.functions.payload import entry_text, json_shape_ok, keyed_entry, parse
+from ledgerflow.functions.payload import bound, json_shape_ok, keyed_entry, parse
+from ledgerflow.operators.sequence import with_neighbours
 
 # Retry policy of each feed.
 RETRY_STATUSES = {"activity": (420, 429), "details": (403, 420, 429), "reviews": (403, 420, 429)}
@@ -28,12 +29,19 @@ def body_outcome(feed: Column, payload: Column, key: Column) -> Column:
     ``success`` false -> absent (the catalogue does not show the item; nothing to retry), else error.
     Any other feed: a JSON object, else error.
     """
-    entry = keyed_entry(payload, key, "struct<success:boolean,data:string>")
-    return (F.when(feed == "activity", F.when(json_shape_ok(entry_text(payload, F.lit("response"))), "ok").otherwise("drop"))
-            .when(feed == "reviews", F.when(json_shape_ok(entry_text(payload, F.lit("query_summary"))), "ok").otherwise("error"))
-            .when(feed == "details", F.when(~entry["success"], "absent")
-                  .when(entry["success"] & json_shape_ok(entry["data"]), "ok").otherwise("error"))
-            .otherwise(F.when(json_shape_ok(payload), "ok").otherwise("error")))
+    asked = (F.when(feed == "activity", "response").when(feed == "reviews", "query_summary")
+             .when(feed == "details", key.cast("string")))
+
+    def judged(body: Column) -> Column:      # the payload as a map, parsed once
+        entry = F.try_element_at(body, asked)
+        details = bound(F.from_json(entry, "struct<success:boolean,data:string>", {"mode": "PERMISSIVE"}), lambda e: (
+            F.when(~e["success"], "absent").when(e["success"] & json_shape_ok(e["data"]), "ok").otherwise("error")))
+        return (F.when(feed == "details", details)
+                .when(feed.isin("activity", "reviews") & json_shape_ok(entry), "ok")
+                .when(feed == "activity", "drop").when(feed == "reviews", "error")
+                .otherwise(F.when(body.isNotNull(), "ok").otherwise("error")))
+
+    return bound(F.from_json(payload, "map<string,string>"), judged)
 
 
 def outcome(feed: Column, status: Column, payload: Column, key: Column) -> Column:
@@ -130,3 +138,38 @@ def flatten_pages(pages: DataFrame, payload: str = "payload", extracted_at=None)
     stamp = F.current_timestamp() if extracted_at is None else F.lit(extracted_at).cast("timestamp")
     apps = F.explode(parse(payload, schemas.CATALOG_PAGE)["response"]["apps"]).alias("__a")
     return pages.select(apps).select("__a.*", stamp.alias("extracted_at"))
+
+
+def page_chain(pages: DataFrame, payload: str = "payload", start: str | None = None, chain: str | None = None) -> DataFrame:
+    """Catalogue pages linked by their cursor: one row per page with ``status``.
+
+    A page asks for the items after a start, and says in ``last_appid`` where the next one is to start and in
+    ``have_more_results`` whether one follows. (chain, first_appid, last_appid, n_apps, start, status), status by the
+    first that holds: ``malformed`` (no page), ``overlap`` (it begins at or before the end of the page before it), ``gap``
+    (its start is not that end; only where ``start`` names a column of the cursors asked with), ``after_end`` (the page
+    before said that none follows), ``unended`` (the last page says that more follow), else ``ok``. ``chain``: a column that
+    tells catalogues apart (null: one of its own). Pages are few beside their items: a chain's pages meet by their cursor.
+    """
+    body = parse(payload, schemas.CATALOG_PAGE)["response"].alias("r")
+    name = F.coalesce(F.col(chain).cast("string"), F.lit("")) if chain else F.lit("")
+    rows = pages.select(name.alias("chain"), body, (F.col(start).cast("long") if start else F.lit(None).cast("long")).alias("start"),
+                        F.xxhash64(payload).alias("page"))
+    ids = F.col("r.apps.appid")
+    last = F.coalesce(F.col("r.last_appid"), F.array_max(ids)).cast("long")
+    rows = rows.select("chain", F.array_min(ids).cast("long").alias("first_appid"), last.alias("last_appid"),
+                       F.coalesce(F.size("r.apps"), F.lit(0)).alias("n_apps"), "start",
+                       F.coalesce("r.have_more_results", F.lit(False)).alias("more"), F.lit(True).alias("there"), "page")
+    whole = F.col("last_appid").isNotNull()
+    nb = with_neighbours(rows.where(whole), "chain", ["last_appid", "first_appid", "page"], ["last_appid", "more", "there"], prev="p_", nxt="n_")
+    begins = F.least(F.col("first_appid"), F.col("start") + 1)
+    status = (F.when(begins <= F.col("p_last_appid"), "overlap")
+              .when(F.col("p_there") & (F.col("start") != F.col("p_last_appid")), "gap")
+              .when(F.col("p_there") & ~F.col("p_more"), "after_end")
+              .when(F.col("n_there").isNull() & F.col("more"), "unended").otherwise("ok"))
+    cols = ["chain", "first_appid", "last_appid", "n_apps", "start"]
+    return nb.select(*cols, status.alias("status")).unionByName(rows.where(~whole).select(*cols, F.lit("malformed").alias("status")))
+
+
+def chain_complete(checked: DataFrame) -> DataFrame:
+    """(chain, pages, complete) of :func:`page_chain`: complete when every page of a chain is ``ok``."""
+    return checked.groupBy("chain").agg(F.count(F.lit(1)).alias("pages"), F.every(F.col("status") == "ok").alias("complete"))

@@ -5,6 +5,7 @@
 * :func:`apply_changes` -- the same change set applied without MERGE: returns the new current rows and the
   rows it closes, so a caller can publish them (see :mod:`ledgerflow.plans.publish`).
 * :func:`apply` -- full-table form: history ∪ apply_changes(current, batch).
+* :func:`insert` -- every version of a batch, late ones too, put into whole histories.
 
 Decisions (differences from the original catalogue job, all deliberate):
 * versions of one key are totally ordered by ``(version, tie)``; the original let two tied rows disagree on
@@ -114,12 +115,19 @@ def apply_changes(current: DataFrame, batch: DataFrame, key: str, version: str,
     touched = fresh.select(key).distinct()
     cur_touched = current.join(touched, on=key, how="left_semi")
     untouched = current.join(touched, on=key, how="left_anti")
-    chain = cur_touched.select(*attrs, F.col(START).alias("__start")).unionByName(
-        fresh.select(*attrs, F.col(version).alias("__start")))
-    rebuilt = build(chain.drop("__start"), key, version, tie, skew_safe=skew_safe)
-    # a previously current row keeps its original start date
-    rebuilt = rebuilt.select(*attrs, IS_CURRENT, F.col(version).alias(START), END)
-    return untouched.unionByName(rebuilt)
+    chain = cur_touched.select(*attrs).unionByName(fresh.select(*attrs))
+    return untouched.unionByName(build(chain, key, version, tie, skew_safe=skew_safe))
+
+
+def insert(stored: DataFrame, batch: DataFrame, key: str, version: str, tie: str | Sequence[str] | None = None) -> DataFrame:
+    """``stored`` (whole histories of its keys) with every version of ``batch`` put in its place: a late version parts the
+    closed one that held its time. A version that is there already (same key, time and tie) changes nothing.
+
+    The result is that of :func:`build` over all versions, whatever the batches were and in whatever order they came.
+    """
+    attrs = [c for c in stored.columns if c not in (IS_CURRENT, START, END)]
+    both = stored.select(*attrs).unionByName(versioned(batch, key, version).select(*attrs))
+    return build(both.dropDuplicates([key, *_order(version, tie)]), key, version, tie).select(*stored.columns)
 
 
 def apply(dim: DataFrame, batch: DataFrame, key: str, version: str, tie: str | None = None,
@@ -170,10 +178,3 @@ def as_of_join(lookups: DataFrame, dim: DataFrame, key: str, at: str, fields: Se
 
 def current_rows(dim: DataFrame) -> DataFrame:
     return dim.where(F.col(IS_CURRENT))
-
-
-def batches_build(versions: DataFrame, key: str, version: str, batch_col: str, tie: str | None = None) -> DataFrame:
-    """Closed form of applying batches one after another in ``latest`` mode: newest row per (key, batch),
-    then chained by version. Used to check :func:`apply` and the publish protocol against one query."""
-    per_batch = latest_per_key(versions.where(F.col(key).isNotNull()), [key, batch_col], _order(version, tie))
-    return build(per_batch.drop(batch_col), key, version, tie)

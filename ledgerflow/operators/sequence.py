@@ -58,15 +58,17 @@ def _rows_per_slice(df: DataFrame, given: int | None) -> int:
 def split_hot(df: DataFrame, keys: list[str], order: list[str], rows_per_slice: int) -> tuple[DataFrame, DataFrame | None]:
     """(rows of the other keys, rows of keys with more than ``rows_per_slice`` rows with their slice, or None).
 
-    One counting pass finds the hot keys. Their rows are dealt out in ranges of the key and the full order, so any
+    One counting pass asks for the hot keys' rows in all; nothing is written when there are none. Else the input is
+    written once, for every later pass. The hot rows are dealt out in ranges of the key and the full order, so any
     orderable type works, ties on the first column split too, and the number of slices has no bound. The dealt rows
-    are written once: every branch and retry sees the same slices.
+    are written: every branch and retry sees the same slices.
     """
-    hot = materialize(df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__cnt")).where(F.col("__cnt") > rows_per_slice), "hot-keys")
-    total = hot.agg(F.sum("__cnt")).first()[0]
+    hot_of = lambda rows: rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("__cnt")).where(F.col("__cnt") > rows_per_slice)
+    total = hot_of(df).agg(F.sum("__cnt")).first()[0]
     if not total:
         return df, None
-    hot = hot.select(*keys)
+    df = materialize(df, "hot-input")
+    hot = materialize(hot_of(df).select(*keys), "hot-keys")
     dealt = (df.join(hot, on=keys, how="left_semi").select(*df.columns)
              .repartitionByRange(math.ceil(total / rows_per_slice), *keys, *order)
              .withColumn(_SLICE, F.spark_partition_id()))
@@ -155,3 +157,30 @@ def carry_forward(df: DataFrame, key, order: Sequence[str], source: str, fields:
     edges = edges.select(*keys, _SLICE, F.last("__own", ignorenulls=True).over(ew).alias("__before"))
     joined = inner.join(edges, on=[*keys, _SLICE], how="left")
     return out.unionByName(_emit(joined, F.coalesce("__l", "__before")))
+
+
+def running_sum(df: DataFrame, key, order: Sequence[str], value: str, name: str = "running",
+                rows_per_slice: int | None = None) -> DataFrame:
+    """Add ``name``: the sum of ``value`` over the rows of the same key up to and including this one, by ``order`` (a total
+    order). Null values add nothing.
+
+    Hot keys are range-split as in :func:`with_neighbours`: a slice sums its own rows, and the sums of the slices before
+    it come from a summary with one row per slice. Null keys have no rows in common: theirs is the row's own value.
+    """
+    keys, order = _names(key), _names(order)
+    own = F.coalesce(F.col(value), F.lit(0)).cast("long")
+    keyed = reduce(lambda x, y: x & y, [F.col(k).isNotNull() for k in keys])
+    apart = df.where(~keyed).select(*df.columns, own.alias(name))
+    rows, hot = split_hot(df.where(keyed), keys, order, _rows_per_slice(df, rows_per_slice))
+    upto_here = Window.unboundedPreceding, Window.currentRow
+    w = Window.partitionBy(*keys).orderBy(*order).rowsBetween(*upto_here)
+    out = rows.select(*df.columns, F.sum(own).over(w).alias(name)).unionByName(apart)
+    if hot is None:
+        return out
+    w = Window.partitionBy(*keys, _SLICE).orderBy(*order).rowsBetween(*upto_here)
+    inner = hot.withColumn("__in", F.sum(own).over(w))
+    ew = Window.partitionBy(*keys).orderBy(_SLICE).rowsBetween(Window.unboundedPreceding, -1)
+    before = hot.groupBy(*keys, _SLICE).agg(F.sum(own).alias("__sum")).select(
+        *keys, _SLICE, F.coalesce(F.sum("__sum").over(ew), F.lit(0)).alias("__before"))
+    joined = inner.join(before, on=[*keys, _SLICE], how="left")
+    return out.unionByName(joined.select(*df.columns, (F.col("__in") + F.col("__before")).alias(name)))

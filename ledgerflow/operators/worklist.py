@@ -40,9 +40,12 @@ def pending(catalog: DataFrame, changes: DataFrame, details: DataFrame, key: str
     """
     # de-duplicate the anti-join build sides first (partial aggregation): an item fetched many times would
     # otherwise land in one task, and AQE cannot split the build side of an anti join
-    done = details.select(key, at).distinct()
+    # both joins are on the key alone, so that details stored in buckets of it are not shuffled
+    done = details.select(key, F.col(at).alias("__at")).distinct()
     known = details.select(key).distinct()
-    chg = changes.select(key, at).join(done, on=[key, at], how="left_anti").withColumn(why, F.lit("changed"))
+    same_time = (F.col(at) >= F.col("__at")) & (F.col(at) <= F.col("__at"))
+    chg = changes.select(key, at).join(done.withColumnRenamed(key, "__key"), (F.col(key) == F.col("__key")) & same_time, "left_anti")
+    chg = chg.withColumn(why, F.lit("changed"))
     new = catalog.select(key, at).join(known, on=key, how="left_anti").withColumn(why, F.lit("new"))
     both = chg.unionByName(new, allowMissingColumns=True)
     ranked = both.withColumn("__prio", F.when(F.col(why) == "changed", 1).otherwise(0))

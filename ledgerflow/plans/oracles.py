@@ -116,7 +116,50 @@ ORACLES: dict[str, str] = {
     "scd2_null_version":
         _incremental(_PURCH + " and value >= 50"),
     "scd2_batches": _BATCHES,
-    "scd2_published": _BATCHES,
+    # the first batch is a history: all its versions are published
+    "scd2_published": _BATCHES.replace("where rn = 1)", "where rn = 1 or bt = 0)"),
+    "scd2_published_full": _BUILD,
+    "scd2_one_key":
+        f"select (select count(*) from ({_PURCH}) p) + count(*) as versions, cast(1 as bigint) as buckets_changed from ({_PURCH}) p "
+        f"where user_id = (select user_id from ({_PURCH}) d order by value desc, event_id desc, user_id desc limit 1)",
+    "price_islands":
+        "with p as (select cast(case when value < 40 then 0 else user_id end as bigint) as user_id, event_id, ts, cast(floor(value / 10) as bigint) as price "
+        "from events where event_type = 'purchase'), "
+        "c as (select *, lag(price) over w is distinct from price or lag(event_id) over w is null as change from p "
+        "  window w as (partition by user_id order by ts, event_id)), "
+        "n as (select *, cast(sum(change::int) over (partition by user_id order by ts, event_id) as bigint) as island from c), "
+        "i as (select user_id, island, min(price) as price, min(ts) as first_ts, max(ts) as last_ts, count(*) as versions from n group by 1, 2) "
+        "select *, lead(first_ts) over (partition by user_id order by island) as until from i",
+    "activity_rollup":
+        "select user_id, cast(date_trunc('week', ts) as date) as week, max(cast(round(value * 100) as bigint)) as peak, "
+        "cast(sum(cast(round(value * 100) as bigint)) as bigint) as total, count(*) as n from events group by 1, 2",
+    "bridge_multi":
+        f"with b as ({_TOKENS}) select p_partkey, p_brand from part where p_partkey in (select p_partkey from b where label = 'small') "
+        "and p_partkey in (select p_partkey from b where label in ('ring', 'gear', 'bolt')) "
+        "and p_partkey not in (select p_partkey from b where label = 'bolt')",
+    "page_chain":
+        "with g as (select c_mktsegment as chain, c_custkey // 500 as page, min(c_custkey) as first_appid, max(c_custkey) as last_appid, "
+        "  cast(count(*) as integer) as n_apps from customer group by 1, 2), "
+        "p as (select chain, first_appid, last_appid, n_apps, page * 500 - 1 as start, page < (select max(c_custkey) // 500 from customer) as more from g), "
+        "n as (select *, lag(last_appid) over w as p_last, lag(more) over w as p_more, lead(last_appid) over w as n_last from p "
+        "  window w as (partition by chain order by last_appid)) "
+        "select chain, first_appid, last_appid, n_apps, start, case when least(first_appid, start + 1) <= p_last then 'overlap' "
+        "when p_last is not null and start <> p_last then 'gap' when p_last is not null and not p_more then 'after_end' "
+        "when n_last is null and more then 'unended' else 'ok' end as status from n",
+    "rescued_nested":
+        "select event_id, cast(1 as integer) as a, event_type as extra, '[' || event_id || ']' as b from events",
+    "table_swap": "select event_id, user_id from events where ts < timestamp '2024-01-10'",
+    "table_stream":
+        "select event_id, user_id, value, date_trunc('hour', ts) as snapshot_hour, cast(ts as date) as snapshot_date from events",
+    "flatten_nested":
+        "select cast(event_id as integer) as appid, case when value >= 50 then 'EUR' end as currency, "
+        "case when value >= 50 then cast(round(value * 100) as bigint) + 1 else -1 end as initial_price, "
+        "case when value >= 50 then cast(round(value * 100) as bigint) else -1 end as final_price, event_type || ', Indie, too' as genres, "
+        "'' as categories, value < 20 as coming_soon, strftime(ts, '%Y') as release_date, cast(1 as integer) as n_developers from events",
+    "daily_run":
+        "select cast(user_id as integer) as appid, cast(ts as date) as extracted_date, cast(round(value * 100) as bigint) / 100 as final_price, "
+        "lead(ts) over (partition by user_id order by ts, value, event_id) is null as is_current, event_id / 100 as initial_price, "
+        f"user_id in (select c_custkey from customer) as listed from ({_PURCH}) p",
     "latest_per_key":
         "select * exclude (rn) from (select *, row_number() over (partition by user_id order by ts desc, event_id desc) "
         "as rn from events) z where rn = 1",
@@ -240,3 +283,4 @@ ORACLES: dict[str, str] = {
         "select event_id, user_id, value, date_trunc('hour', ts) as snapshot_hour, cast(ts as date) as snapshot_date "
         "from events",
 }
+ORACLES["pending_bucketed"] = ORACLES["pending_worklist"]

@@ -1,6 +1,10 @@
-"""Publishing an SCD2 dimension on plain parquet, batch by batch, safe to replay and to interrupt.
+"""Publishing an SCD2 dimension on plain parquet, batch by batch.
 
-Layout under ``root`` (any Hadoop file system path):
+:class:`BucketedDimension` keeps whole histories: any batch, late versions and replays among them, leaves what one build
+over all versions gives, and only the buckets that it touches are written. :class:`VersionedDimension` keeps the newest
+row of a key of each batch after the first, with a commit log; it is safe to replay and to interrupt.
+
+``VersionedDimension``: layout under ``root`` (any Hadoop file system path):
 
   batches/batch_id=<n>/state=current/   every current row after batch n (one row per key)
   batches/batch_id=<n>/state=closed/    the rows batch n closed (append-only history)
@@ -26,7 +30,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, StringType, StructField, StructType
 
 from ledgerflow.operators import scd2
-from ledgerflow.session import path_exists
+from ledgerflow.session import materialize, path_exists
 
 _COMMITS = StructType([StructField("batch_id", IntegerType()), StructField("src", StringType()),
                        StructField("committed_at", StringType())])
@@ -95,9 +99,8 @@ class VersionedDimension:
         n = (seen["last"] or 0) + 1
         attrs = [c for c in self.schema.names if c not in (scd2.IS_CURRENT, scd2.START, scd2.END)]
         if n == 1:
-            first = scd2.latest_versions(batch.select(*attrs), self.key, self.version, self.tie) if mode == "latest" \
-                else batch.select(*attrs)
-            changes = scd2.build(first, self.key, self.version, self.tie)
+            # nothing is published yet: the batch is a history, and all its versions are kept
+            changes = scd2.build(batch.select(*attrs), self.key, self.version, self.tie)
         else:
             changes = scd2.apply_changes(self.current(spark, n - 1), batch.select(*attrs), self.key, self.version,
                                          self.tie, mode=mode)
@@ -120,3 +123,64 @@ class VersionedDimension:
             self.apply_batch(spark, df, f"{qid}:{batch_id}", mode=mode)
 
         return each_batch_available_now(stream, checkpoint, _fn)
+
+
+@dataclass(frozen=True)
+class BucketedDimension:
+    """A versioned dimension as a catalog table partitioned by a hash bucket of the key.
+
+    A batch reads the buckets of its keys, puts its versions into their histories (:func:`scd2.insert`) and writes those
+    buckets by Spark's dynamic partition overwrite; other buckets' files are not read nor touched, so the cost follows the
+    batch. Insertion does not depend on order and ignores versions that are there, so a replay, or a batch repeated after a
+    failed run, changes nothing, and no log of batches is needed.
+
+    Choose ``buckets`` so that one is some hundred MB; a bucket is dealt over several tasks where it is larger (AQE
+    rebalance, hot keys split by ``with_neighbours``). Limits: one writer at a time; Spark moves finished partitions
+    one after another, so a reader may meet some buckets before and some after a batch, and a driver that dies between
+    two moves leaves the rest in the table's staging folder; the batch, applied again together with the versions
+    of the buckets that lack them, restores them.
+    """
+
+    name: str                     # catalog table
+    location: str
+    schema: StructType            # dimension columns incl. is_current / start_date / end_date
+    key: str
+    version: str
+    tie: str | tuple[str, ...] | None = None
+    buckets: int = 64
+
+    def create(self, spark: SparkSession) -> None:
+        columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in self.schema.fields)
+        spark.sql(f"CREATE TABLE IF NOT EXISTS {self.name} ({columns}, bucket INT) USING parquet "
+                  f"OPTIONS ('partitionOverwriteMode' = 'dynamic') PARTITIONED BY (bucket) LOCATION '{self.location}'")
+
+    def _table(self, spark: SparkSession) -> DataFrame:
+        self.create(spark)
+        spark.catalog.refreshTable(self.name)      # another session (a stream's) may have written buckets
+        return spark.table(self.name)
+
+    def read(self, spark: SparkSession) -> DataFrame:
+        return self._table(spark).select(*self.schema.names)
+
+    def _bucket(self):
+        return F.pmod(F.xxhash64(self.key), F.lit(self.buckets)).cast("int")
+
+    def apply_batch(self, spark: SparkSession, batch: DataFrame) -> int:
+        """Put every version of ``batch`` in; returns the number of buckets written. Rows without key or version time
+        are no versions."""
+        attrs = [c for c in self.schema.names if c not in (scd2.IS_CURRENT, scd2.START, scd2.END)]
+        rows = materialize(scd2.versioned(batch.select(*attrs), self.key, self.version), "dimension-batch")
+        touched = [r[0] for r in rows.select(self._bucket()).distinct().collect()]      # at most ``buckets``
+        if not touched:
+            return 0
+        stored = self._table(spark).where(F.col("bucket").isin(touched)).select(*self.schema.names)
+        found = scd2.insert(stored, rows, self.key, self.version, self.tie)
+        (found.withColumn("bucket", self._bucket()).hint("rebalance", "bucket").write
+         .insertInto(self.name, overwrite=True))
+        return len(touched)
+
+    def apply_stream(self, stream: DataFrame, checkpoint: str):
+        """Drain a stream into the dimension (availableNow); a re-delivered micro-batch changes nothing."""
+        from ledgerflow.streaming.ingest import each_batch_available_now
+
+        return each_batch_available_now(stream, checkpoint, lambda df, _: self.apply_batch(df.sparkSession, df) and None)

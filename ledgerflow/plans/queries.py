@@ -21,12 +21,14 @@ from ledgerflow.functions.payload import parse
 from ledgerflow.functions.scalars import (epoch_seconds_to_ts_ntz, hour_of, iso_year_week, join_labels,
                                           to_minor_units)
 from ledgerflow.operators import analytics, bridge, dim, facts, responses, scd2, worklist
-from ledgerflow.operators.flatten import FlattenSpec, flatten
+from ledgerflow.operators.flatten import FlattenSpec, flatten, flatten_details
 from ledgerflow.operators.sequence import latest_per_key, with_neighbours
-from ledgerflow.session import fresh_dir, materialize
-from ledgerflow.sources.landing import FILE, MALFORMED, RESCUED, with_rescued, write_batches
-from ledgerflow.sources.tables import read_table
-from ledgerflow.streaming.ingest import append_available_now, file_stream
+from ledgerflow import schemas
+from ledgerflow.session import fresh_dir, materialize, work_dir
+from ledgerflow.sources.landing import FILE, MALFORMED, RESCUED, read_landing, with_rescued, write_batches
+from ledgerflow.sources.tables import append_table, bucketed_table, read_table, swap_table
+from ledgerflow.streaming.ingest import append_available_now, file_stream, table_stream
+from ledgerflow.streaming.rollup import ActivityRollup
 
 # Business cut points of the scenarios below.
 BATCH_CUTS = (dt.datetime(2024, 1, 10), dt.datetime(2024, 1, 20))
@@ -43,6 +45,8 @@ GATE_NOW = dt.datetime(2024, 1, 31, 12, 0)
 EPOCH_BASE = 1_700_000_000
 PAGE_SIZE = 500
 SHIFT_ALERT = 50.0
+LATE_CUTS = (60.0, 200.0)
+LABEL_FILTER = {"all_of": ("small",), "any_of": ("ring", "gear", "bolt"), "none_of": ("bolt",)}
 
 
 def _ntz(v: dt.datetime):
@@ -193,8 +197,10 @@ def q_latest_per_key(spark, sf_dir):
 
 
 def q_price_as_of(spark, sf_dir):
-    hist = scd2.build(_purchases(spark, sf_dir), "user_id", "ts", tie="event_id")
-    return scd2.as_of(hist, _ntz(AS_OF)).select("user_id", "value", "ts")
+    """The version of every item that was valid at one instant: of the versions up to then, the latest (no history is
+    built)."""
+    upto = scd2.versioned(_purchases(spark, sf_dir), "user_id", "ts").where(F.col("ts") <= _ntz(AS_OF))
+    return latest_per_key(upto, "user_id", ["ts", "event_id"]).select("user_id", "value", "ts")
 
 
 def q_price_as_of_join(spark, sf_dir):
@@ -209,9 +215,14 @@ def q_price_moves(spark, sf_dir):
     return analytics.price_moves(_purchases(spark, sf_dir), "user_id", "ts", "value", tie="event_id")
 
 
-def _neighbours(rows, order, rows_per_slice=None):
-    """(k, event_id, value, prev_value, next_value) over rows (k, event_id, value, ...)."""
-    out = with_neighbours(rows, "k", order, ["value"], rows_per_slice=rows_per_slice)
+def _slice_rows(rows: DataFrame) -> int:
+    """Rows a slice that split the largest keys into some dozens of slices, at any size of the input."""
+    return max(HOT_SLICE_ROWS, rows.count() // 64)
+
+
+def _neighbours(rows, order):
+    """(k, event_id, value, prev_value, next_value) over rows (k, event_id, value, ...), keys split."""
+    out = with_neighbours(rows, "k", order, ["value"], rows_per_slice=_slice_rows(rows))
     return out.select(F.coalesce("k", F.lit(-1)).alias("k"), "event_id", "value", "prev_value", "next_value")
 
 
@@ -219,27 +230,27 @@ def q_neighbours_hot(spark, sf_dir):
     """All views are one item's: the split of hot keys is forced by the argument."""
     ev = read_table(spark, sf_dir, "events")
     k = F.when(F.col("event_type") == "view", F.lit(0)).otherwise(F.col("user_id"))
-    return _neighbours(ev.select(k.cast("long").alias("k"), "event_id", "ts", "value"), ["ts", "event_id"], HOT_SLICE_ROWS)
+    return _neighbours(ev.select(k.cast("long").alias("k"), "event_id", "ts", "value"), ["ts", "event_id"])
 
 
 def q_neighbours_null_keys(spark, sf_dir):
     """Views have no key: they belong to no item and have no neighbours."""
     ev = read_table(spark, sf_dir, "events")
     k = F.when(F.col("event_type") != "view", F.col("user_id"))
-    return _neighbours(ev.select(k.cast("long").alias("k"), "event_id", "ts", "value"), ["ts", "event_id"], HOT_SLICE_ROWS)
+    return _neighbours(ev.select(k.cast("long").alias("k"), "event_id", "ts", "value"), ["ts", "event_id"])
 
 
 def q_neighbours_text_version(spark, sf_dir):
     """A text as first ordering column, with split keys."""
     ev = read_table(spark, sf_dir, "events").withColumn("version", F.date_format("ts", "yyyy-MM-dd"))
     k = F.when(F.col("event_type") == "view", F.lit(0)).otherwise(F.col("user_id"))
-    return _neighbours(ev.select(k.cast("long").alias("k"), "event_id", "version", "value"), ["version", "event_id"], HOT_SLICE_ROWS)
+    return _neighbours(ev.select(k.cast("long").alias("k"), "event_id", "version", "value"), ["version", "event_id"])
 
 
 def q_neighbours_tied(spark, sf_dir):
     """One day for all rows of a day: slices part ties on the first ordering column."""
     ev = read_table(spark, sf_dir, "events").withColumn("day", F.to_date("ts"))
-    return _neighbours(ev.select(F.lit(0).cast("long").alias("k"), "event_id", "day", "value"), ["day", "event_id"], HOT_SLICE_ROWS)
+    return _neighbours(ev.select(F.lit(0).cast("long").alias("k"), "event_id", "day", "value"), ["day", "event_id"])
 
 
 def _null_versions(spark, sf_dir):
@@ -497,6 +508,168 @@ def q_stream_snapshot(spark, sf_dir):
     return spark.read.parquet(f"{out}/data")
 
 
+def q_scd2_published_full(spark, sf_dir):
+    """Every purchase, in batches by value: each batch brings versions older than those that are there."""
+    base = _purchases(spark, sf_dir)
+    target = _bucketed_dimension(spark, base)
+    for lo, hi in zip((None, *LATE_CUTS), (*LATE_CUTS, None), strict=True):
+        part = base if lo is None else base.where(F.col("value") >= lo)
+        target.apply_batch(spark, part if hi is None else part.where(F.col("value") < hi))
+    target.apply_batch(spark, base.where(F.col("value") >= LATE_CUTS[-1]))      # a replay changes nothing
+    return target.read(spark)
+
+
+def _bucketed_dimension(spark, base):
+    from ledgerflow.plans.publish import BucketedDimension
+
+    schema = scd2.build(base.limit(0), "user_id", "ts", tie="event_id", skew_safe=False).schema
+    place = fresh_dir(spark, "scd2-bucketed")
+    return BucketedDimension(place.rsplit("/", 1)[1].replace("-", "_"), place, schema, "user_id", "ts", tie="event_id", buckets=16)
+
+
+def q_scd2_one_key(spark, sf_dir):
+    """Files of the published dimension after a batch of the item with the dearest purchase: those of its bucket only are
+    new. One row: buckets, and buckets whose files changed."""
+    base = _purchases(spark, sf_dir)
+    target = _bucketed_dimension(spark, base)
+    target.apply_batch(spark, base)
+    files = lambda: set(spark.sql(f"SELECT DISTINCT bucket, input_file_name() AS f FROM {target.name}").collect())
+    before = files()
+    dearest = base.agg(F.max(F.struct("value", "event_id", "user_id")).alias("one")).select("one.user_id")
+    late = base.join(dearest, "user_id").select("user_id", (F.col("event_id") + 1).alias("event_id"), (F.col("ts") + F.expr("INTERVAL 1 SECOND")).alias("ts"), "value")
+    target.apply_batch(spark, late)
+    spark.catalog.refreshTable(target.name)
+    changed = {b for b, _ in files() ^ before}
+    return spark.table(target.name).agg(F.count(F.lit(1)).alias("versions"), F.lit(len(changed)).cast("long").alias("buckets_changed"))
+
+
+def q_price_islands(spark, sf_dir):
+    """Runs of equal prices in steps of 10; all cheap purchases are one item's, and keys are split by force."""
+    base = _purchases(spark, sf_dir)
+    k = F.when(F.col("value") < 40, F.lit(0)).otherwise(F.col("user_id")).cast("long")
+    rows = base.select(k.alias("user_id"), "event_id", "ts", F.floor(F.col("value") / 10).alias("price"))
+    return analytics.price_islands(rows, "user_id", "ts", "price", tie="event_id", rows_per_slice=_slice_rows(rows))
+
+
+def q_activity_rollup(spark, sf_dir):
+    """Activity by week out of hourly partials, after three runs of the stream, the last of which finds nothing new."""
+    ev = read_table(spark, sf_dir, "events").select("user_id", "ts", to_minor_units("value").alias("value"))
+    place = fresh_dir(spark, "rollup")
+    roll = ActivityRollup(f"{place}/state", "user_id", "ts", "value")
+    for part in (ev.where(F.col("ts") < _ntz(BATCH_CUTS[0])), ev.where(F.col("ts") >= _ntz(BATCH_CUTS[0])), None):
+        if part is not None:
+            part.write.mode("append").parquet(f"{place}/landed")
+        roll.apply_stream(file_stream(spark, f"{place}/landed", ev.schema), f"{place}/checkpoint")
+    return roll.read(spark, "week")
+
+
+def q_bridge_multi(spark, sf_dir):
+    """Parts with both of two labels, one of two others, and none of a fifth."""
+    p = read_table(spark, sf_dir, "part")
+    b = bridge.from_delimited(p, "p_partkey", "p_name", "label", sep=" ", unique=False)
+    return bridge.items_with_labels(p.select("p_partkey", "p_brand"), b, "p_partkey", "label", **LABEL_FILTER)
+
+
+def q_page_chain(spark, sf_dir):
+    """A catalogue a market segment: pages of one key range each, some of which end before the next one's start."""
+    c = read_table(spark, sf_dir, "customer")
+    page = F.floor(F.col("c_custkey") / PAGE_SIZE)
+    last = c.agg(F.max(page).alias("last_page"))
+    item = F.struct(F.col("c_custkey").cast("int").alias("appid"), F.col("c_name").alias("name"))
+    pages = (c.groupBy("c_mktsegment", page.alias("page")).agg(F.collect_list(item).alias("apps"), F.max("c_custkey").cast("int").alias("last_appid"))
+             .join(last).select("c_mktsegment", (F.col("page") * PAGE_SIZE - 1).alias("start"), F.to_json(F.struct(F.struct(
+                 "apps", (F.col("page") < F.col("last_page")).alias("have_more_results"), "last_appid").alias("response"))).alias("payload")))
+    return responses.page_chain(pages, start="start", chain="c_mktsegment")
+
+
+def q_rescued_nested(spark, sf_dir):
+    """Unknown keys and wrong types inside arrays of structs inside a struct."""
+    ev = read_table(spark, sf_dir, "events")
+    line = F.format_string('{"event_id": %d, "box": {"items": [{"k": %d}, {"k": %d, "extra": "%s", "deep": {"a": 1, "b": [%d]}}]}}',
+                           "event_id", "user_id", "user_id", "event_type", "event_id")
+    landing = fresh_dir(spark, "landing-nested")
+    ev.select(line.alias("value")).write.text(landing)
+    schema = spark.createDataFrame([], "event_id bigint, box struct<items: array<struct<k: int, deep: struct<a: int>>>>").schema
+    r = with_rescued(spark, landing, schema, layout="lines")
+    return r.select("event_id", F.col("box.items")[1]["deep"]["a"].alias("a"), F.get_json_object(RESCUED, "$['box.items[1].extra']").alias("extra"),
+                    F.get_json_object(RESCUED, "$['box.items[1].deep.b']").alias("b"))
+
+
+def q_table_swap(spark, sf_dir):
+    """A table replaced twice under its readers' view, then a third time by a run that stops before the swap."""
+    ev = read_table(spark, sf_dir, "events")
+    name = fresh_dir(spark, "swap").rsplit("/", 1)[1].replace("-", "_")
+    for day, stop in ((BATCH_CUTS[1], False), (BATCH_CUTS[0], False), (AS_OF, True)):
+        swap_table(ev.where(F.col("ts") < _ntz(day)).select("event_id", "user_id"), name, stop_before_swap=stop)
+    return spark.table(name)
+
+
+def q_table_stream(spark, sf_dir):
+    """A table as a stream into a table: two runs, the second of which sees the rows appended since."""
+    ev = read_table(spark, sf_dir, "events").select("event_id", "user_id", "value", "ts")
+    name = fresh_dir(spark, "stream").rsplit("/", 1)[1].replace("-", "_")
+    for rows in (ev.where(F.col("ts") < _ntz(BATCH_CUTS[0])), ev.where(F.col("ts") >= _ntz(BATCH_CUTS[0]))):
+        append_table(rows, f"{name}_bronze")
+        append_available_now(facts.snapshot(table_stream(spark, f"{name}_bronze"), observed="ts"),
+                             work_dir(spark, "runs", f"{name}-checkpoint"), table=f"{name}_silver")
+    return spark.table(f"{name}_silver")
+
+
+def q_flatten_nested(spark, sf_dir):
+    """A whole nested details record, flattened by the catalogue's own rules, landed as files of JSON arrays."""
+    ev = read_table(spark, sf_dir, "events")
+    cents = to_minor_units("value")
+    label = lambda c: F.struct(F.col(c).alias("description"))
+    record = F.struct(F.col("event_id").cast("int").alias("appid"), F.array("event_type").alias("developers"),
+                      F.when(F.col("value") >= 50, F.struct(F.lit("EUR").alias("currency"), (cents + 1).alias("initial"), cents.alias("final"))).alias("price_overview"),
+                      F.array(label("event_type"), F.struct(F.lit("Indie, too").alias("description"))).alias("genres"),
+                      F.struct((F.col("value") < 20).alias("coming_soon"), F.date_format("ts", "yyyy").alias("date")).alias("release_date"))
+    files = ev.groupBy(F.to_date("ts").alias("day"), F.pmod(F.xxhash64("event_id"), F.lit(8)).alias("part")).agg(F.collect_list(record).alias("all"))
+    landing = fresh_dir(spark, "landing-arrays")
+    files.select("day", "part", F.to_json("all").alias("value")).write.partitionBy("day", "part").text(landing)
+    flat = flatten_details(read_landing(spark, landing, schemas.DETAILS, layout="array"))
+    return flat.fillna(-1, ["initial_price", "final_price"]).select("appid", "currency", "initial_price", "final_price", "genres", "categories", "coming_soon", "release_date",
+                       F.size("developers").alias("n_developers"))
+
+
+def q_pending_bucketed(spark, sf_dir):
+    """``pending_worklist`` with the details in a table bucketed by item, which neither join shuffles."""
+    ev, new, old = _snapshots(spark, sf_dir, WORKLIST_SNAPSHOT_BEFORE)
+    details = (ev.where((F.col("event_type") == "purchase") & (F.col("value") >= DETAILS_MIN_VALUE))
+               .select("user_id", F.col("ts").alias("lm")))
+    name = fresh_dir(spark, "details").rsplit("/", 1)[1].replace("-", "_")
+    bucketed_table(details, name, "user_id", int(spark.conf.get("spark.sql.shuffle.partitions")))
+    changes = worklist.changed(new, old, "user_id", cmp=["lm"], keep=["lm"])
+    return worklist.pending(new, changes, spark.table(name), key="user_id", at="lm")
+
+
+def q_daily_run(spark, sf_dir):
+    """The daily run over landed driver rows: customers are the catalogue, purchases the fetched details (two landings, two
+    runs); the price history it shows."""
+    from ledgerflow.plans import runs
+
+    place = fresh_dir(spark, "daily")
+    site = runs.Site(landing=f"{place}/landing", state=f"{place}/state", db=place.rsplit("/", 1)[1].replace("-", "_"), layout="lines", buckets=8)
+    c = read_table(spark, sf_dir, "customer")
+    page = F.floor(F.col("c_custkey") / PAGE_SIZE)
+    item = F.struct(F.col("c_custkey").cast("int").alias("appid"), F.col("c_name").alias("name"), to_minor_units("c_acctbal").alias("last_modified"))
+    pages = (c.groupBy(page.alias("page")).agg(F.collect_list(item).alias("apps"), F.max("c_custkey").alias("last_appid"))
+             .join(c.agg(F.max(page).alias("last"))).select("page", F.to_json(F.struct(F.struct(
+                 "apps", "last_appid", (F.col("page") < F.col("last")).alias("have_more_results")).alias("response"))).alias("value")))
+    pages.write.partitionBy("page").text(f"{site.landing}/pages/2024-01-31")
+    bought = _purchases(spark, sf_dir).select(F.col("user_id").cast("int").alias("appid"), F.lit(False).alias("is_free"),
+        F.struct(F.lit("EUR").alias("currency"), F.col("event_id").cast("bigint").alias("initial"), to_minor_units("value").alias("final")).alias("price_overview"),
+        F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'+00:00'").alias("extracted_at_game"), F.col("value"))
+    for late in (False, True):      # the second landing holds versions between those of the first
+        part = bought.where(F.col("value") >= DETAILS_MIN_VALUE) if late else bought.where(F.col("value") < DETAILS_MIN_VALUE)
+        part.drop("value").write.mode("append").json(f"{site.landing}/details")
+        runs.run_daily(spark, site, dt.datetime(2024, 1, 31, 18) if late else dt.datetime(2024, 1, 31, 17))
+    shown = spark.table(site.t("price_history"))
+    listed = spark.table(site.t("dim_items")).select("appid")
+    return shown.select("appid", "extracted_date", "final_price", "is_current", F.col("initial_price").alias("initial_price")).join(
+        listed.withColumn("listed", F.lit(True)), "appid", "left").fillna(False, ["listed"])
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "logical_day": q_logical_day,
     "snapshot_fact": q_snapshot_fact,
@@ -552,4 +725,16 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "rescued_types": q_rescued_types,
     "rescued_malformed": q_rescued_malformed,
     "stream_snapshot": q_stream_snapshot,
+    "scd2_published_full": q_scd2_published_full,
+    "scd2_one_key": q_scd2_one_key,
+    "price_islands": q_price_islands,
+    "activity_rollup": q_activity_rollup,
+    "bridge_multi": q_bridge_multi,
+    "page_chain": q_page_chain,
+    "rescued_nested": q_rescued_nested,
+    "table_swap": q_table_swap,
+    "table_stream": q_table_stream,
+    "flatten_nested": q_flatten_nested,
+    "pending_bucketed": q_pending_bucketed,
+    "daily_run": q_daily_run,
 }

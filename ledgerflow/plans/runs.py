@@ -23,11 +23,11 @@ from ledgerflow import schemas
 from ledgerflow.functions.calendar import batch_due, logical_day_py
 from ledgerflow.operators import bridge, dim, facts, responses, scd2, worklist
 from ledgerflow.operators.flatten import flatten_details
-from ledgerflow.plans.publish import VersionedDimension
+from ledgerflow.plans.publish import BucketedDimension
 from ledgerflow.session import path_exists
 from ledgerflow.sources.landing import RESCUED, with_rescued
-from ledgerflow.sources.tables import (append_table, create_view_once, ensure_namespace, replace_partition,
-                                       replace_table, table_exists)
+from ledgerflow.sources.tables import (append_table, create_once, create_view_once, ensure_namespace, replace_partition,
+                                       swap_table, table_exists)
 from ledgerflow.streaming.ingest import append_available_now, table_stream
 
 # The date dimension's span.
@@ -41,6 +41,7 @@ class Site:
     db: str = "ledgerflow"
     layout: str = "array"      # of the landing files; "lines" can be split over tasks
     files_per_trigger: int = 1000     # a backlog comes in micro-batches of this many files
+    buckets: int = 64          # of the price history
     clean_source: str = "off"  # "delete" or "archive" where the landing folder is this engine's to clean
 
     def t(self, name: str) -> str:
@@ -50,14 +51,20 @@ class Site:
         return f"{self.state}/checkpoints/{name}"
 
 
-def details_dimension(spark: SparkSession, site: Site) -> VersionedDimension:
-    flat = flatten_details(spark.createDataFrame([], schemas.DETAILS).withColumn(RESCUED, F.lit(None).cast("string")))
+def _versions(details: DataFrame) -> DataFrame:
+    """Flat details; the labels also as arrays, which a comma in a label does not part."""
+    return flatten_details(details.select("*", F.col("genres.description").alias("genre_names"),
+                                          F.col("categories.description").alias("category_names")))
+
+
+def details_dimension(spark: SparkSession, site: Site) -> BucketedDimension:
+    flat = _versions(spark.createDataFrame([], schemas.DETAILS).withColumn(RESCUED, F.lit(None).cast("string")))
     schema = StructType(flat.schema.fields + [StructField(scd2.IS_CURRENT, BooleanType()),
                                               StructField(scd2.START, TimestampType()),
                                               StructField(scd2.END, TimestampType())])
     # two fetches of an item at one time: the one asked for last, then the rescued text
-    return VersionedDimension(f"{site.state}/details_scd2", schema, key="appid", version="extracted_at_game",
-                              tie=("extracted_at", RESCUED, "final_price", "initial_price"))
+    return BucketedDimension(site.t("details_scd2"), f"{site.state}/details_scd2", schema, key="appid", version="extracted_at_game",
+                             tie=("extracted_at", RESCUED, "final_price", "initial_price"), buckets=site.buckets)
 
 
 def _table_or_empty(spark: SparkSession, name: str, schema: str) -> DataFrame:
@@ -85,8 +92,8 @@ def ingest(spark: SparkSession, site: Site) -> None:
     _ingest(spark, site, "reviews", schemas.REVIEWS)
 
 
-def history(spark: SparkSession, site: Site) -> VersionedDimension:
-    """Silver: price history (one published SCD2 batch per micro-batch of new bronze rows), review fact.
+def history(spark: SparkSession, site: Site) -> BucketedDimension:
+    """Silver: price history (every version of new bronze rows put in its place), review fact.
 
     Rows without key or version time (malformed records among them) are no versions; they stay in view.
     """
@@ -94,7 +101,7 @@ def history(spark: SparkSession, site: Site) -> VersionedDimension:
     if table_exists(spark, site.t("details_bronze")):
         create_view_once(spark, site.t("details_quarantine"), f"SELECT * FROM {site.t('details_bronze')} "
                          "WHERE appid IS NULL OR extracted_at_game IS NULL")
-        hist.apply_stream(flatten_details(table_stream(spark, site.t("details_bronze"))), site.ck("details_scd2"))
+        hist.apply_stream(_versions(table_stream(spark, site.t("details_bronze"))), site.ck("details_scd2"))
     if table_exists(spark, site.t("reviews_bronze")):
         append_available_now(facts.rating(table_stream(spark, site.t("reviews_bronze"))), site.ck("reviews_silver"),
                              table=site.t("reviews_silver"))
@@ -120,20 +127,24 @@ def refresh_catalog(spark: SparkSession, site: Site, now: dt.datetime, pages_dir
     """Catalogue snapshot of the logical day, its change log against the last ended day, cleansed catalogue.
 
     Each day's snapshot and change log are partitions that a rerun of the same day writes anew; the day counts as done
-    only when all of them are written.
+    only when all of them are written. Pages whose chain has not ended, or has gaps, are half a catalogue: the step waits
+    for the rest (``incomplete``).
     """
     gate, day = _gate(spark, site, "catalog", now), logical_day_py(now)
     pages_dir = pages_dir or f"{site.landing}/pages/{day}"
     if not gate["due"] or not path_exists(spark, pages_dir):
         return {"ran": False, "last_day": gate["last_day"]}
     pages = spark.read.text(pages_dir, wholetext=True).select(F.col("value").alias("payload"))
+    chain = responses.chain_complete(responses.page_chain(pages)).first()
+    if chain is None or not chain["complete"]:
+        return {"ran": False, "last_day": gate["last_day"], "incomplete": True}
     replace_partition(responses.flatten_pages(pages, extracted_at=now), site.t("catalog_days"), "logical_day", day)
     snap = _snapshot_of(spark, site, day)
     if gate["last_day"] is not None:
         old = _snapshot_of(spark, site, gate["last_day"])
         changed = worklist.changed(snap, old, "appid", cmp=["last_modified"], keep=["extracted_at"])
         replace_partition(changed, site.t("change_log"), "logical_day", day)
-    replace_table(dim.clean_catalog(snap), site.t("catalog_clean"))
+    swap_table(dim.clean_catalog(snap), site.t("catalog_clean"))
     create_view_once(spark, site.t("dim_items"), f"SELECT appid, name AS appName FROM {site.t('catalog_clean')}")
     _mark(spark, site, "catalog", now)
     return {"ran": True, "last_day": day}
@@ -145,7 +156,7 @@ def refresh_reviews(spark: SparkSession, site: Site, now: dt.datetime) -> dict:
     if not gate["due"] or not table_exists(spark, site.t("catalog_clean")):
         return {"ran": False, "last_day": gate["last_day"]}
     asked = spark.table(site.t("catalog_clean")).select("appid", F.lit(now).cast("timestamp").alias("requested_at"))
-    replace_table(asked, site.t("reviews_worklist"))
+    swap_table(asked, site.t("reviews_worklist"))
     _mark(spark, site, "reviews", now)
     return {"ran": True, "last_day": logical_day_py(now)}
 
@@ -158,20 +169,17 @@ def pending_worklist(spark: SparkSession, site: Site, now: dt.datetime) -> None:
         return
     fetched = _table_or_empty(spark, site.t("details_bronze"), "appid int, extracted_at timestamp")
     changes = _table_or_empty(spark, site.t("change_log"), "appid int, extracted_at timestamp")
-    replace_table(worklist.pending(_snapshot_of(spark, site, last), changes.select("appid", "extracted_at"),
-                                   fetched.select("appid", "extracted_at")), site.t("worklist"))
-
-
-def gold(spark: SparkSession, site: Site, hist: VersionedDimension) -> None:
-    versions = hist.read(spark)
-    replace_table(facts.price_view(versions), site.t("price_history"))
-    current = scd2.current_rows(versions)
-    for labels, one in (("developers", "developer"), ("publishers", "publisher")):
-        replace_table(bridge.from_array(current, "appid", labels, one), site.t(f"item_{one}"))
-    for labels, one in (("genres", "genre"), ("categories", "category")):
-        replace_table(bridge.from_delimited(current, "appid", labels, f"{one}_name"), site.t(f"item_{one}"))
-    if not table_exists(spark, site.t("dim_date")):
-        dim.date_dim(spark, DATE_DIM_FIRST, DATE_DIM_LAST).write.format("parquet").saveAsTable(site.t("dim_date"))
+    swap_table(worklist.pending(_snapshot_of(spark, site, last), changes.select("appid", "extracted_at"),
+                                fetched.select("appid", "extracted_at")), site.t("worklist"))
+
+
+def gold(spark: SparkSession, site: Site, hist: BucketedDimension) -> None:
+    current = scd2.current_rows(hist.read(spark))
+    create_view_once(spark, site.t("price_history"), facts.price_view_sql(hist.name))
+    for labels, one, label in (("developers", "developer", "developer"), ("publishers", "publisher", "publisher"),
+                               ("genre_names", "genre", "genre_name"), ("category_names", "category", "category_name")):
+        swap_table(bridge.from_array(current, "appid", labels, label), site.t(f"item_{one}"))
+    create_once(dim.date_dim(spark, DATE_DIM_FIRST, DATE_DIM_LAST), site.t("dim_date"))
     if table_exists(spark, site.t("reviews_silver")):
         create_view_once(spark, site.t("review_scores"), f"SELECT * EXCEPT (extracted_at) FROM {site.t('reviews_silver')}")
 
@@ -185,7 +193,7 @@ def run_daily(spark: SparkSession, site: Site, now: dt.datetime, pages_dir: str
     reviews = refresh_reviews(spark, site, now)
     pending_worklist(spark, site, now)
     gold(spark, site, hist)
-    return {**catalog, "reviews_ran": reviews["ran"], "batch": hist.last_batch(spark)}
+    return {**catalog, "reviews_ran": reviews["ran"]}
 
 
 def run_activity(spark: SparkSession, site: Site) -> None:

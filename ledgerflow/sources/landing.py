@@ -13,6 +13,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ledgerflow.functions.payload import bound
+
 RESCUED = "_rescued_data"
 # Keys of the rescued entry of a file or record that is no JSON object: its text, and the file it came from.
 MALFORMED, FILE = "_malformed", "_file"
@@ -51,6 +53,33 @@ def _rescue(raw_map: Column, typed_map: Column, schema: T.StructType, prefix: st
     return kept
 
 
+def _is_nested(t: T.DataType) -> bool:
+    return isinstance(t, T.StructType) or isinstance(t, T.ArrayType) and _is_nested(t.elementType)
+
+
+def _below(raw: Column, typed: Column, t: T.DataType, path: Column) -> Column:
+    """Entries (path, text) of the JSON text ``raw`` that ``typed``, its value read as ``t``, could not hold, at any depth:
+    ``path`` is ``a.b`` in structs and ``a[0].b`` in arrays. Nothing is looked for below a value that is itself null."""
+    none = F.array().cast("array<struct<key:string,value:string>>")
+    entry = lambda p, v: F.struct(p.alias("key"), v.alias("value"))
+    if isinstance(t, T.StructType):
+        def fields(m: Column) -> Column:
+            own = F.map_entries(_rescue(m, _typed_map(typed, t), t, ""))
+            parts = [F.transform(own, lambda e: entry(F.concat(path, F.lit("."), e["key"]), e["value"]))]
+            parts += [_below(F.element_at(m, F.lit(f.name)), typed[f.name], f.dataType, F.concat(path, F.lit(f".{f.name}")))
+                      for f in t.fields if _is_nested(f.dataType)]
+            return F.when(m.isNotNull() & typed.isNotNull(), F.flatten(F.array(*parts))).otherwise(none)
+        return bound(F.from_json(raw, "map<string,string>"), fields)
+
+    def elements(texts: Column) -> Column:
+        def one(text: Column, i: Column) -> Column:
+            at, got = F.concat(path, F.lit("["), i.cast("string"), F.lit("]")), F.get(typed, i)
+            return (F.when(text.isNotNull() & got.isNull(), F.array(entry(at, text)))
+                    .otherwise(_below(text, got, t.elementType, at)))
+        return F.when(texts.isNotNull() & typed.isNotNull(), F.flatten(F.transform(texts, one))).otherwise(none)
+    return bound(F.from_json(raw, "array<string>"), elements)
+
+
 def _attach_rescued(records: DataFrame, raw: str, file: str, schema: T.StructType, column: str) -> DataFrame:
     """Typed struct + rescued JSON for each raw record text. A text that is no JSON object gives nulls only (never half
     a record), and is rescued whole with its file.
@@ -75,6 +104,12 @@ def _attach_rescued(records: DataFrame, raw: str, file: str, schema: T.StructTyp
         parts.append(F.coalesce(_rescue(F.col(f"__m{i}"), F.col(f"__t{i}"), f.dataType, f"{f.name}."),
                                 F.create_map().cast("map<string,string>")))
     merged = F.map_concat(*parts) if len(parts) > 1 else parts[0]
+    deep = [_below(F.element_at(f"__m{i}", F.lit(g.name)), F.col("__r")[f.name][g.name], g.dataType, F.lit(f"{f.name}.{g.name}"))
+            for i, f in enumerate(nested, 1) for g in f.dataType.fields if _is_nested(g.dataType)]
+    deep += [_below(F.element_at("__m", F.lit(f.name)), F.col("__r")[f.name], f.dataType, F.lit(f.name))
+             for f in schema.fields if isinstance(f.dataType, T.ArrayType) and _is_nested(f.dataType)]
+    if deep:
+        merged = F.map_concat(merged, F.map_from_entries(F.flatten(F.array(*deep))))
     return parsed.select("__r", F.coalesce("__bad", merged).alias("__x")).select(
         "__r.*", F.when(F.size("__x") > 0, F.to_json("__x")).alias(column))
 
@@ -83,7 +118,7 @@ def with_rescued(spark: SparkSession, path: str, schema: T.StructType, layout: s
                  stream: bool = False, column: str = RESCUED, **options) -> DataFrame:
     """Typed rows plus ``column``: a JSON object of everything the schema could not hold (null when nothing).
 
-    Covers top-level keys and keys inside struct fields; values inside arrays of structs are not inspected. A file
+    Covers keys at any depth, named by their path (``a.b`` in structs, ``a[0].b`` in arrays of structs). A file
     (``array``) or line (``lines``) that is cut short or no JSON, and an array element that is no object, becomes one
     row of nulls whose rescued text holds it, without white space around it, and the name of its file. Blank files and lines are nothing.
     ``options`` go to the reader, such as ``cleanSource`` and ``maxFilesPerTrigger`` of a stream.

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -47,9 +49,47 @@ def append_table(df: DataFrame, name: str, fmt: str = "parquet") -> None:
     df.write.mode("append").format(fmt).saveAsTable(name)
 
 
-def create_once(spark: SparkSession, name: str, select_sql: str, fmt: str = "parquet") -> None:
-    """``CREATE TABLE IF NOT EXISTS name USING fmt AS select`` -- a second call leaves the table as it is."""
-    spark.sql(f"CREATE TABLE IF NOT EXISTS {name} USING {fmt} AS {select_sql}")
+def swap_table(df: DataFrame, name: str, fmt: str = "parquet", stop_before_swap: bool = False) -> str:
+    """Replace what readers of ``name`` see, whole and at once: the rows go to a new table ``name__v<n>``, then the view
+    ``name`` is pointed at it in one statement, then the versions before the last two are dropped.
+
+    A run that stops before the swap leaves readers with the old rows, and its unfinished table to the next run, which
+    writes it anew; the last version but one stays for queries that are under way. ``df`` may read ``name``. One writer at a
+    time. Returns the new table's name.
+    """
+    spark = df.sparkSession
+    prefix = f"{name.split('.')[-1]}__v"
+    db = name.rsplit(".", 1)[0] if "." in name else spark.catalog.currentDatabase()
+    known = sorted(int(t.name[len(prefix):]) for t in spark.catalog.listTables(db, f"{prefix}*") if t.name[len(prefix):].isdigit())
+    shown = _shown_version(spark, name, prefix)
+    new = f"{name}__v{shown + 1}"
+    df.write.mode("overwrite").format(fmt).saveAsTable(new)
+    if stop_before_swap:       # test hook
+        return new
+    replace_view(spark, name, f"SELECT * FROM {new}")
+    for n in known:
+        if n < shown:
+            spark.sql(f"DROP TABLE IF EXISTS {name}__v{n}")
+    return new
+
+
+def _shown_version(spark: SparkSession, name: str, prefix: str) -> int:
+    """Number of the table that the view ``name`` reads; 0 without a view."""
+    if not table_exists(spark, name):
+        return 0
+    text = spark.sql(f"SHOW CREATE TABLE {name}").first()[0]
+    found = re.findall(rf"{re.escape(prefix)}(\d+)", text)
+    return int(found[-1]) if found else 0
+
+
+def bucketed_table(df: DataFrame, name: str, key: str, buckets: int, fmt: str = "parquet") -> None:
+    """Whole-table write in buckets of ``key``: later joins and groupings on it read the table without a shuffle."""
+    df.write.mode("overwrite").format(fmt).bucketBy(buckets, key).sortBy(key).saveAsTable(name)
+
+
+def create_once(df: DataFrame, name: str, fmt: str = "parquet") -> None:
+    """``CREATE TABLE IF NOT EXISTS name USING fmt AS rows`` -- a second call leaves the table as it is."""
+    df.sparkSession.sql(f"CREATE TABLE IF NOT EXISTS {name} USING {fmt} AS SELECT * FROM {{rows}}", rows=df)
 
 
 def replace_view(spark: SparkSession, name: str, select_sql: str) -> None:

@@ -1,9 +1,8 @@
 from pyspark.sql import functions as F
 
-from support import SF_CHECK, rows
+from support import SF_CHECK, closed_form, rows
 from ledgerflow.operators import scd2
 from ledgerflow.plans.publish import VersionedDimension
-from ledgerflow.plans.queries import q_scd2_batches
 
 
 def test_publish_protocol_commit_point_and_replay(spark, tmp_dir):
@@ -24,5 +23,6 @@ def test_publish_protocol_commit_point_and_replay(spark, tmp_dir):
     assert dim.last_batch(spark) == 3
     assert seen[0] == 0 and seen[1] == seen[2] and seen[3] == seen[4] and seen[5] > seen[3] > seen[1]
     published = dim.read(spark)
-    assert rows(published) == rows(q_scd2_batches(spark, SF_CHECK).select(*schema.names))
+    tagged = base.withColumn("bt", F.when(F.col("ts") < lo, 0).when(F.col("ts") < hi, 1).otherwise(2))
+    assert rows(published) == rows(closed_form(tagged, "user_id", "ts", "bt", "event_id", whole_first=True).select(*schema.names))
     assert published.where("is_current").groupBy("user_id").count().where("count > 1").count() == 0

@@ -2,7 +2,7 @@ import datetime as dt
 
 from pyspark.sql import functions as F
 
-from support import SF_CHECK, rows
+from support import SF_CHECK, closed_form, rows
 from ledgerflow.operators import scd2
 
 SCHEMA = "k int, v timestamp_ntz, id int, price bigint"
@@ -94,7 +94,7 @@ def test_batches_one_by_one_equal_closed_form(spark):
     dim = scd2.build(scd2.latest_per_key(tagged.where("bt = 0").drop("bt"), "k", ["v", "id"]), "k", "v", tie="id")
     for b in (1, 2, 3):
         dim = scd2.apply(dim, tagged.where(f"bt = {b}").drop("bt"), "k", "v", tie="id")
-    closed = scd2.batches_build(tagged, "k", "v", "bt", tie="id")
+    closed = closed_form(tagged, "k", "v", "bt", "id")
     assert rows(dim) == rows(closed)
     _check_intervals(dim)
 
