@@ -6,11 +6,12 @@ a single space before a non-space character, and every other alternative takes t
 only), merges stay inside a pre-token, and added tokens contain no space. So a unit's tokens do not depend on what
 surrounds it, and the library encodes each distinct unit once per cache life.
 
-A text of more than ``chunk_chars`` characters is encoded in chunks that overlap. Each chunk gives the offsets of its
-units. The cut between two chunks is the first offset that both report inside their overlap: three characters decide
-whether an offset starts a unit, and either chunk sees all three, so the boundary is proven for the whole text. If the
-chunks share no offset there (a long run without spaces), the overlap is doubled and the chunk encoded again, up to
-the end of the text.
+A text of more than ``chunk_chars`` characters is encoded in chunks that overlap, each with its tokens' offsets. Two
+chunks are resynchronised inside their overlap: the seam is the first unit start at which both have a token end and from
+which both have the same tokens up to the next unit start. Three characters decide whether a place starts a unit, and
+either chunk sees all three, so the seam is proven for the whole text. Tokens before it are taken from the left chunk,
+those from it on from the right one, which is then the left one of the next pair: a chunk is encoded once. Where no seam
+is found (a long run without spaces), the overlap is doubled and the left chunk made longer by it, up to the text's end.
 
 Defined results: a null text counts as empty (0 bytes, 0 tokens); repeated rows, null ids and ties give one row each;
 an empty table gives no rows; other columns are not read, so their names cannot clash.
@@ -20,9 +21,7 @@ from __future__ import annotations
 
 import json
 import re
-from bisect import bisect_left
 from collections.abc import Iterator
-from itertools import accumulate
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -86,31 +85,42 @@ class UnitCounter:
         return [[first[s[0]], *map(get, s[1:])] for s in split]
 
     def chunk(self, text: str, start: int, end: int) -> tuple[list[int], list[int]]:
-        """Offsets in ``text`` at which units of text[start:end] start, but for the first, and the tokens before each;
-        the tokens of the whole chunk come last."""
-        part = text[start:end]
-        starts = [start + m.start() for m in UNIT_START.finditer(part)]
-        return starts, list(accumulate(self.counts([part])[0]))
+        """Ids of text[start:end] and the offset in ``text`` at which each token ends."""
+        e = self.tokenizer.encode(text[start:end], add_special_tokens=False)
+        return e.ids, [start + z for _, z in e.offsets]
+
+    @staticmethod
+    def seam(text: str, left: tuple, right: tuple, low: int, high: int) -> tuple[int, int, int] | None:
+        """(tokens of the left chunk before the seam, tokens of the right one before it, its offset), for chunks that both
+        hold text[low:high]."""
+        upto_left, upto_right = ({z: k + 1 for k, z in enumerate(ends)} for _, ends in (left, right))
+        starts = [low + m.start() for m in UNIT_START.finditer(text[low:high])]
+        for p, q in zip(starts, starts[1:], strict=False):
+            if all(z in upto for z in (p, q) for upto in (upto_left, upto_right)):
+                if left[0][upto_left[p]:upto_left[q]] == right[0][upto_right[p]:upto_right[q]]:
+                    return upto_left[p], upto_right[p], p
+        return None
 
     def spliced(self, text: str, chunk_chars: int, overlap_chars: int) -> tuple[int, int, int]:
-        """Tokens of a huge text, chunks and widenings that it took."""
-        size, start, tokens, chunks, widened = len(text), 0, 0, 0, 0
-        while True:
-            end, overlap, cut = min(size, start + chunk_chars), overlap_chars, None
-            while cut is None:
-                left, before = self.chunk(text, start, end)
-                chunks += 1
-                if end == size:
-                    return tokens + before[-1], chunks, widened
-                low = max(start, end - overlap)
-                right = set(self.chunk(text, low, min(size, end + overlap))[0])
-                cut = next((i for i in range(bisect_left(left, low), len(left)) if left[i] in right), None)
-                if cut is None:
-                    widened += 1
-                    overlap *= 2
-                    end = min(size, end + overlap)
-            tokens += before[cut]
-            start = left[cut]
+        """Tokens of a huge text, chunks encoded and widenings that it took."""
+        size, end, tokens, widened = len(text), min(len(text), chunk_chars), 0, 0
+        left, taken, chunks = self.chunk(text, 0, end), 0, 1          # ``taken``: tokens of ``left`` before its seam
+        seam, overlap = 0, overlap_chars
+        while end < size:
+            low = max(seam, end - overlap)
+            high = min(size, max(low + chunk_chars, end + overlap))
+            right = self.chunk(text, low, high)
+            chunks += 1
+            found = self.seam(text, left, right, low, end)
+            if found is None:
+                widened, overlap = widened + 1, 2 * overlap
+                end = min(size, end + overlap)
+                left = self.chunk(text, seam, end)                        # a seam is where a text may as well begin
+                taken, chunks = 0, chunks + 1
+                continue
+            tokens += found[0] - taken
+            left, end, taken, seam, overlap = right, high, found[1], found[2], overlap_chars
+        return tokens + len(left[0]) - taken, chunks, widened
 
 
 def count_tokens(docs: DataFrame, path: str | None = None, limit: int = 1024, chunk_chars: int = CHUNK_CHARS,
