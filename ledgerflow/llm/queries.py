@@ -30,7 +30,8 @@ def op4_spot_signatures(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return suffix_dedup.dedup(read_documents(spark, sf_dir)).drop("tie")
+    """With the text that is left, so that what went can be seen."""
+    return suffix_dedup.dedup(read_documents(spark, sf_dir), with_text=True).drop("tie")
 
 
 def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -38,7 +39,7 @@ def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return sentencepiece_codec.encode_decode(read_documents(spark, sf_dir))
+    return sentencepiece_codec.encode_decode(read_documents(spark, sf_dir)).drop("n_corrected")
 
 
 def op8_orc_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
