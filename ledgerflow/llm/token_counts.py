@@ -21,19 +21,22 @@ from __future__ import annotations
 
 import json
 import re
+from bisect import bisect_left
 from collections.abc import Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from tokenizers import Encoding
 
 from ledgerflow.llm.common import in_parts, map_arrow, texts_of, vocabulary, whole_text
 
 CHUNK_CHARS = 32_768
 OVERLAP_CHARS = 1_024
-CACHE_UNITS = 400_000
+CACHE_UNITS = 250_000
+PART_CHARS = 1_000_000
 LONG_UNIT = 64
-UNIT_START = re.compile(r"(?<=\S) (?=\S)")
+UNIT_START = re.compile(r" (?=\S)(?<=\S )")      # the space first: the search then leaps from one to the next
 
 _counters: dict[str, UnitCounter] = {}
 
@@ -84,21 +87,33 @@ class UnitCounter:
         get = self.later.__getitem__ if not long_later else (lambda u: long_later[u] if u in long_later else self.later[u])
         return [[first[s[0]], *map(get, s[1:])] for s in split]
 
-    def chunk(self, text: str, start: int, end: int) -> tuple[list[int], list[int]]:
-        """Ids of text[start:end] and the offset in ``text`` at which each token ends."""
-        e = self.tokenizer.encode(text[start:end], add_special_tokens=False)
-        return e.ids, [start + z for _, z in e.offsets]
+    def chunk(self, text: str, start: int, end: int) -> tuple[int, Encoding]:
+        """The start and the tokens, with their offsets, of text[start:end]."""
+        return start, self.tokenizer.encode(text[start:end], add_special_tokens=False)
 
     @staticmethod
-    def seam(text: str, left: tuple, right: tuple, low: int, high: int) -> tuple[int, int, int] | None:
+    def upto(chunk: tuple[int, Encoding], low: int, high: int) -> dict[int, int]:
+        """Of the token ends from ``low`` to ``high``: how many tokens the chunk has up to there."""
+        start, e = chunk
+        place = lambda k: start + e.token_to_chars(k)[1]
+        found = {}
+        for k in range(bisect_left(range(len(e)), low, key=place), len(e)):
+            at = place(k)
+            if at > high:
+                break
+            found[at] = k + 1
+        return found
+
+    def seam(self, text: str, left: tuple, right: tuple, low: int, high: int) -> tuple[int, int, int] | None:
         """(tokens of the left chunk before the seam, tokens of the right one before it, its offset), for chunks that both
         hold text[low:high]."""
-        upto_left, upto_right = ({z: k + 1 for k, z in enumerate(ends)} for _, ends in (left, right))
+        upto = [self.upto(c, low, high) for c in (left, right)]
+        ids = [c[1].ids for c in (left, right)]
         starts = [low + m.start() for m in UNIT_START.finditer(text[low:high])]
         for p, q in zip(starts, starts[1:], strict=False):
-            if all(z in upto for z in (p, q) for upto in (upto_left, upto_right)):
-                if left[0][upto_left[p]:upto_left[q]] == right[0][upto_right[p]:upto_right[q]]:
-                    return upto_left[p], upto_right[p], p
+            if all(z in u for z in (p, q) for u in upto):
+                if ids[0][upto[0][p]:upto[0][q]] == ids[1][upto[1][p]:upto[1][q]]:
+                    return upto[0][p], upto[1][p], p
         return None
 
     def spliced(self, text: str, chunk_chars: int, overlap_chars: int) -> tuple[int, int, int]:
@@ -120,7 +135,7 @@ class UnitCounter:
                 continue
             tokens += found[0] - taken
             left, end, taken, seam, overlap = right, high, found[1], found[2], overlap_chars
-        return tokens + len(left[0]) - taken, chunks, widened
+        return tokens + len(left[1]) - taken, chunks, widened
 
 
 def count_tokens(docs: DataFrame, path: str | None = None, limit: int = 1024, chunk_chars: int = CHUNK_CHARS,
@@ -134,7 +149,7 @@ def count_tokens(docs: DataFrame, path: str | None = None, limit: int = 1024, ch
             texts = texts_of(batch.column("text"))
             short = [i for i, t in enumerate(texts) if len(t) <= chunk_chars]
             result = [(0, 1, 0)] * len(texts)
-            counts = [sum(c) for part in in_parts([texts[i] for i in short]) for c in counter.counts(part)]
+            counts = [sum(c) for part in in_parts([texts[i] for i in short], PART_CHARS) for c in counter.counts(part)]
             for i, n in zip(short, counts, strict=True):
                 result[i] = (n, 1, 0)
             for i, t in enumerate(texts):

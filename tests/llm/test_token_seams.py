@@ -36,8 +36,8 @@ def test_seam_compares_the_tokens():
     text = "one two three four five six seven"
     left, right = counter.chunk(text, 0, 24), counter.chunk(text, 5, len(text))
     at = counter.seam(text, left, right, 5, 24)
-    assert at is not None and text[at[2]] == " " and left[0][at[0]] == right[0][at[1]]
-    other = ([i + 1 for i in right[0]], right[1])                  # the same offsets with other tokens are no seam
+    assert at is not None and text[at[2]] == " " and left[1].ids[at[0]] == right[1].ids[at[1]]
+    other = counter.chunk("x" * 5 + "abc def ghijk lmno pqrs tuv wxyzab", 5, len(text))       # other tokens are no seam
     assert counter.seam(text, left, other, 5, 24) is None
 
 
