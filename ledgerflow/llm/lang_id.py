@@ -10,7 +10,7 @@ The best path through a document's words pays ``SWITCH`` for every change of lan
 mixed text. The predicted language has the most letters on the path (the first by name of equals), the score is its
 share of the letters.
 
-Texts are read in slices of at most ``SLICE`` characters, cut at a blank where there is one; a path ends with its slice.
+Texts of more than ``SLICE`` characters are read in slices that part no word; the path runs on from slice to slice.
 Documents of like length are scored side by side.
 
 Defined results: null text or one without a letter: ``und``, score 0. With nothing to learn from, all are ``und``.
@@ -82,13 +82,14 @@ def _lower(text: str) -> str:
 
 
 def slices(texts: list[str], size: int) -> list[tuple[int, int, str]]:
-    """(text, offset, slice), of like length next to each other."""
+    """(text, offset, slice) of about ``size`` characters, no word in two, of like length next to each other."""
     out = []
     for k, t in enumerate(texts):
         a = 0
         while a < len(t):
-            z = len(t) if len(t) - a <= size else max(t.rfind(" ", a, a + size) + 1, a) or a + size
-            z = z if z > a else a + size
+            z = len(t) if len(t) - a <= size else t.rfind(" ", a, a + size) + 1
+            if z <= a:                         # no blank: up to the end of the word that the slice would cut
+                z = next((i for i in range(a + size, len(t)) if not t[i].isalpha()), len(t))
             out.append((k, a, t[a:z]))
             a = z
     out.sort(key=lambda x: len(x[2]))
@@ -164,16 +165,44 @@ class Model:
         self.candidates = scripts >= SCRIPT_SHARE * np.maximum(scripts.sum(axis=0), 1)
         self.candidates[~self.candidates.any(axis=1)] = True
 
-    def paths(self, parts: list[str]) -> list[tuple[np.ndarray, np.ndarray, np.ndarray]]:
-        """For each part its words' starts, ends (offsets of letters) and languages (numbers)."""
+    def words(self, parts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Starts and ends of the words of the parts joined by a newline, and their scores by language."""
         at, bucket, script, starts = trigrams(parts)
-        edges = np.concatenate([[0], np.cumsum([len(p) + 1 for p in parts])])
         if not len(at):
-            return [(np.empty(0, int),) * 3] * len(parts)
+            return np.empty(0, int), np.empty(0, int), np.empty((0, len(self.langs)), np.float32)
         first = np.flatnonzero(starts)
         score = np.add.reduceat(self.score[bucket], first, axis=0)
         score[~self.candidates[script[first]]] += OUT
-        w_start, w_end = at[first], at[np.append(first[1:], len(at)) - 1] + 1
+        return at[first], at[np.append(first[1:], len(at)) - 1] + 1, score
+
+    def long_path(self, parts: list[str]) -> list[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+        """As ``paths``, for the slices of one text in order: the path runs on from slice to slice."""
+        own = np.arange(len(self.langs))
+        best, turns, found = np.zeros(len(self.langs), np.float32), [], []
+        for part in parts:
+            w_start, w_end, score = self.words([part])
+            back = np.empty(score.shape, np.int8 if len(self.langs) < 128 else np.int32)
+            for t in range(len(score)):
+                top = best.argmax()
+                moved = best[top] - np.float32(SWITCH)
+                stay = best >= moved
+                back[t] = np.where(stay, own, top)
+                best = np.where(stay, best, moved) + score[t]
+            turns.append(back)
+            found.append((w_start, w_end, np.empty(len(score), np.int64)))
+        state = best.argmax()
+        for back, (_, _, label) in zip(reversed(turns), reversed(found), strict=True):
+            for t in range(len(label) - 1, -1, -1):
+                label[t] = state
+                state = back[t, state]
+        return found
+
+    def paths(self, parts: list[str]) -> list[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+        """For each part its words' starts, ends (offsets of letters) and languages (numbers)."""
+        w_start, w_end, score = self.words(parts)
+        edges = np.concatenate([[0], np.cumsum([len(p) + 1 for p in parts])])
+        if not len(score):
+            return [(np.empty(0, int),) * 3] * len(parts)
         bounds = np.searchsorted(w_start, edges)
         n_words = np.diff(bounds)
         order = np.argsort(-n_words, kind="stable")
@@ -222,8 +251,11 @@ def identify(docs: DataFrame, model: Model, text: str = "text", spans: bool = Tr
             texts = texts_of(batch.column("text"))
             letters = np.zeros((len(texts), max(1, len(own.langs))), np.int64)
             runs: list[list[tuple[int, int, int]]] = [[] for _ in texts]
-            for group in groups(slices(texts, SLICE) if own.langs else [], SLICE):
-                for (k, offset, _), (start, end, label) in zip(group, own.paths([p[2] for p in group]), strict=True):
+            short = [(k, 0, t) for k, t in enumerate(texts) if len(t) <= SLICE]
+            found = [(g, own.paths) for g in groups(sorted(short, key=lambda x: len(x[2])), SLICE)]
+            long = [[(k, a, p) for _, a, p in sorted(slices([t], SLICE), key=lambda x: x[1])] for k, t in enumerate(texts) if len(t) > SLICE]
+            for group, path in found + [(g, own.long_path) for g in long] if own.langs else []:
+                for (k, offset, _), (start, end, label) in zip(group, path([p[2] for p in group]), strict=True):
                     if len(start):
                         letters[k] += np.bincount(label, end - start, len(own.langs)).astype(np.int64)
                         turn = np.flatnonzero(np.diff(label, prepend=-1))
