@@ -17,6 +17,7 @@ their strings covers.
    range borders; runs travel front-coded (bytes shared with the suffix before, and the rest). Each range is merged by a
    loser tree that keeps, for every run's head, how many bytes it shares with the last winner: heads that share
    different numbers are ordered by these alone, heads that share the same number are compared from that byte on.
+   Borders are 8-byte heads; the suffixes of one frequent head are dealt over several ranges by core.
    The order and its common prefixes then give, for every offset o before an anchor, the suffixes that agree in
    ``length`` - o bytes; the contexts that also agree in the o bytes before it hold the same string there.
    Cores with more than ``HOT_CORE`` different contexts are not sorted in one task: their strings' 128-bit hashes are
@@ -298,6 +299,13 @@ def _pointers(table: pa.Table) -> list[tuple]:
     return list(zip(*(table.column(c).to_pylist() for c in ("doc_id", "tie", "a", "lo", "hi")), strict=True))
 
 
+def ranges_of(heads: np.ndarray, cores: np.ndarray, borders: np.ndarray) -> np.ndarray:
+    """Number of each suffix's range. A border that repeats is a head with several ranges' suffixes: they are dealt over
+    as many ranges by core, as only suffixes of one core are compared."""
+    low, high = np.searchsorted(borders, heads, "left"), np.searchsorted(borders, heads, "right")
+    return high - np.where(high > low, (cores.view(np.uint64) % np.maximum(high - low, 1).astype(np.uint64)).astype(np.int64), 0)
+
+
 def sorted_runs(blocks: DataFrame, chosen: DataFrame, cuts: list[int], shape: Shape) -> DataFrame:
     """A row for each block and range: the block's suffixes in the range, front-coded, with what a merge needs."""
     borders = np.array(cuts, np.int64)
@@ -307,8 +315,7 @@ def sorted_runs(blocks: DataFrame, chosen: DataFrame, cuts: list[int], shape: Sh
     def runs(left: pa.Table, right: pa.Table) -> pa.Table:
         texts = _texts(left)
         rows = []
-        heads = right.column("head").to_numpy()
-        for p, r in zip(_pointers(right), np.searchsorted(borders, heads, "right").tolist(), strict=True):
+        for p, r in zip(_pointers(right), ranges_of(right.column("head").to_numpy(), right.column("core").to_numpy(), borders).tolist(), strict=True):
             doc_id, tie, a, lo, hi = p
             t = texts[doc_id, tie]
             rows.append((r, t[a:hi + shape.length], t[lo:a], p))
@@ -403,7 +410,7 @@ def repeated_spans(docs: DataFrame, shape: Shape, text: str = "text", hot_core:
     whole = close.join(copies, ["h1", "h2"]).select("doc_id", "tie", F.col("lo").cast("long").alias("start"), (F.col("hi") + shape.length).cast("long").alias("end"))
 
     per_core = materialize(contexts.groupBy("core").agg(F.count("*").alias("m")).filter("m > 1"), "suffix-cores")
-    one = contexts.join(per_core, "core").select("one.*", "m").withColumn("block", block)
+    one = contexts.join(per_core, "core").select("one.*", "core", "m").withColumn("block", block)
     one = materialize(one, "suffix-different")
     cold = one.filter(F.col("m") <= hot_core)
     count = cold.count()
@@ -411,7 +418,7 @@ def repeated_spans(docs: DataFrame, shape: Shape, text: str = "text", hot_core:
     cuts = []
     if ranges > 1:
         shares = [i / ranges for i in range(1, ranges)]
-        cuts = sorted(set(cold.agg(F.percentile_approx("head", shares, 10 * ranges)).first()[0]))
+        cuts = sorted(cold.agg(F.percentile_approx("head", shares, 10 * ranges)).first()[0])
     spans = whole
     if count:
         spans = spans.unionByName(merged_spans(sorted_runs(blocks, cold, cuts, shape), shape))
