@@ -6,7 +6,7 @@
 ``run_activity`` activity ingest; hour/day fact; gold view.
 
 Fetching from the remote API is outside the engine: runs consume whatever has landed; a landing folder that is not there
-means that nothing has landed. Every step is idempotent (checkpointed streams, a commit-logged dimension, whole tables or
+means that nothing has landed. Every step is idempotent (checkpointed streams, a dimension that ignores versions it has, whole tables or
 whole days replaced) and the two gates are marked only after their step has ended, so a failed run is simply run again.
 """
 
