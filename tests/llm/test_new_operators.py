@@ -56,7 +56,10 @@ def test_hard_negatives_odd_rows(spark):
     assert mined(spark, odd + rows + rows) == mined_by_hand(odd + rows)              # repeated rows count once
     assert mined(spark, []) == []
     huge = [(50, [1e300, 1.0], 1), (51, [1e300, 1.0], 1), (52, [1e17, 0.0], 2), (53, [3e7, 1.0], 2), (54, [1.0, 1.0], 1)]
-    assert mined(spark, huge) is not None                                            # beyond 64 bits: held at the limits
+    assert mined(spark, huge) == []                        # all scores are held at the limit of 64 bits: none is below 95 %
+    wide = [(50, [1e11], 1), (51, [1e3], 1), (52, [9e2], 2), (53, [7e2], 3), (54, [1e2], 2)]
+    want = mined_by_hand(wide)
+    assert mined(spark, wide) == want and len(want) == 2 and want[0][4] > 1 << 53     # beyond doubles' integers, exact
 
 
 # ---- winnowing ------------------------------------------------------------------------------------------------
