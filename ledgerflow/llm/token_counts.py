@@ -33,8 +33,9 @@ from ledgerflow.llm.common import in_parts, map_arrow, texts_of, vocabulary, who
 
 CHUNK_CHARS = 32_768
 OVERLAP_CHARS = 1_024
-CACHE_UNITS = 250_000
+CACHE_UNITS = 400_000
 PART_CHARS = 1_000_000
+ROWS = 1_000                       # of a batch turned into strings at once
 LONG_UNIT = 64
 UNIT_START = re.compile(r" (?=\S)(?<=\S )")      # the space first: the search then leaps from one to the next
 
@@ -61,31 +62,29 @@ class UnitCounter:
         self.first: dict[str, int] = {}   # units at a text's or chunk's start, without a space
         self.later: dict[str, int] = {}   # units after a space, kept without it
 
-    def _encode(self, units: list[str]) -> list[int]:
-        return [len(e.ids) for e in self.tokenizer.encode_batch_fast(units, add_special_tokens=False)]
-
-    def learn(self, units: set[str], cache: dict[str, int], prefix: str) -> dict[str, int]:
-        """Counts of units that the cache lacks; long ones are not kept."""
-        new = [u for u in units if u not in cache]
-        found = dict(zip(new, self._encode([prefix + u for u in new]), strict=True)) if new else {}
-        if len(cache) + len(found) > CACHE_UNITS:
-            for u in [u for u in cache if u not in units]:
-                del cache[u]
-        long = {u: n for u, n in found.items() if len(u) > LONG_UNIT}
-        cache.update((u, n) for u, n in found.items() if len(u) <= LONG_UNIT)
-        return long
-
-    def counts(self, texts: list[str]) -> list[list[int]]:
-        """For each text the token counts of its units, in order."""
+    def learn(self, units: set[str], cache: dict[str, int], prefix: str) -> list[str]:
+        """Put counts of units that the cache lacks into it; the long ones of these, which are not to stay."""
+        new = list(units.difference(cache))
+        if len(cache) + len(new) > CACHE_UNITS:
+            held = {u: cache[u] for u in units if u in cache}
+            cache.clear()
+            cache.update(held)
+        found = self.tokenizer.encode_batch_fast([prefix + u for u in new], add_special_tokens=False)
+        cache.update((u, len(e)) for u, e in zip(new, found, strict=True))
+        return [u for u in new if len(u) > LONG_UNIT]
+
+    def counts(self, texts: list[str]) -> list[int]:
+        """For each text the tokens of all its units."""
         split = [UNIT_START.split(t) for t in texts]
-        long_first = self.learn({s[0] for s in split}, self.first, "")
-        rest: set[str] = set()
-        for s in split:
-            rest.update(s[1:])
-        long_later = self.learn(rest, self.later, " ")
-        first = self.first if not long_first else {**self.first, **long_first}
-        get = self.later.__getitem__ if not long_later else (lambda u: long_later[u] if u in long_later else self.later[u])
-        return [[first[s[0]], *map(get, s[1:])] for s in split]
+        heads = [s.pop(0) for s in split]
+        long_first = self.learn(set(heads), self.first, "")
+        long_later = self.learn(set().union(*split), self.later, " ")
+        get = self.later.__getitem__
+        result = [self.first[h] + sum(map(get, s)) for h, s in zip(heads, split, strict=True)]
+        for long, cache in ((long_first, self.first), (long_later, self.later)):
+            for u in long:
+                del cache[u]
+        return result
 
     def chunk(self, text: str, start: int, end: int) -> tuple[int, Encoding]:
         """The start and the tokens, with their offsets, of text[start:end]."""
@@ -145,11 +144,11 @@ def count_tokens(docs: DataFrame, path: str | None = None, limit: int = 1024, ch
 
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counter = _counters.get(path) or _counters.setdefault(path, UnitCounter(path))
-        for batch in batches:
+        for batch in (b.slice(at, ROWS) for b in batches for at in range(0, b.num_rows, ROWS)):
             texts = texts_of(batch.column("text"))
             short = [i for i, t in enumerate(texts) if len(t) <= chunk_chars]
             result = [(0, 1, 0)] * len(texts)
-            counts = [sum(c) for part in in_parts([texts[i] for i in short], PART_CHARS) for c in counter.counts(part)]
+            counts = [n for part in in_parts([texts[i] for i in short], PART_CHARS) for n in counter.counts(part)]
             for i, n in zip(short, counts, strict=True):
                 result[i] = (n, 1, 0)
             for i, t in enumerate(texts):
