@@ -114,20 +114,22 @@ def next_keys(rows: DataFrame) -> DataFrame:
 
 
 def edited_and_next(docs: DataFrame, text: str = "text") -> DataFrame:
-    """(doc_id, text, edited, following) for every row: the last floor(n / 2) code points are replaced by the first as
-    many of the next document's text, ``following``."""
+    """(doc_id, text, edited, following, times): the last floor(n / 2) code points are replaced by the first as many of the
+    next document's text, ``following``. A row stands for ``times`` rows alike: of rows equal in id and text one is kept,
+    reduced before the shuffle. All but one of them are followed by their like, the last one by the next key."""
     body = F.col(text).cast("string")
     rows = docs.select(F.col("doc_id").isNull().alias("missing"), F.coalesce(F.col("doc_id").cast("long"), F.lit(0)).alias("id"),
                        F.xxhash64(body).alias("tie"), F.coalesce(body, F.lit("")).alias("text"))
-    keyed = rows.join(next_keys(rows.select(*KEY)), list(KEY)).withColumn("copy", F.row_number().over(Window.partitionBy(*KEY).orderBy("copies")))
-    # of rows alike each is followed by the next copy, the last one by the next key
-    own = F.col("copy") < F.col("copies")
-    keyed = keyed.select(*KEY, "text", "copy", *(F.when(own, F.col(k)).otherwise(F.col(f"next_{k}")).alias(f"next_{k}") for k in KEY))
-    follow = keyed.filter("copy = 1").select(*(F.col(k).alias(f"next_{k}") for k in KEY), F.col("text").alias("following"))
-    both = keyed.drop(*KEY[2:]).join(follow, [f"next_{k}" for k in KEY])
+    keyed = rows.groupBy(*KEY).agg(F.first("text").alias("text")).join(next_keys(rows.select(*KEY)), list(KEY))
+    follow = keyed.select(*(F.col(k).alias(f"next_{k}") for k in KEY), F.col("text").alias("following"))
+    both = keyed.drop("tie").join(follow, [f"next_{k}" for k in KEY])
+    last = F.explode(F.when(F.col("copies") > 1, F.array(F.lit(True), F.lit(False))).otherwise(F.array(F.lit(True)))).alias("last")
+    both = both.select("missing", "id", "text", "following", "copies", last)
+    both = both.select("missing", "id", "text", F.when(F.col("last"), F.col("following")).otherwise(F.col("text")).alias("following"),
+                       F.when(F.col("last"), F.lit(1).cast("long")).otherwise(F.col("copies") - 1).alias("times"))
     half = F.floor(F.length("text") / 2).cast("int")
     edited = F.concat(F.substring("text", F.lit(1), F.length("text") - half), F.substring("following", F.lit(1), half))
-    return both.select(F.when(~F.col("missing"), F.col("id")).alias("doc_id"), "text", edited.alias("edited"), "following")
+    return both.select(F.when(~F.col("missing"), F.col("id")).alias("doc_id"), "text", edited.alias("edited"), "following", "times")
 
 
 def compare_with_edited(docs: DataFrame) -> DataFrame:
@@ -135,6 +137,7 @@ def compare_with_edited(docs: DataFrame) -> DataFrame:
     rows = edited_and_next(docs)
     for column, out in (("text", "own_sig"), ("edited", "edited_sig"), ("following", "next_sig")):
         rows = signature(rows, column, out)
-    return rows.select("doc_id", F.length("text").cast("long").alias("n_chars"), F.sha2("edited", 256).alias("edited_sha256"),
-                       fingerprint("own_sig").alias("fingerprint"), fingerprint("edited_sig").alias("edited_fingerprint"),
-                       likeness("own_sig", "edited_sig").alias("near_edited"), likeness("own_sig", "next_sig").alias("near_next"))
+    found = rows.select("doc_id", F.length("text").cast("long").alias("n_chars"), F.sha2("edited", 256).alias("edited_sha256"),
+                        fingerprint("own_sig").alias("fingerprint"), fingerprint("edited_sig").alias("edited_fingerprint"),
+                        likeness("own_sig", "edited_sig").alias("near_edited"), likeness("own_sig", "next_sig").alias("near_next"), "times")
+    return found.select("*", F.explode(F.sequence(F.lit(1).cast("long"), "times"))).drop("times", "col")

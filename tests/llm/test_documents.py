@@ -7,6 +7,7 @@ from collections import Counter
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from ledgerflow.llm import (kn_quality, lang_id, line_rules, orc_tokens, sentencepiece_codec, simhash_gray, source_mix,
                             spot_signatures, suffix_dedup, token_counts)
@@ -75,6 +76,23 @@ def test_spot_signatures(spark):
     assert len({g.fingerprint for g in got if g.doc_id == 5}) == 1
 
 
+def test_spot_copies(spark):
+    """Many rows alike, with and without an id, come back each, followed by their like and the last one by the next key."""
+    text = "the quick fox and the lazy dog in a small town"
+    rows = [(7, text, "x")] * 400 + [(None, text, "y")] * 300 + [(None, None, "z")] * 2 + [(None, "", "z"), (7, "on the hill", "x"), (9, "", "x"), (3, text[5:], "x")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, copies string").repartition(5)
+    ties = {r.text: r.t for r in df.select("text", F.xxhash64("text").alias("t")).distinct().collect()}
+    order = sorted(rows, key=lambda r: (r[0] is None, -(r[0] or 0), ties[r[1]]))
+    want = Counter()
+    for (i, own, _), (_, following, _) in zip(order, order[1:] + order[:1], strict=True):
+        own, following = own or "", following or ""
+        half = len(own) // 2
+        edited = own[:len(own) - half] + following[:half]
+        want[i, len(own), hashlib.sha256(edited.encode()).hexdigest(), own == following] += 1
+    got = spot_signatures.compare_with_edited(df).collect()
+    assert Counter((g.doc_id, g.n_chars, g.edited_sha256, g.near_next == 1) for g in got) == want
+
+
 def brute_signature(text):
     import re
 
