@@ -54,7 +54,7 @@ from ledgerflow.session import fresh_dir, materialize
 
 ORDER = 5
 BLOCK_BYTES = 32 << 20
-GROUP_CHARS = 2_000_000
+GROUP_CHARS = 500_000
 DENSE = 1 << 23
 STEP = 0.005
 LOW_QUANTILE = 0.01
@@ -93,7 +93,7 @@ class Grams:
     def __init__(self, texts: list[str], order: int):
         codes = _char_classes(np.frombuffer("\x01".join(texts).encode("utf-32-le", "surrogatepass"), np.uint32))
         edge = np.cumsum([0] + [len(t) + 1 for t in texts])
-        text = np.repeat(np.arange(len(texts)), np.diff(edge))[: len(codes)]
+        text = np.repeat(np.arange(len(texts), dtype=np.int32), np.diff(edge))[: len(codes)]
         keep = np.ones(len(codes), bool)
         keep[edge[1:-1] - 1] = False                                   # the joining character
         blank = codes == 32
@@ -105,13 +105,19 @@ class Grams:
         padded = np.zeros(total, np.uint32)
         at = np.arange(len(codes)) + pads * (text + 1)
         padded[at] = codes
+        del codes, text, keep, blank
         alphabet, one = _ranks(padded, 0x110000)
         k = len(alphabet)
         rank, steps = one, []
         for n in range(2, order + 1):
-            distinct, rank = _ranks(rank[:-1].astype(np.int64) * k + one[n - 1:], (len(steps[-1]) if steps else k) * k)
+            keys = rank[:-1].astype(np.int64)
+            keys *= k
+            keys += one[n - 1:]
+            distinct, rank = _ranks(keys, (len(steps[-1]) if steps else k) * k)
             steps.append(distinct)
-        self.which = rank[at - pads]
+        at -= pads
+        self.which = rank[at].astype(np.int32, copy=False)
+        del keys, rank, one, at, padded
         self.sizes = sizes
         used = np.bincount(self.which, minlength=len(steps[-1]))
         chars = np.empty((len(steps[-1]), order), np.uint32)
