@@ -30,8 +30,10 @@ def op4_spot_signatures(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """With the text that is left, so that what went can be seen."""
-    return suffix_dedup.dedup(read_documents(spark, sf_dir), with_text=True).drop("tie")
+    """Strings of 400 bytes, with the text that is left, so that what went can be seen; beside them what passages of 250
+    bytes (about 50 words) that repeat cover, and the text without these."""
+    shape = suffix_dedup.Shape(window=160, shorter=250)
+    return suffix_dedup.dedup(read_documents(spark, sf_dir), with_text=True, shape=shape).drop("tie")
 
 
 def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -24,6 +24,10 @@ their strings covers.
    counted by aggregation instead.
 4. Removed runs of each document are the union of its strings.
 
+A second, shorter length shares all of this: a repeated long string begins with a repeated short one, so the shorter
+length's anchors find both. Contexts reach as far as their long strings (or the text's end), and the one order decides
+both lengths. What repeated long strings cover, repeated short ones cover as well: it is sent once, as the long one's.
+
 Defined results: a null text counts as empty; texts shorter than ``length`` keep all; rows equal in id and text repeat
 each other; null ids and ties give one row each; an empty table gives no rows; other columns are not read.
 """
@@ -31,7 +35,7 @@ each other; null ids and ties give one row each; an empty table gives no rows; o
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from functools import lru_cache
 
 import numpy as np
@@ -39,13 +43,13 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerflow.llm.common import map_arrow, ship, texts_of
+from ledgerflow.llm.common import discard, map_arrow, ship, texts_of
 from ledgerflow.session import materialize
 
 LENGTH = 400
 WINDOW = 256
 KMER = 24
-SEGMENT = 1 << 20
+SEGMENT = 1 << 18
 BLOCK_BYTES = 12 << 20
 RANGE_BYTES = 8 << 20
 HOT_CORE = 20_000
@@ -101,15 +105,17 @@ def _sliding_min(keys: np.ndarray, window: int) -> np.ndarray:
     return np.minimum(behind[:n], ahead[window - 1:window - 1 + n])
 
 
-def segments(texts: list[bytes], length: int) -> Iterator[list[tuple[int, int, bytes]]]:
-    """Groups of (text, offset, bytes) of about SEGMENT bytes; long texts in pieces that overlap by length - 1."""
+def segments(texts: Iterable[bytes], length: int, reach: int = 0) -> Iterator[list[tuple[int, int, bytes]]]:
+    """Groups of (text, offset, bytes) of about SEGMENT bytes; long texts in pieces that overlap by length - 1, or by
+    reach - 1 if that is more."""
+    reach = max(length, reach)
     held, size = [], 0
     for k, t in enumerate(texts):
         for a in range(0, max(0, len(t) - length) + 1, SEGMENT):
-            piece = t[a:a + SEGMENT + length - 1]
+            piece = t[a:a + SEGMENT + reach - 1]
             if len(piece) < length:
                 continue
-            if held and size + len(piece) > SEGMENT + length:
+            if held and size + len(piece) > SEGMENT + reach:
                 yield held
                 held, size = [], 0
             held.append((k, a, piece))
@@ -119,16 +125,21 @@ def segments(texts: list[bytes], length: int) -> Iterator[list[tuple[int, int, b
 
 
 class Shape:
-    """Sizes that go together; smaller ones serve tests."""
-
-    def __init__(self, length: int = LENGTH, window: int = WINDOW, kmer: int = KMER):
-        if window + kmer - 1 > length:
+    """Sizes that go together; smaller ones serve tests. ``shorter``: a second length, found along with ``length``."""
+
+    def __init__(self, length: int = LENGTH, window: int = WINDOW, kmer: int = KMER, shorter: int | None = None):
+        if shorter is not None and shorter >= length:
+            raise ValueError("the second length must be the shorter one")
+        self.lengths = (length,) if shorter is None else (length, shorter)
+        self.least = min(self.lengths)
+        if window + kmer - 1 > self.least:
             raise ValueError("a string must hold all k-mers of a window")
-        self.length, self.window, self.kmer, self.core = length, window, kmer, length - window + 1
+        self.length, self.window, self.kmer, self.core = length, window, kmer, self.least - window + 1
 
 
 def anchors(group: list[tuple[int, int, bytes]], shape: Shape) -> dict[str, np.ndarray]:
-    """Of a group of pieces: text, anchor, first and last place, the core's head and hash, the context's two hashes."""
+    """Of a group of pieces: text, anchor, first and last place, the context's end, the core's head and hash, the
+    context's two hashes."""
     data = np.frombuffer(b"".join(p for _, _, p in group), np.uint8)
     edges = np.cumsum([0] + [len(p) for _, _, p in group])
     first = Rolling(data, 1)
@@ -138,20 +149,21 @@ def anchors(group: list[tuple[int, int, bytes]], shape: Shape) -> dict[str, np.n
     keys = (first(slice(0, n), slice(shape.kmer, shape.kmer + n)) & ~low) | place
     chosen = (_sliding_min(keys, shape.window) & low).astype(np.int64)
     # places whose string lies inside its piece
-    starts = np.concatenate([np.arange(a, z - shape.length + 1) for a, z in zip(edges[:-1], edges[1:], strict=True)])
-    piece = np.repeat(np.arange(len(group)), np.diff(edges) - shape.length + 1)
+    places = np.minimum(np.diff(edges) - shape.least + 1, SEGMENT)
+    starts = np.concatenate([np.arange(a, a + m) for a, m in zip(edges[:-1], places, strict=True)])
+    piece = np.repeat(np.arange(len(group)), places)
     at = chosen[starts]
     new = np.flatnonzero(np.concatenate([[True], (at[1:] != at[:-1]) | (piece[1:] != piece[:-1])]))
     last = np.append(new[1:], len(at)) - 1
     a, lo, hi, own = at[new], starts[new], starts[last], piece[new]
     second = Rolling(data, 2)
-    end = hi + shape.length
-    extra = ((a - lo).astype(np.uint64) << np.uint64(32)) | (end - lo).astype(np.uint64)
+    end = np.minimum(hi + shape.length, edges[1:][own])
+    extra = ((a - lo).astype(np.uint64) << np.uint64(48)) | ((hi - lo).astype(np.uint64) << np.uint64(32)) | (end - lo).astype(np.uint64)
     eight = np.zeros(len(a), np.uint64)
     for k in range(8):
         eight = (eight << np.uint64(8)) | (data[a + k] if shape.core >= 8 else np.uint64(0))
     base = np.array([offset for _, offset, _ in group])[own] - edges[own]
-    return {"text": np.array([k for k, _, _ in group])[own], "a": a + base, "lo": lo + base, "hi": hi + base,
+    return {"text": np.array([k for k, _, _ in group])[own], "a": a + base, "lo": lo + base, "hi": hi + base, "end": end + base,
             "head": (eight ^ np.uint64(1 << 63)).view(np.int64), "core": first(a, a + shape.core).view(np.int64),
             "h1": _mixed(first(lo, end) ^ extra).view(np.int64), "h2": _mixed(second(lo, end) + extra).view(np.int64)}
 
@@ -235,9 +247,11 @@ def merged(runs: list[tuple[list[int], list[bytes]]]) -> tuple[list[tuple[int, i
     return order, shared, strings
 
 
-def repeated_places(shared: np.ndarray, lefts: list[bytes], least: np.ndarray, most: np.ndarray, shape: Shape) -> tuple[np.ndarray, np.ndarray]:
-    """For suffixes in order (bytes shared with the one before, bytes before each anchor, offsets that its places have):
-    the least and the greatest offset at which its string equals another suffix's; greatest -1 if there is none."""
+def repeated_places(shared: np.ndarray, lefts: list[bytes], limits: dict[int, tuple[np.ndarray, np.ndarray]],
+                    shape: Shape) -> dict[int, tuple[np.ndarray, np.ndarray]]:
+    """For suffixes in order (bytes shared with the one before, bytes before each anchor, for each length the offsets that
+    its places have): by length, the least and the greatest offset at which its string equals another suffix's; greatest
+    -1 if there is none."""
     n = len(lefts)
     reach = shape.window
     back = np.zeros((n, reach), np.uint8)
@@ -249,20 +263,23 @@ def repeated_places(shared: np.ndarray, lefts: list[bytes], least: np.ndarray, m
     unlike = sorted_[1:] != sorted_[:-1]
     agree = np.where(unlike.any(axis=1), unlike.argmax(axis=1), reach) if n > 1 else np.empty(0, int)
     left_of = np.empty(n, np.int64)
-    low, high = np.full(n, reach + 1), np.full(n, -1)
-    for o in range(int(least.min()), int(most.max()) + 1):
-        ok = np.flatnonzero((least <= o) & (o <= most))
-        if len(ok) < 2:
-            continue
-        right = np.cumsum(shared < shape.length - o)
-        left_of[order] = np.concatenate([[0], np.cumsum(agree < o)])
-        key = right[ok] * np.int64(n + 1) + left_of[ok]
-        by = np.argsort(key, kind="stable")
-        same = key[by][1:] == key[by][:-1]
-        hit = ok[np.unique(np.concatenate([by[1:][same], by[:-1][same]]))]
-        low[hit] = np.minimum(low[hit], o)
-        high[hit] = o
-    return low, high
+    found = {}
+    for length, (least, most) in limits.items():
+        low, high = np.full(n, reach + 1), np.full(n, -1)
+        for o in range(int(least.min()), int(most.max()) + 1):
+            ok = np.flatnonzero((least <= o) & (o <= most))
+            if len(ok) < 2:
+                continue
+            right = np.cumsum(shared < length - o)
+            left_of[order] = np.concatenate([[0], np.cumsum(agree < o)])
+            key = right[ok] * np.int64(n + 1) + left_of[ok]
+            by = np.argsort(key, kind="stable")
+            same = key[by][1:] == key[by][:-1]
+            hit = ok[np.unique(np.concatenate([by[1:][same], by[:-1][same]]))]
+            low[hit] = np.minimum(low[hit], o)
+            high[hit] = o
+        found[length] = low, high
+    return found
 
 
 # --- jobs -------------------------------------------------------------------------------------------------------------
@@ -271,21 +288,22 @@ def _block(doc_id: Column, tie: Column, n: int) -> Column:
     return F.pmod(F.xxhash64(F.coalesce(doc_id, F.lit(0).cast("long")), tie), F.lit(n)).cast("int")
 
 
-POINTER = "doc_id long, tie long, a int, lo int, hi int"
+POINTER = "doc_id long, tie long, a int, lo int, hi int, end int"
+SPAN = "doc_id long, tie long, length int, start long, end long"
 
 
 def all_anchors(rows: DataFrame, shape: Shape) -> DataFrame:
     """Every anchor of (doc_id, tie, text)."""
     def found(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = [t.encode("utf-8") for t in texts_of(batch.column("text"))]
-            for group in segments(texts, shape.length):
+            texts = (t.encode("utf-8") for t in texts_of(batch.column("text")))
+            for group in segments(texts, shape.least, shape.length):
                 x = anchors(group, shape)
                 index = pa.array(x["text"])
                 yield pa.RecordBatch.from_arrays(
                     [batch.column("doc_id").take(index), batch.column("tie").take(index),
-                     *(pa.array(x[c].astype(np.int32)) for c in ("a", "lo", "hi")), *(pa.array(x[c]) for c in ("head", "core", "h1", "h2"))],
-                    ["doc_id", "tie", "a", "lo", "hi", "head", "core", "h1", "h2"])
+                     *(pa.array(x[c].astype(np.int32)) for c in ("a", "lo", "hi", "end")), *(pa.array(x[c]) for c in ("head", "core", "h1", "h2"))],
+                    ["doc_id", "tie", "a", "lo", "hi", "end", "head", "core", "h1", "h2"])
 
     return map_arrow(rows, found, f"{POINTER}, head long, core long, h1 long, h2 long")
 
@@ -296,7 +314,7 @@ def _texts(left: pa.Table) -> dict[tuple[int | None, int], bytes]:
 
 
 def _pointers(table: pa.Table) -> list[tuple]:
-    return list(zip(*(table.column(c).to_pylist() for c in ("doc_id", "tie", "a", "lo", "hi")), strict=True))
+    return list(zip(*(table.column(c).to_pylist() for c in ("doc_id", "tie", "a", "lo", "hi", "end")), strict=True))
 
 
 def ranges_of(heads: np.ndarray, cores: np.ndarray, borders: np.ndarray) -> np.ndarray:
@@ -310,15 +328,15 @@ def sorted_runs(blocks: DataFrame, chosen: DataFrame, cuts: list[int], shape: Sh
     """A row for each block and range: the block's suffixes in the range, front-coded, with what a merge needs."""
     borders = np.array(cuts, np.int64)
     columns = {"shared": pa.int32(), "rest": pa.binary(), "left": pa.binary(), "doc_id": pa.int64(), "tie": pa.int64(),
-               "a": pa.int32(), "lo": pa.int32(), "hi": pa.int32()}
+               "a": pa.int32(), "lo": pa.int32(), "hi": pa.int32(), "end": pa.int32()}
 
     def runs(left: pa.Table, right: pa.Table) -> pa.Table:
         texts = _texts(left)
         rows = []
         for p, r in zip(_pointers(right), ranges_of(right.column("head").to_numpy(), right.column("core").to_numpy(), borders).tolist(), strict=True):
-            doc_id, tie, a, lo, hi = p
+            doc_id, tie, a, lo, _, end = p
             t = texts[doc_id, tie]
-            rows.append((r, t[a:hi + shape.length], t[lo:a], p))
+            rows.append((r, t[a:end], t[lo:a], p))
         rows.sort(key=lambda x: x[:2])
         out: dict[str, list] = {c: [] for c in ("range", *columns)}
         i = 0
@@ -340,8 +358,9 @@ def sorted_runs(blocks: DataFrame, chosen: DataFrame, cuts: list[int], shape: Sh
 
 
 def merged_spans(runs: DataFrame, shape: Shape) -> DataFrame:
-    """(doc_id, tie, start, end) of what repeats among the suffixes of each range."""
-    names = ["doc_id", "tie", "start", "end"]
+    """(doc_id, tie, length, start, end) of what repeats among the suffixes of each range; a shorter length's spans only
+    where they aren't inside the longer one's."""
+    kinds = {"doc_id": pa.int64(), "tie": pa.int64(), "length": pa.int32(), "start": pa.int64(), "end": pa.int64()}
 
     def spans(table: pa.Table) -> pa.Table:
         lists = {c: table.column(c).to_pylist() for c in table.column_names if c != "range"}
@@ -353,43 +372,52 @@ def merged_spans(runs: DataFrame, shape: Shape) -> DataFrame:
         with_next = np.append(close[1:], False)
         keep = np.flatnonzero(close | with_next)
         if not len(keep):
-            return pa.table({c: pa.array([], pa.int64()) for c in names})
+            return pa.table({c: pa.array([], t) for c, t in kinds.items()})
         pick = [order[i] for i in keep]
         get = lambda c: [lists[c][r][i] for r, i in pick]
-        a, lo, hi = (np.array(get(c), np.int64) for c in ("a", "lo", "hi"))
-        low, high = repeated_places(np.where(close[keep], shared[keep], 0), get("left"), a - hi, a - lo, shape)
-        hit = np.flatnonzero(high >= 0)
-        ids, ties = get("doc_id"), get("tie")
-        return pa.table({"doc_id": pa.array([ids[i] for i in hit], pa.int64()), "tie": pa.array([ties[i] for i in hit], pa.int64()),
-                         "start": pa.array((a - high)[hit]), "end": pa.array((a - low)[hit] + shape.length)})
-
-    return runs.groupBy("range").applyInArrow(spans, "doc_id long, tie long, start long, end long")
+        a, lo, hi, end = (np.array(get(c), np.int64) for c in ("a", "lo", "hi", "end"))
+        # the last places of a text have no long string
+        limits = {n: (a - np.minimum(hi, end - n), a - lo) for n in shape.lengths}
+        ids, ties, parts = get("doc_id"), get("tie"), []
+        start, stop = np.full(len(a), np.iinfo(np.int64).max), np.full(len(a), -1)
+        for n, (low, high) in repeated_places(np.where(close[keep], shared[keep], 0), get("left"), limits, shape).items():
+            new = (high >= 0) & ((a - high < start) | (a - low + n > stop))      # not inside the longer length's
+            hit = np.flatnonzero(new)
+            start, stop = np.where(new, a - high, start), np.where(new, a - low + n, stop)
+            cols = [[ids[i] for i in hit], [ties[i] for i in hit], np.full(len(hit), n), start[hit], stop[hit]]
+            parts.append(pa.table({c: pa.array(x, t) for (c, t), x in zip(kinds.items(), cols, strict=True)}))
+        return pa.concat_tables(parts)
+
+    return runs.groupBy("range").applyInArrow(spans, SPAN)
 
 
 def hashed_spans(blocks: DataFrame, chosen: DataFrame, shape: Shape) -> DataFrame:
     """The same for contexts of hot cores: every string's hash, counted by aggregation."""
+    kinds = {"doc_id": pa.int64(), "tie": pa.int64(), "length": pa.int32(), "start": pa.int64(), "h1": pa.int64(), "h2": pa.int64()}
+
     def strings(left: pa.Table, right: pa.Table) -> pa.Table:
         texts = _texts(left)
-        out: list[tuple] = []
-        for doc_id, tie, _, lo, hi in _pointers(right):
-            data = np.frombuffer(texts[doc_id, tie][lo:hi + shape.length], np.uint8)
-            starts = np.arange(hi - lo + 1)
-            h1, h2 = (Rolling(data, s)(starts, starts + shape.length).view(np.int64) for s in (1, 2))
-            out.append(([doc_id] * len(starts), [tie] * len(starts), starts + lo, h1, h2))
-        cols = list(zip(*out, strict=True)) or [[]] * 5
-        flat = lambda k: np.concatenate(cols[k]) if cols[k] else np.empty(0, np.int64)
-        return pa.table({"doc_id": pa.array([x for xs in cols[0] for x in xs], pa.int64()), "tie": pa.array([x for xs in cols[1] for x in xs], pa.int64()),
-                         "start": pa.array(flat(2).astype(np.int64)), "h1": pa.array(flat(3)), "h2": pa.array(flat(4))})
-
-    every = blocks.groupBy("block").cogroup(chosen.groupBy("block")).applyInArrow(strings, "doc_id long, tie long, start long, h1 long, h2 long")
+        out: dict[str, list] = {c: [] for c in kinds}
+        for doc_id, tie, _, lo, hi, end in _pointers(right):
+            data = np.frombuffer(texts[doc_id, tie][lo:end], np.uint8)
+            hashes = [Rolling(data, s) for s in (1, 2)]
+            for n in shape.lengths:
+                starts = np.arange(max(0, min(hi, end - n) - lo + 1))
+                h1, h2 = (h(starts, starts + n).view(np.int64) for h in hashes)
+                for c, x in zip(kinds, ([doc_id] * len(starts), np.full(len(starts), tie), np.full(len(starts), n), starts + lo, h1, h2), strict=True):
+                    out[c].append(pa.array(x, kinds[c]))
+        return pa.table({c: pa.chunked_array(out[c], t) for c, t in kinds.items()})
+
+    every = blocks.groupBy("block").cogroup(chosen.groupBy("block")).applyInArrow(strings, "doc_id long, tie long, length int, start long, h1 long, h2 long")
     every = materialize(every, "suffix-hot")
-    twice = every.groupBy("h1", "h2").agg(F.count("*").alias("n")).filter("n > 1").select("h1", "h2")
-    return every.join(twice, ["h1", "h2"]).select("doc_id", "tie", "start", (F.col("start") + shape.length).alias("end"))
+    twice = every.groupBy("length", "h1", "h2").agg(F.count("*").alias("n")).filter("n > 1").select("length", "h1", "h2")
+    return every.join(twice, ["length", "h1", "h2"]).select("doc_id", "tie", "length", "start", (F.col("start") + F.col("length")).alias("end"))
 
 
 def repeated_spans(docs: DataFrame, shape: Shape, text: str = "text", hot_core: int = HOT_CORE,
                    carry: tuple[str, ...] = ()) -> tuple[DataFrame, DataFrame]:
-    """(blocks of documents, spans): spans (block, doc_id, tie, start, end) cover all that repeats, in bytes."""
+    """(blocks of documents, spans): spans (block, doc_id, tie, length, start, end) of at least a length cover all that
+    repeats at it, in bytes."""
     spark = docs.sparkSession
     ship(spark)
     body = F.col(text).cast("string")
@@ -404,10 +432,14 @@ def repeated_spans(docs: DataFrame, shape: Shape, text: str = "text", hot_core:
     # written first, so that the join has its own shuffle, whose large partitions can be split
     twice = materialize(every.groupBy("core").agg(F.count("*").alias("n")).filter("n > 1").select("core"), "suffix-twice")
     close = materialize(every.join(twice, "core"), "suffix-close")
-    contexts = close.groupBy("h1", "h2", "core").agg(F.count("*").alias("n"), F.min(F.struct("doc_id", "tie", "a", "lo", "hi", "head")).alias("one"))
+    discard(every)
+    discard(twice)
+    contexts = close.groupBy("h1", "h2", "core").agg(F.count("*").alias("n"), F.min(F.struct("doc_id", "tie", "a", "lo", "hi", "end", "head")).alias("one"))
     contexts = materialize(contexts, "suffix-contexts")
     copies = contexts.filter("n > 1").select("h1", "h2")
-    whole = close.join(copies, ["h1", "h2"]).select("doc_id", "tie", F.col("lo").cast("long").alias("start"), (F.col("hi") + shape.length).cast("long").alias("end"))
+    whole = close.join(copies, ["h1", "h2"])
+    whole = whole.withColumn("length", F.when(F.expr("end - lo") >= shape.length, shape.length).otherwise(shape.least))
+    whole = whole.select("doc_id", "tie", "length", F.col("lo").cast("long").alias("start"), F.least(F.col("hi") + F.col("length"), "end").cast("long").alias("end"))
 
     per_core = materialize(contexts.groupBy("core").agg(F.count("*").alias("m")).filter("m > 1"), "suffix-cores")
     one = contexts.join(per_core, "core").select("one.*", "core", "m").withColumn("block", block)
@@ -425,7 +457,7 @@ def repeated_spans(docs: DataFrame, shape: Shape, text: str = "text", hot_core:
     hot = one.filter(F.col("m") > hot_core)
     if not hot.isEmpty():
         spans = spans.unionByName(hashed_spans(blocks, hot, shape))
-    return blocks, spans.select(block.alias("block"), "doc_id", "tie", "start", "end")
+    return blocks, spans.select(block.alias("block"), "doc_id", "tie", "length", "start", "end")
 
 
 def _union(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
@@ -441,31 +473,38 @@ def _union(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
 def dedup(docs: DataFrame, length: int = LENGTH, text: str = "text", with_text: bool = False, shape: Shape | None = None,
           hot_core: int = HOT_CORE, carry: tuple[str, ...] = ()) -> DataFrame:
     """(doc_id, tie, n_bytes, n_removed, n_spans, kept_sha256) for every row, with ``with_text`` also what is left: its
-    bytes read as UTF-8, bytes of characters cut in two left out. ``carry``: columns of ``docs`` to hand through."""
+    bytes read as UTF-8, bytes of characters cut in two left out. With a shorter length in ``shape`` also
+    (passage_removed, passage_spans), and with ``with_text`` text_without_passages: the same for its strings, judged on
+    the input as well. ``carry``: columns of ``docs`` to hand through."""
     shape = shape or Shape(length)
     blocks, spans = repeated_spans(docs, shape, text, hot_core, carry)
-    schema = "doc_id long, tie long, n_bytes long, n_removed long, n_spans long, kept_sha256 string" + ", text string" * with_text
+    named = list(zip(shape.lengths, (("n_removed", "n_spans", "text"), ("passage_removed", "passage_spans", "text_without_passages")), strict=False))
+    kinds = {"n_bytes": "long", "n_removed": "long", "n_spans": "long", "kept_sha256": "string"}
+    for _, (removed, runs, rest) in named:
+        kinds |= {removed: "long", runs: "long"} | ({rest: "string"} if with_text else {})
+    schema = "doc_id long, tie long" + "".join(f", {c} {k}" for c, k in kinds.items())
     schema += "".join(f", `carry_{c}` {docs.schema[c].dataType.simpleString()}" for c in carry)
 
     def cut(left: pa.Table, right: pa.Table) -> pa.Table:
-        by: dict[tuple, list[tuple[int, int]]] = {}
-        for i, t, a, z in zip(*(right.column(c).to_pylist() for c in ("doc_id", "tie", "start", "end")), strict=True):
-            by.setdefault((i, t), []).append((a, z))
-        out: dict[str, list] = {c: [] for c in ("n_bytes", "n_removed", "n_spans", "kept_sha256", "text")}
+        by: dict[tuple, list[tuple[int, int, int]]] = {}
+        for i, t, n, a, z in zip(*(right.column(c).to_pylist() for c in ("doc_id", "tie", "length", "start", "end")), strict=True):
+            by.setdefault((i, t), []).append((n, a, z))
+        out: dict[str, list] = {c: [] for c in kinds}
         for i, t, s in zip(*(left.column(c).to_pylist() for c in ("doc_id", "tie", "text")), strict=True):
             raw = (s or "").encode("utf-8")
-            gone = _union(by.get((i, t), []))
-            edges = [0, *(x for g in gone for x in g), len(raw)]
-            left_over = b"".join(raw[a:z] for a, z in zip(edges[::2], edges[1::2], strict=True))
             out["n_bytes"].append(len(raw))
-            out["n_removed"].append(len(raw) - len(left_over))
-            out["n_spans"].append(len(gone))
-            out["kept_sha256"].append(hashlib.sha256(left_over).hexdigest())
-            out["text"].append((left_over.decode("utf-8", "ignore") if s is not None else None) if with_text else None)
-        names = ["n_bytes", "n_removed", "n_spans"]
-        table = {"doc_id": left.column("doc_id"), "tie": left.column("tie"), **{c: pa.array(out[c], pa.int64()) for c in names},
-                 "kept_sha256": pa.array(out["kept_sha256"], pa.string())}
-        table |= {"text": pa.array(out["text"], pa.string())} if with_text else {}
+            for n, (removed, runs, rest) in named:
+                gone = _union([(a, z) for m, a, z in by.get((i, t), ()) if m >= n])
+                edges = [0, *(x for g in gone for x in g), len(raw)]
+                left_over = b"".join(raw[a:z] for a, z in zip(edges[::2], edges[1::2], strict=True))
+                out[removed].append(len(raw) - len(left_over))
+                out[runs].append(len(gone))
+                if n == shape.length:
+                    out["kept_sha256"].append(hashlib.sha256(left_over).hexdigest())
+                if with_text:
+                    out[rest].append(left_over.decode("utf-8", "ignore") if s is not None else None)
+        table = {"doc_id": left.column("doc_id"), "tie": left.column("tie"),
+                 **{c: pa.array(out[c], pa.int64() if k == "long" else pa.string()) for c, k in kinds.items()}}
         return pa.table(table | {f"carry_{c}": left.column(f"carry_{c}") for c in carry})
 
     found = blocks.groupBy("block").cogroup(spans.groupBy("block")).applyInArrow(cut, schema)
